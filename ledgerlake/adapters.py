@@ -6,23 +6,29 @@ each part has one price per quarter. Text records for the validation steps come
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.operators.quarantine import CONTRACTS, reject_rows, validate
+from ledgerlake.sources.events import LINEAGE
+
 LOAD_ID = "load-1"
-# Partner, flat term in cents, percentage term.
-PARTNER_TERMS = [
-    ("AUTOMOBILE", 100.0, None),
-    ("BUILDING", None, 50.0),
-    ("FURNITURE", 0.0, None),
-    ("HOUSEHOLD", None, 80.0),
-    ("MACHINERY", 25.0, 10.0),
-]
+# Flat terms in cents and percentage terms by partner.
+PARTNER_TERMS = {
+    "AUTOMOBILE": {"fee_cents": 100.0},
+    "BUILDING": {"fee_percentage": 50.0},
+    "FURNITURE": {"fee_cents": 0.0},
+    "HOUSEHOLD": {"fee_percentage": 80.0},
+    "MACHINERY": {"fee_cents": 25.0, "fee_percentage": 10.0},
+}
 GENERIC_TYPES = ("STANDARD", "ECONOMY", "PROMO")
 FIRST_SNAPSHOT = "1996-01-01"
+VERSION_DATES = ("1995-01-01", "1996-07-01", "1998-07-01")
+TERMS_CHANGED = "1998-07-01"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -106,9 +112,19 @@ def pharmacies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def partners(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The market segments in use with their fixed terms."""
-    terms = spark.createDataFrame(PARTNER_TERMS, "partner string, fee_cents double, fee_percentage double")
-    segments = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("partner")).distinct()
-    return segments.join(terms, "partner").withColumn("load_id", F.lit(LOAD_ID))
+    segment = F.col("c_mktsegment")
+
+    def term(kind: str) -> Column:
+        stated = [F.when(segment == name, F.lit(terms[kind])) for name, terms in PARTNER_TERMS.items() if kind in terms]
+        return F.coalesce(*stated).alias(kind)
+
+    return (
+        table(spark, sf_dir, "customer")
+        .select(segment)
+        .filter(segment.isin(*PARTNER_TERMS))
+        .distinct()
+        .select(segment.alias("partner"), term("fee_cents"), term("fee_percentage"), F.lit(LOAD_ID).alias("load_id"))
+    )
 
 
 def nadac(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,9 +152,44 @@ def nadac(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def landing(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    sources = (claims, reverts, lookups, pharmacies, partners, nadac)
-    return {source.__name__: source(spark, sf_dir) for source in sources}
+def partner_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dated full copies of the partner terms: one partner changes its percentage, one its kind of term."""
+    changed = F.col("version_date") >= F.lit(TERMS_CHANGED).cast("date")
+    raised = changed & (F.col("partner") == "AUTOMOBILE")
+    lowered = changed & (F.col("partner") == "HOUSEHOLD")
+    dates = F.array(*[F.lit(day).cast("date") for day in VERSION_DATES])
+    return (
+        partners(spark, sf_dir)
+        .withColumn("version_date", F.explode(dates))
+        .select(
+            "partner",
+            "version_date",
+            F.when(~raised, F.col("fee_cents")).alias("fee_cents"),
+            F.when(raised, 40.0).when(lowered, 60.0).otherwise(F.col("fee_percentage")).alias("fee_percentage"),
+        )
+    )
+
+
+class Landing(Mapping):
+    """All landed tables by name, each made when first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self._make = {
+            source.__name__: partial(source, spark, sf_dir)
+            for source in (claims, reverts, lookups, pharmacies, partners, nadac)
+        } | {f"{stream}_rejects": partial(rejects, spark, sf_dir, stream) for stream in RAW_STREAMS}
+        self._made: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._make[name]()
+        return self._made[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._make)
+
+    def __len__(self) -> int:
+        return len(self._make)
 
 
 # --- text records ---------------------------------------------------------------------------
@@ -169,13 +220,16 @@ def _time_pair() -> Column:
     return F.when(~_every(61), _pair("timestamp", _quoted(_event_time())))
 
 
-def _records(spark: SparkSession, sf_dir: str, payload: Column, source: str) -> DataFrame:
+def _records(spark: SparkSession, sf_dir: str, payload: Column, load: str | None) -> DataFrame:
+    """Payloads with lineage; ``load`` is an expression for the load id."""
     return table(spark, sf_dir, "events").select(
-        payload.alias("raw_payload"), F.col(source).alias("source_file"), F.lit(LOAD_ID).alias("load_id")
+        payload.alias("raw_payload"),
+        F.col("event_type").alias("source_file"),
+        (F.expr(load) if load else F.lit(LOAD_ID)).alias("load_id"),
     )
 
 
-def raw_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_claims(spark: SparkSession, sf_dir: str, load: str | None = None) -> DataFrame:
     """Claim records as JSON text; each way to fail occurs, alone and together with others."""
     amount = F.col("value").cast("decimal(12,2)").cast("string")
     price = (
@@ -193,19 +247,19 @@ def raw_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
         _pair("pbm_fee", F.lit("3.25")),
         _time_pair(),
     )
-    return _records(spark, sf_dir, payload, "event_type")
+    return _records(spark, sf_dir, payload, load)
 
 
-def raw_reverts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_reverts(spark: SparkSession, sf_dir: str, load: str | None = None) -> DataFrame:
     payload = _json_object(
         _pair("id", _quoted(F.concat(F.lit("r"), _text("event_id")))),
         _pair("claim_id", F.when(_every(29), "null").otherwise(_quoted(F.concat(F.lit("e"), _text("event_id"))))),
         _time_pair(),
     )
-    return _records(spark, sf_dir, payload, "event_type")
+    return _records(spark, sf_dir, payload, load)
 
 
-def raw_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_lookups(spark: SparkSession, sf_dir: str, load: str | None = None) -> DataFrame:
     payload = _json_object(
         _pair("id", _quoted(F.concat(F.lit("l"), _text("event_id")))),
         F.when(~_every(3), _pair("claim_id", F.when(_every(5), _quoted(_text("event_id"))).otherwise("null"))),
@@ -214,12 +268,21 @@ def raw_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
         _pair("channel", F.when(_every(7), '""').otherwise('"website"')),
         _time_pair(),
     )
-    return _records(spark, sf_dir, payload, "event_type")
+    return _records(spark, sf_dir, payload, load)
 
 
 RAW_STREAMS = {"claims": raw_claims, "reverts": raw_reverts, "lookups": raw_lookups}
 
 
+def judged(spark: SparkSession, sf_dir: str, stream: str, load: str | None = None) -> DataFrame:
+    """The text records of a stream after validation."""
+    return validate(RAW_STREAMS[stream](spark, sf_dir, load), CONTRACTS[stream])
+
+
+def rejects(spark: SparkSession, sf_dir: str, stream: str) -> DataFrame:
+    return reject_rows(judged(spark, sf_dir, stream), LINEAGE)
+
+
 def write_json_files(records: DataFrame, path: str, per_file: int = 500) -> None:
     """Store JSON texts as files that each hold one array, with a stray scalar among the records.
 

@@ -17,6 +17,12 @@ def minutes_between(start: Column, end: Column) -> Column:
     return hours_between(start, end) * 60 + F.minute(end) - F.minute(start)
 
 
+def as_instant(naive: Column) -> Column:
+    """The naive time read as UTC, for what needs an instant (watermarks), whatever the session's zone."""
+    parts = [F.year(naive), F.month(naive), F.day(naive), F.hour(naive), F.minute(naive)]
+    return F.make_timestamp(*parts, F.extract(F.lit("SECOND"), naive), F.lit("UTC"))
+
+
 def calendar_parts(day: Column) -> dict[str, Column]:
     """The attributes of a calendar day. Days of the week count from 0 on Sunday, weeks start on Monday."""
     day_of_week = F.dayofweek(day) - 1

@@ -57,7 +57,8 @@ def asof_join(
     much of the left side is spread over the periods, what is left of it is split by AQE, and a row is
     only compared with the few right rows of its own period instead of the key's whole history.
 
-    Right rows that no left time can reach are dropped first. ``span`` is any cheaper frame with the
+    Choose the period near the spacing of the right rows: a longer one means more comparisons, a shorter
+    one more copies of a range. Right rows that no left time can reach are dropped first. ``span`` is any cheaper frame with the
     column ``left_time`` that covers the left times, such as the stored table behind ``left``.
     ``columns`` may include ``right_time``, which tells how old the answer is.
     """
@@ -65,11 +66,13 @@ def asof_join(
     reach = covered.agg(
         F.struct(F.to_date(F.min(left_time)).alias("first"), F.to_date(F.max(left_time)).alias("last"))
     )
+    # The end is exclusive: a range that ends where a period starts does not reach into it.
+    last_moment = F.col("_until").cast("timestamp_ntz") - F.expr("INTERVAL 0.000001 SECOND")
     cut = (
         validity_intervals(right, by, right_time)
         .withColumn("_reach", reach.scalar())
         .withColumn("_first", F.to_date(right_time))
-        .withColumn("_last", F.coalesce(F.to_date("_until"), F.col("_reach.last")))
+        .withColumn("_last", F.coalesce(F.to_date(last_moment), F.col("_reach.last")))
         .filter("_first <= _reach.last AND _last >= _reach.first")
         .withColumn(
             "_period",

@@ -1,4 +1,4 @@
-"""Joins on keys that are often absent."""
+"""Joins with reference tables of checked size, and joins on keys that are often absent."""
 
 from __future__ import annotations
 
@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# A reference table of up to this many rows may be copied to every executor.
+SMALL_ROWS = 100_000
 # Absent keys are spread over this many join keys.
 SPREAD = 4096
 
@@ -26,3 +28,13 @@ def left_join_sparse_key(left: DataFrame, right: DataFrame, key: str, columns: S
         other, (keyed["_join_key"] == other["_right_key"]) & keyed[key].isNotNull(), "left"
     )
     return joined.withColumn("_matched", F.col("_right_key").isNotNull()).drop("_join_key", "_right_key")
+
+
+def if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+    """Mark a reference table for broadcast if a count shows it to be small, else leave it as it is.
+
+    A reference key such as a partner has few values, each on a large part of the facts, and shuffling
+    facts by it would load a few tasks with everything. The count stops one row past the limit. Beyond
+    the limit Spark joins by shuffle and AQE splits hot keys.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

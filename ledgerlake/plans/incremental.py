@@ -8,6 +8,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.operators.joins import if_small
 from ledgerlake.plans import bronze, gold, silver, warehouse
 from ledgerlake.session import scratch_dir
 
@@ -48,8 +49,9 @@ def fct_claim_of_days(
     wanted = days.select(F.col("date_day").alias("filled_date"))
     flagged = bronze.brz_claims(landing["claims"])
     resolved = silver.resolved_claims(flagged, policies.duplicate_claims).join(wanted, "filled_date", "left_semi")
-    partners = silver.slv_partners(bronze.brz_partners(landing["partners"]))
-    claims = resolved.join(silver.slv_pharmacies(bronze.brz_pharmacies(landing["pharmacies"])), "npi")
+    partners = if_small(silver.slv_partners(bronze.brz_partners(landing["partners"])))
+    pharmacies = if_small(silver.slv_pharmacies(bronze.brz_pharmacies(landing["pharmacies"])))
+    claims = resolved.join(pharmacies, "npi")
     return gold.fct_claim(
         warehouse.economics(
             claims,

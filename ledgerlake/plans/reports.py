@@ -10,6 +10,8 @@ from ledgerlake.operators.profile import quantile_profile
 
 # Fixed value: rows of the drug report.
 TOP_DRUGS = 25
+# Fixed value: rows of a preview.
+PREVIEW_ROWS = 200
 
 
 def _total(column: str, name: str) -> Column:
@@ -154,6 +156,12 @@ def retained_by_partner(fct_claim: DataFrame) -> DataFrame:
     )
 
 
+def preview(df: DataFrame, order: list[str], rows: int = PREVIEW_ROWS) -> DataFrame:
+    """The first rows of a result in a stated order, each with the full row count beside it."""
+    full = df.agg(F.count(F.lit(1))).scalar()
+    return df.orderBy(*order).limit(rows).withColumn("full_count", full)
+
+
 def fee_quintiles(fct_claim: DataFrame) -> DataFrame:
     """Mean fee per fifth of the claims by price: flat if fees do not follow prices."""
     return quantile_profile(fct_claim, "price", "pbm_fee", 5)

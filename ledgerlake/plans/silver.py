@@ -16,6 +16,8 @@ AS_OF_FILL = "as_of_fill"
 LATEST = "latest"
 COST_BASES = (AS_OF_FILL, LATEST)
 
+# Prices come weekly at the shortest; a quarter keeps both copies and comparisons few.
+PRICE_PERIOD = "quarter"
 COST_COLUMNS = ["nadac_per_unit", "as_of_date", "pricing_unit", "is_generic"]
 
 
@@ -46,9 +48,9 @@ def resolved_claims(brz_claims: DataFrame, policy: str) -> DataFrame:
     return resolve_collisions(brz_claims, "claim_id", "claim_id_occurrences", policy, [F.col(c) for c in first])
 
 
-def slv_claims(brz_claims: DataFrame, pharmacies: DataFrame, policy: str) -> DataFrame:
+def slv_claims(resolved: DataFrame, pharmacies: DataFrame) -> DataFrame:
     """Resolved claims of pharmacies in scope, with the chain."""
-    return resolved_claims(brz_claims, policy).join(pharmacies, "npi").select(
+    return resolved.join(pharmacies, "npi").select(
         "claim_id",
         "npi",
         "chain",
@@ -106,7 +108,7 @@ def attach_costs(
 ) -> DataFrame:
     """Attach a unit cost to every claim: that known on the fill date, or the newest one."""
     if basis == AS_OF_FILL:
-        costed = asof_join(claims, prices, "ndc", "filled_date", "as_of_date", COST_COLUMNS, span=span)
+        costed = asof_join(claims, prices, "ndc", "filled_date", "as_of_date", COST_COLUMNS, PRICE_PERIOD, span)
     elif basis == LATEST:
         newest = top_one(prices.select("ndc", *COST_COLUMNS), ["ndc"], [F.col("as_of_date").desc()])
         costed = claims.join(newest, "ndc", "left").select(*claims.columns, *COST_COLUMNS)

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.collisions import POLICIES, QUARANTINE_ALL
+from ledgerlake.operators.joins import if_small
 from ledgerlake.plans import bronze, gold, silver
+from ledgerlake.sources.landing import EVENT_SOURCES
 
 LAYERS = {
     "bronze": (
@@ -49,44 +52,126 @@ class Policies:
             raise ValueError(f"cost basis must be one of {silver.COST_BASES}, not {self.cost_basis!r}")
 
 
-def build(landing: Mapping[str, DataFrame], policies: Policies = Policies()) -> dict[str, DataFrame]:
-    """Every table of every layer as a lazy frame over the landed tables."""
-    t: dict[str, DataFrame] = {
-        "brz_claims": bronze.brz_claims(landing["claims"]),
-        "brz_lookups": bronze.brz_lookups(landing["lookups"]),
-        "brz_reverts": bronze.brz_reverts(landing["reverts"]),
-        "brz_nadac": bronze.brz_nadac(landing["nadac"]),
-        "brz_partners": bronze.brz_partners(landing["partners"]),
-        "brz_pharmacies": bronze.brz_pharmacies(landing["pharmacies"]),
-    }
-    rejects = {s: landing[f"{s}_rejects"] for s in ("claims", "reverts", "lookups") if f"{s}_rejects" in landing}
-    if rejects:
-        t["brz_rejects"] = bronze.brz_rejects(rejects)
-    t["slv_pharmacies"] = silver.slv_pharmacies(t["brz_pharmacies"])
-    t["slv_partners"] = silver.slv_partners(t["brz_partners"])
-    t["slv_nadac"] = silver.slv_nadac(t["brz_nadac"])
-    t["slv_claims"] = silver.slv_claims(t["brz_claims"], t["slv_pharmacies"], policies.duplicate_claims)
-    t["slv_lookups"] = silver.slv_lookups(t["brz_lookups"], t["slv_partners"])
-    t["slv_reverts"] = silver.slv_reverts(t["brz_reverts"], t["slv_claims"])
-    # The landed fill times bound the silver ones and cost a scan of one column.
-    fill_dates = landing["claims"].select(F.to_date("filled_at").alias("filled_date"))
-    t["slv_claim_costs"] = silver.attach_costs(t["slv_claims"], t["slv_nadac"], policies.cost_basis, fill_dates)
-    t["slv_claim_economics"] = economics(
-        t["slv_claims"],
-        t["slv_lookups"],
-        t["slv_partners"],
-        silver.first_reverts(landing["reverts"]),
-        t["slv_nadac"],
-        policies.cost_basis,
-        fill_dates,
-    )
-    t["dim_date"] = gold.dim_date(t["slv_claims"], t["slv_lookups"])
-    t["dim_drug"] = gold.dim_drug(t["slv_claims"], t["slv_lookups"], t["slv_nadac"])
-    t["dim_partner"] = gold.dim_partner(t["slv_partners"])
-    t["dim_pharmacy"] = gold.dim_pharmacy(t["slv_pharmacies"])
-    t["fct_claim"] = gold.fct_claim(t["slv_claim_economics"])
-    t["fct_lookup"] = gold.fct_lookup(t["slv_lookups"], t["fct_claim"])
-    return t
+class Warehouse:
+    """Every table of every layer as a lazy frame over the landed tables, made when first asked for."""
+
+    def __init__(self, landing: Mapping[str, DataFrame], policies: Policies = Policies()) -> None:
+        self.landing = landing
+        self.policies = policies
+
+    def tables(self, *layers: str) -> dict[str, DataFrame]:
+        """The tables of the given layers, of all by default, by name."""
+        names = [name for layer in layers or LAYERS for name in LAYERS[layer]]
+        return {name: getattr(self, name) for name in names if name != "brz_rejects" or self._rejects}
+
+    @property
+    def _rejects(self) -> dict[str, DataFrame]:
+        found = {stream: self.landing.get(f"{stream}_rejects") for stream in EVENT_SOURCES}
+        return {stream: table for stream, table in found.items() if table is not None}
+
+    @cached_property
+    def brz_claims(self) -> DataFrame:
+        return bronze.brz_claims(self.landing["claims"])
+
+    @cached_property
+    def brz_lookups(self) -> DataFrame:
+        return bronze.brz_lookups(self.landing["lookups"])
+
+    @cached_property
+    def brz_reverts(self) -> DataFrame:
+        return bronze.brz_reverts(self.landing["reverts"])
+
+    @cached_property
+    def brz_nadac(self) -> DataFrame:
+        return bronze.brz_nadac(self.landing["nadac"])
+
+    @cached_property
+    def brz_partners(self) -> DataFrame:
+        return bronze.brz_partners(self.landing["partners"])
+
+    @cached_property
+    def brz_pharmacies(self) -> DataFrame:
+        return bronze.brz_pharmacies(self.landing["pharmacies"])
+
+    @cached_property
+    def brz_rejects(self) -> DataFrame:
+        return bronze.brz_rejects(self._rejects)
+
+    # The two reference tables are counted once each; every join takes them in the form chosen here.
+    @cached_property
+    def slv_pharmacies(self) -> DataFrame:
+        return if_small(silver.slv_pharmacies(self.brz_pharmacies))
+
+    @cached_property
+    def slv_partners(self) -> DataFrame:
+        return if_small(silver.slv_partners(self.brz_partners))
+
+    @cached_property
+    def slv_nadac(self) -> DataFrame:
+        return silver.slv_nadac(self.brz_nadac)
+
+    @cached_property
+    def resolved_claims(self) -> DataFrame:
+        """Bronze after the collision policy and before the scope filter."""
+        return silver.resolved_claims(self.brz_claims, self.policies.duplicate_claims)
+
+    @cached_property
+    def slv_claims(self) -> DataFrame:
+        return silver.slv_claims(self.resolved_claims, self.slv_pharmacies)
+
+    @cached_property
+    def slv_lookups(self) -> DataFrame:
+        return silver.slv_lookups(self.brz_lookups, self.slv_partners)
+
+    @cached_property
+    def slv_reverts(self) -> DataFrame:
+        return silver.slv_reverts(self.brz_reverts, self.slv_claims)
+
+    @cached_property
+    def _fill_dates(self) -> DataFrame:
+        """The landed fill dates: they bound the silver ones and cost a scan of one column."""
+        return self.landing["claims"].select(F.to_date("filled_at").alias("filled_date"))
+
+    @cached_property
+    def slv_claim_costs(self) -> DataFrame:
+        return silver.attach_costs(self.slv_claims, self.slv_nadac, self.policies.cost_basis, self._fill_dates)
+
+    @cached_property
+    def slv_claim_economics(self) -> DataFrame:
+        return economics(
+            self.slv_claims,
+            # Whether a partner is known matters to the lookup fact only.
+            self.brz_lookups,
+            self.slv_partners,
+            silver.first_reverts(self.landing["reverts"]),
+            self.slv_nadac,
+            self.policies.cost_basis,
+            self._fill_dates,
+        )
+
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        return gold.dim_date(self.slv_claims, self.slv_lookups)
+
+    @cached_property
+    def dim_drug(self) -> DataFrame:
+        return gold.dim_drug(self.slv_claims, self.slv_lookups, self.slv_nadac)
+
+    @cached_property
+    def dim_partner(self) -> DataFrame:
+        return gold.dim_partner(self.slv_partners)
+
+    @cached_property
+    def dim_pharmacy(self) -> DataFrame:
+        return gold.dim_pharmacy(self.slv_pharmacies)
+
+    @cached_property
+    def fct_claim(self) -> DataFrame:
+        return gold.fct_claim(self.slv_claim_economics)
+
+    @cached_property
+    def fct_lookup(self) -> DataFrame:
+        return gold.fct_lookup(self.slv_lookups, self.fct_claim)
 
 
 def economics(
@@ -106,31 +191,29 @@ def economics(
     return silver.slv_claim_economics(silver.price_out(silver.attach_costs(attributed, prices, basis, span)))
 
 
-def register(tables: Mapping[str, DataFrame], layers: tuple[str, ...] = ("bronze", "silver")) -> None:
-    """Offer the layers' tables to SQL as views."""
-    for layer in layers:
-        for name in LAYERS[layer]:
-            if name in tables:
-                tables[name].createOrReplaceTempView(name)
+def register(tables: Mapping[str, DataFrame]) -> None:
+    """Offer tables to SQL as views of the same names."""
+    for name, frame in tables.items():
+        frame.createOrReplaceTempView(name)
 
 
-def materialize(spark: SparkSession, tables: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
+def materialize(spark: SparkSession, warehouse: Warehouse, folder: str) -> dict[str, DataFrame]:
     """Full refresh: bronze and silver as views, gold as stored tables that are also views.
 
     The lookup fact reads the stored claim fact, so the claims are priced once. Facts are stored by
     day; rows are sent to writers by day and a crowded day is split over several of them.
     """
-    register(tables)
-    stored = dict(tables)
+    tables = warehouse.tables("bronze", "silver")
     for name in LAYERS["gold"]:
-        frame = stored[name]
         if name == "fct_lookup":
-            frame = gold.fct_lookup(stored["slv_lookups"], stored["fct_claim"])
+            frame = gold.fct_lookup(warehouse.slv_lookups, tables["fct_claim"])
+        else:
+            frame = getattr(warehouse, name)
         path = f"{folder}/{name}"
         if name.startswith("fct_"):
             frame.hint("rebalance", "date_day").write.mode("overwrite").partitionBy("date_day").parquet(path)
         else:
             frame.write.mode("overwrite").parquet(path)
-        stored[name] = spark.read.parquet(path).select(*frame.columns)
-        stored[name].createOrReplaceTempView(name)
-    return stored
+        tables[name] = spark.read.schema(frame.schema).parquet(path).select(*frame.columns)
+    register(tables)
+    return tables

@@ -40,6 +40,7 @@ def ingest(
     target: str,
     load_id: str,
     only: Collection[str] | None = None,
+    event_glob: str = "*.json",
 ) -> dict[str, DataFrame]:
     """Full refresh of the named sources (all in ``paths`` by default); returns the stored tables."""
     wanted = [name for name in paths if not only or name in only]
@@ -50,7 +51,7 @@ def ingest(
     for name in wanted:
         folder = f"{target}/{name}"
         if name in EVENT_SOURCES:
-            write_quarantine(validated_stream(spark, paths[name], name, load_id), folder)
+            write_quarantine(validated_stream(spark, paths[name], name, load_id, event_glob), folder)
             tables |= read_quarantine(spark, folder, name)
         else:
             TABLE_SOURCES[name](spark, paths[name], load_id).write.mode("overwrite").parquet(folder)

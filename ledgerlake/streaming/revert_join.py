@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.functions.dates import as_instant
+
 
 def claims_with_reverts(claims: DataFrame, reverts: DataFrame, lookback: str, delay: str) -> DataFrame:
     """Left join of two streams: a revert counts if it comes within ``lookback`` of the fill.
@@ -13,17 +15,20 @@ def claims_with_reverts(claims: DataFrame, reverts: DataFrame, lookback: str, de
     emitted once the watermark has passed the end of its lookback. Of several reverts the first to
     arrive counts; the batch build settles which is the earliest.
     """
-    fills = claims.withWatermark("filled_at", delay)
+    fills = claims.withColumn("_filled", as_instant(F.col("filled_at"))).withWatermark("_filled", delay)
     voids = (
-        reverts.select(F.col("claim_id").alias("_claim_id"), "revert_id", "reverted_at")
-        .withWatermark("reverted_at", delay)
+        reverts.select(
+            F.col("claim_id").alias("_claim_id"),
+            "revert_id",
+            "reverted_at",
+            as_instant(F.col("reverted_at")).alias("_reverted"),
+        )
+        .withWatermark("_reverted", delay)
         .dropDuplicatesWithinWatermark(["_claim_id"])
     )
-    in_time = F.expr(
-        f"claim_id = _claim_id AND reverted_at >= filled_at AND reverted_at <= filled_at + INTERVAL {lookback}"
-    )
+    in_time = F.expr(f"claim_id = _claim_id AND _reverted >= _filled AND _reverted <= _filled + INTERVAL {lookback}")
     return (
         fills.join(voids, in_time, "leftOuter")
         .withColumn("is_reverted", F.col("revert_id").isNotNull())
-        .drop("_claim_id")
+        .drop("_claim_id", "_filled", "_reverted")
     )
