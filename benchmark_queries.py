@@ -1144,9 +1144,8 @@ def p4(b: Bench) -> DataFrame:
     database = f"refresh_{uuid.uuid4().hex}"
     b.spark.sql(f"CREATE DATABASE {database} LOCATION '{b.scratch('database')}'")
     table = f"{database}.fct_claim"
-    first = warehouse.Warehouse(known).fct_claim
-    first.hint("rebalance", "date_day").write.partitionBy("date_day").saveAsTable(table)
-    incremental.refresh_fct_claim(b.spark, table, known, fresh)
+    incremental.store_fct_claim(warehouse.Warehouse(known).fct_claim, table, "month")
+    incremental.refresh_fct_claim(b.spark, table, known, fresh, "month")
     return b.spark.table(table).select(*b.fct_claim.columns)
 
 

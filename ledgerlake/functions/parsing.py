@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The accepted spellings.
-NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+NUMBER_PATTERN = r"^[\s\p{Z}]*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?[\s\p{Z}]*$"
 ISO_TIMESTAMP_PATTERN = (
     r"^(?!0000)\d{4}-\d{2}-\d{2}"
     r"([T ]\d{2}(:\d{2}(:\d{2}([.,]\d{1,9})?)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
@@ -28,8 +28,7 @@ def blank_to_null(text: Column) -> Column:
 
 def parse_number(text: Column) -> Column:
     """A decimal or scientific number as double. Words, hex, type suffixes, NaN and infinity give NULL."""
-    trimmed = strip(text)
-    return F.when(trimmed.rlike(NUMBER_PATTERN), trimmed.try_cast("double"))
+    return F.when(text.rlike(NUMBER_PATTERN), strip(text).try_cast("double"))
 
 
 def parse_iso_timestamp(text: Column) -> Column:

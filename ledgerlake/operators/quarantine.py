@@ -35,6 +35,17 @@ class Contract:
     def fields(self) -> list[str]:
         return list(dict.fromkeys(self.columns.values()))
 
+    @property
+    def schema(self) -> str:
+        """The record as it is parsed: all text."""
+        return ", ".join(f"`{name}` string" for name in self.fields)
+
+    @property
+    def typed_schema(self) -> str:
+        """The output columns with their types."""
+        types = dict.fromkeys(self.timestamps, "timestamp_ntz") | dict.fromkeys(self.numbers, "double")
+        return ", ".join(f"`{target}` {types.get(source, 'string')}" for target, source in self.columns.items())
+
 
 # The three event contracts.
 CLAIMS = Contract(
@@ -92,26 +103,36 @@ def non_numeric(typed: Mapping[str, Column], names: Sequence[str]) -> Column:
 def validate(records: DataFrame, contract: Contract, payload: str = "raw_payload") -> DataFrame:
     """Type every record and name the first check it fails in ``reject_reason`` (NULL when clean).
 
-    ``payload`` holds one JSON object per row. All other columns are kept. The order of the checks is
+    ``payload`` holds one JSON object per row. All columns are kept, and a reason given before stands. The order of the checks is
     missing fields, timestamps, numbers, then the contract's rules.
     """
-    schema = ", ".join(f"`{name}` string" for name in contract.fields)
-    parsed = records.withColumn("_record", F.from_json(payload, schema))
     record = F.col("_record")
     typed = {name: record[name] for name in contract.fields}
     typed |= {name: parse_iso_timestamp(record[name]) for name in contract.timestamps}
     typed |= {name: parse_number(record[name]) for name in contract.numbers}
-    columns = [typed[source].alias(target) for target, source in contract.columns.items()]
-    # The typed values are computed once, in a projection of their own, and judged afterwards.
-    values = parsed.select(*records.columns, "_record", *columns)
-    judged = {source: F.col(target) for target, source in contract.columns.items()}
-    checks = [missing_fields(record, contract.required), bad_timestamp(judged, contract.timestamps)]
+    values = F.struct(
+        *[typed[source].alias(target) for target, source in contract.columns.items()],
+        missing_fields(record, contract.required).alias("_missing"),
+    )
+    # Exploding an array of one keeps later filters on the reason from being pushed below the parsing,
+    # which would parse every record again for each column such a filter mentions.
+    judged = (
+        records.withColumn("_record", F.from_json(payload, contract.schema))
+        .select(*records.columns, F.inline(F.array(values)))
+        .withColumn("reject_reason", F.coalesce(*_checks(contract, "reject_reason" in records.columns)))
+    )
+    others = [name for name in records.columns if name != "reject_reason"]
+    return judged.select(*contract.columns, *others, "reject_reason")
+
+
+def _checks(contract: Contract, judged_before: bool) -> list[Column]:
+    """The reasons in order of precedence, each NULL where its check passes."""
+    typed = {source: F.col(target) for target, source in contract.columns.items()}
+    found = [F.col("_missing"), bad_timestamp(typed, contract.timestamps)]
     if contract.numbers:
-        checks.append(non_numeric(judged, contract.numbers))
-    checks += [F.when(F.expr(condition), F.lit(reason)) for condition, reason in contract.rules]
-    if "reject_reason" in records.columns:
-        checks.insert(0, F.col("reject_reason"))
-    return values.withColumn("reject_reason", F.coalesce(*checks)).drop("_record")
+        found.append(non_numeric(typed, contract.numbers))
+    found += [F.when(F.expr(condition), F.lit(reason)) for condition, reason in contract.rules]
+    return [F.col("reject_reason"), *found] if judged_before else found
 
 
 def clean_rows(validated: DataFrame, contract: Contract, lineage: Sequence[str] = ()) -> DataFrame:

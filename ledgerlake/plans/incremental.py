@@ -1,11 +1,11 @@
-"""Refresh only the days of the claim fact that a new load can have changed."""
+"""Refresh only the periods of the claim fact that a new load can have changed."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.joins import if_small
@@ -13,19 +13,33 @@ from ledgerlake.plans import bronze, gold, silver, warehouse
 from ledgerlake.session import scratch_dir
 
 EVENTS = ("claims", "reverts", "lookups")
+# The stored fact is partitioned by this column, the first day of its day, month or year.
+PERIOD = "period_start"
 # Fixed value: the part of the lookback that observed delays may use up.
 LOOKBACK_SHARE = 0.8
 
 
-def affected_days(known: Mapping[str, DataFrame], fresh: Mapping[str, DataFrame], earliest: str | None) -> DataFrame:
-    """Days to recompute, each once, as ``date_day``.
+def period_of(day: Column, grain: str) -> Column:
+    return day if grain == "day" else F.trunc(day, grain)
 
-    These are the days of the new claims, and the days of older claims that a new revert or lookup
-    names or that share their id with a new claim. ``earliest`` caps how far back the search goes.
+
+def store_fct_claim(fct_claim: DataFrame, table: str, grain: str = "day") -> None:
+    """Store a full build, partitioned by period; a crowded period is split over several writers."""
+    staged = fct_claim.withColumn(PERIOD, period_of(F.col("date_day"), grain))
+    staged.hint("rebalance", PERIOD).write.mode("overwrite").partitionBy(PERIOD).saveAsTable(table)
+
+
+def affected_periods(
+    known: Mapping[str, DataFrame], fresh: Mapping[str, DataFrame], grain: str = "day", earliest: str | None = None
+) -> DataFrame:
+    """Periods to recompute, each once.
+
+    These hold the new claims, and the older claims that a new revert or lookup names or that share
+    their id with a new claim. ``earliest`` caps how far back the search goes.
     """
-    older = known["claims"].select("claim_id", F.to_date("filled_at").alias("date_day"))
+    older = known["claims"].select("claim_id", F.to_date("filled_at").alias("_day"))
     if earliest is not None:
-        older = older.filter(F.col("date_day") >= F.lit(earliest).cast("date"))
+        older = older.filter(F.col("_day") >= F.lit(earliest).cast("date"))
     named = (
         fresh["reverts"]
         .select("claim_id")
@@ -34,52 +48,57 @@ def affected_days(known: Mapping[str, DataFrame], fresh: Mapping[str, DataFrame]
         .filter("claim_id IS NOT NULL")
         .distinct()
     )
-    new_days = fresh["claims"].select(F.to_date("filled_at").alias("date_day"))
-    return older.join(named, "claim_id", "left_semi").select("date_day").union(new_days).distinct()
+    new_days = fresh["claims"].select(F.to_date("filled_at").alias("_day"))
+    days = older.join(named, "claim_id", "left_semi").select("_day").union(new_days)
+    return days.select(period_of(F.col("_day"), grain).alias(PERIOD)).filter(F.col(PERIOD).isNotNull()).distinct()
 
 
-def fct_claim_of_days(
-    landing: Mapping[str, DataFrame], days: DataFrame, policies: warehouse.Policies = warehouse.Policies()
+def fct_claim_of_periods(
+    landing: Mapping[str, DataFrame],
+    periods: DataFrame,
+    grain: str = "day",
+    policies: warehouse.Policies = warehouse.Policies(),
 ) -> DataFrame:
-    """The claim fact for some days only, equal to those days of a full build.
+    """The claim fact for some periods only, equal to those periods of a full build.
 
     Ids are compared over the whole landing table, of which this reads one column; all else is limited
-    to the days before any further join.
+    to the periods before any further join.
     """
-    wanted = days.select(F.col("date_day").alias("filled_date"))
     flagged = bronze.brz_claims(landing["claims"])
-    resolved = silver.resolved_claims(flagged, policies.duplicate_claims).join(wanted, "filled_date", "left_semi")
+    resolved = (
+        silver.resolved_claims(flagged, policies.duplicate_claims)
+        .withColumn(PERIOD, period_of(F.col("filled_date"), grain))
+        .join(if_small(periods), PERIOD, "left_semi")
+        .drop(PERIOD)
+    )
     partners = if_small(silver.slv_partners(bronze.brz_partners(landing["partners"])))
     pharmacies = if_small(silver.slv_pharmacies(bronze.brz_pharmacies(landing["pharmacies"])))
-    claims = resolved.join(pharmacies, "npi")
-    return gold.fct_claim(
-        warehouse.economics(
-            claims,
-            bronze.brz_lookups(landing["lookups"]),
-            partners,
-            silver.first_reverts(landing["reverts"]),
-            silver.slv_nadac(bronze.brz_nadac(landing["nadac"])),
-            policies.cost_basis,
-            wanted,
-        )
+    economics = warehouse.economics(
+        silver.slv_claims(resolved, pharmacies),
+        bronze.brz_lookups(landing["lookups"]),
+        partners,
+        silver.first_reverts(landing["reverts"]),
+        silver.slv_nadac(bronze.brz_nadac(landing["nadac"])),
+        policies.cost_basis,
+        landing["claims"].select(F.to_date("filled_at").alias("filled_date")),
     )
+    return gold.fct_claim(economics)
 
 
-def replace_days(spark: SparkSession, table: str, rows: DataFrame, days: DataFrame) -> None:
-    """Put ``rows`` in place of the given days of a stored table partitioned by date_day.
+def replace_periods(spark: SparkSession, table: str, rows: DataFrame, periods: DataFrame, grain: str) -> None:
+    """Put ``rows`` in place of the given periods of the stored fact.
 
-    The rows are computed once, into the scratch folder, and put in place from there, day by day. A day
-    that lost its last row would keep its old ones, so its partition is dropped; only such days, a
-    handful of dates, reach the driver. A rerun after a failure gives the same table.
+    The rows are computed once, into the scratch folder, and put in place from there, partition by
+    partition. A period that lost its last row would keep its old ones, so its partition is dropped;
+    only such periods, a handful of dates, reach the driver. A rerun after a failure gives the same
+    table.
     """
-    staged = scratch_dir(spark, "days")
-    rows.hint("rebalance", "date_day").write.partitionBy("date_day").parquet(staged)
-    ready = spark.read.schema(rows.schema).parquet(staged)
+    staged = _stage(spark, rows.withColumn(PERIOD, period_of(F.col("date_day"), grain)), "fct-claim")
     with _dynamic_overwrite(spark):
-        ready.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
-    gone = days.join(ready.select("date_day").distinct(), "date_day", "left_anti").filter("date_day IS NOT NULL")
-    for (day,) in gone.collect():
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (date_day = DATE'{day}')")
+        staged.select(*spark.table(table).columns).hint("rebalance", PERIOD).write.insertInto(table, overwrite=True)
+    emptied = periods.join(staged.select(PERIOD).distinct(), PERIOD, "left_anti")
+    for (start,) in emptied.collect():
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({PERIOD} = DATE'{start}')")
 
 
 def refresh_fct_claim(
@@ -87,13 +106,14 @@ def refresh_fct_claim(
     table: str,
     known: Mapping[str, DataFrame],
     fresh: Mapping[str, DataFrame],
+    grain: str = "day",
     policies: warehouse.Policies = warehouse.Policies(),
     earliest: str | None = None,
 ) -> None:
     """Bring a stored claim fact up to date with a new load; reference tables come from ``known``."""
     merged = dict(known) | {name: known[name].unionByName(fresh[name]) for name in EVENTS}
-    days = affected_days(known, fresh, earliest)
-    replace_days(spark, table, fct_claim_of_days(merged, days, policies), days)
+    periods = _stage(spark, affected_periods(known, fresh, grain, earliest), "periods")
+    replace_periods(spark, table, fct_claim_of_periods(merged, periods, grain, policies), periods, grain)
 
 
 def lookback_suffices(fct_claim: DataFrame, lookback_hours: float, share: float = LOOKBACK_SHARE) -> DataFrame:
@@ -103,6 +123,13 @@ def lookback_suffices(fct_claim: DataFrame, lookback_hours: float, share: float
     )
 
 
+def _stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """The frame as a written table in the shared scratch folder, computed once."""
+    path = scratch_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def _dynamic_overwrite(spark: SparkSession):
     name = "spark.sql.sources.partitionOverwriteMode"

@@ -200,8 +200,8 @@ def register(tables: Mapping[str, DataFrame]) -> None:
 def materialize(spark: SparkSession, warehouse: Warehouse, folder: str) -> dict[str, DataFrame]:
     """Full refresh: bronze and silver as views, gold as stored tables that are also views.
 
-    The lookup fact reads the stored claim fact, so the claims are priced once. Facts are stored by
-    day; rows are sent to writers by day and a crowded day is split over several of them.
+    The lookup fact reads the stored claim fact, so the claims are priced once. A fact that is kept up
+    to date by parts is stored by ``plans.incremental`` instead.
     """
     tables = warehouse.tables("bronze", "silver")
     for name in LAYERS["gold"]:
@@ -209,11 +209,7 @@ def materialize(spark: SparkSession, warehouse: Warehouse, folder: str) -> dict[
             frame = gold.fct_lookup(warehouse.slv_lookups, tables["fct_claim"])
         else:
             frame = getattr(warehouse, name)
-        path = f"{folder}/{name}"
-        if name.startswith("fct_"):
-            frame.hint("rebalance", "date_day").write.mode("overwrite").partitionBy("date_day").parquet(path)
-        else:
-            frame.write.mode("overwrite").parquet(path)
-        tables[name] = spark.read.schema(frame.schema).parquet(path).select(*frame.columns)
+        frame.write.mode("overwrite").parquet(f"{folder}/{name}")
+        tables[name] = spark.read.schema(frame.schema).parquet(f"{folder}/{name}")
     register(tables)
     return tables

@@ -26,10 +26,12 @@ def write_quarantine(validated: DataFrame, path: str) -> None:
 
 def read_quarantine(spark: SparkSession, path: str, stream: str) -> dict[str, DataFrame]:
     """The clean table and the ``_rejects`` table of a stream; each reads its own partition only."""
-    # A load without any reject has no partition for them; stating the type keeps the column boolean.
-    stored = spark.read.parquet(path).withColumn(ROUTE, F.col(ROUTE).cast("boolean"))
+    contract = CONTRACTS[stream]
+    # The types are stated: partition values would else be guessed from their text.
+    schema = f"{contract.typed_schema}, raw_payload string, reject_reason string, source_file string, load_id string"
+    stored = spark.read.schema(f"{schema}, {ROUTE} boolean").parquet(path)
     return {
-        stream: clean_rows(stored.filter(~F.col(ROUTE)), CONTRACTS[stream], LINEAGE),
+        stream: clean_rows(stored.filter(~F.col(ROUTE)), contract, LINEAGE),
         f"{stream}_rejects": reject_rows(stored.filter(ROUTE), LINEAGE),
     }
 
