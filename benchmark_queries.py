@@ -447,7 +447,7 @@ def attributed(b: Bench) -> DataFrame:
 add("l11_attributed_claims", attributed, "select * from attributed")
 add(
     "l12_priced_claims",
-    lambda b: silver.price_out(attributed(b)).select(
+    lambda b: silver.price_out(silver.split_fees(attributed(b))).select(
         "claim_id", "is_reverted", "drug_cost", "unit_price", "partner_fee"
     ),
     "select claim_id, is_reverted, drug_cost, unit_price, partner_fee::double as partner_fee from priced",
@@ -1118,8 +1118,8 @@ HISTORY_SQL = """
 add("p3_partner_history", history, HISTORY_SQL)
 add(
     "p3_dated_partner_terms",
-    lambda b: silver.price_out(
-        silver.attribute_dated(b.slv_claim_costs, b.slv_lookups, history(b), b.slv_reverts)
+    lambda b: silver.split_fees(
+        silver.attribute_dated(b.slv_claims, b.slv_lookups, history(b), b.slv_reverts)
     ).select("claim_id", "partner", "fee_type", "partner_fee"),
     f"""with h as ({HISTORY_SQL}),
              claim_terms as (select c.claim_id, c.pbm_fee, l.partner, h.fee_cents, h.fee_percentage

@@ -97,8 +97,18 @@ def fct_claim(economics: DataFrame) -> DataFrame:
     )
 
 
+def lookup_context(claim_fees: DataFrame) -> DataFrame:
+    """What the lookup fact shows of a claim. It takes no cost, so none need be joined for it."""
+    wanted = ["net_revenue", "net_pbm_fee", "net_retained_margin"]
+    nets = net_measures(F.col("is_reverted"), {net: NET_PAIRS[net] for net in wanted})
+    return claim_fees.select("claim_id", "chain", "is_reverted", "filled_at", *nets)
+
+
 def fct_lookup(lookups: DataFrame, claims: DataFrame) -> DataFrame:
-    """One row per lookup with what became of it; most lookups name no claim."""
+    """One row per lookup with what became of it; most lookups name no claim.
+
+    ``claims`` is the claim fact, or its ``lookup_context``.
+    """
     context = ["chain", "is_reverted", "net_revenue", "net_pbm_fee", "net_retained_margin", "filled_at"]
     return left_join_sparse_key(lookups, claims, "claim_id", context).select(
         "lookup_id",

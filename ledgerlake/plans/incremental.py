@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from contextlib import contextmanager
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.joins import if_small
-from ledgerlake.plans import bronze, gold, silver, warehouse
+from ledgerlake.plans import warehouse
 from ledgerlake.session import scratch_dir
 
 EVENTS = ("claims", "reverts", "lookups")
@@ -64,25 +65,22 @@ def fct_claim_of_periods(
     Ids are compared over the whole landing table, of which this reads one column; all else is limited
     to the periods before any further join.
     """
-    flagged = bronze.brz_claims(landing["claims"])
-    resolved = (
-        silver.resolved_claims(flagged, policies.duplicate_claims)
-        .withColumn(PERIOD, period_of(F.col("filled_date"), grain))
-        .join(if_small(periods), PERIOD, "left_semi")
-        .drop(PERIOD)
-    )
-    partners = if_small(silver.slv_partners(bronze.brz_partners(landing["partners"])))
-    pharmacies = if_small(silver.slv_pharmacies(bronze.brz_pharmacies(landing["pharmacies"])))
-    economics = warehouse.economics(
-        silver.slv_claims(resolved, pharmacies),
-        bronze.brz_lookups(landing["lookups"]),
-        partners,
-        silver.first_reverts(landing["reverts"]),
-        silver.slv_nadac(bronze.brz_nadac(landing["nadac"])),
-        policies.cost_basis,
-        landing["claims"].select(F.to_date("filled_at").alias("filled_date")),
-    )
-    return gold.fct_claim(economics)
+    return _PeriodWarehouse(landing, policies, periods, grain).fct_claim
+
+
+class _PeriodWarehouse(warehouse.Warehouse):
+    """The layers with silver claims, and so all that follows from them, limited to some periods."""
+
+    def __init__(
+        self, landing: Mapping[str, DataFrame], policies: warehouse.Policies, periods: DataFrame, grain: str
+    ) -> None:
+        super().__init__(landing, policies)
+        self.periods, self.grain = periods, grain
+
+    @cached_property
+    def resolved_claims(self) -> DataFrame:
+        everything = super().resolved_claims.withColumn(PERIOD, period_of(F.col("filled_date"), self.grain))
+        return everything.join(if_small(self.periods), PERIOD, "left_semi").drop(PERIOD)
 
 
 def replace_periods(spark: SparkSession, table: str, rows: DataFrame, periods: DataFrame, grain: str) -> None:

@@ -155,18 +155,22 @@ def _with_reverts(claims: DataFrame, reverts: DataFrame) -> DataFrame:
     return claims.join(reverts.select("claim_id", "revert_id", "reverted_at"), "claim_id", "left")
 
 
-def price_out(attributed: DataFrame) -> DataFrame:
-    """Cost, fee split and reversal of a claim that has its terms and unit cost."""
+def split_fees(attributed: DataFrame) -> DataFrame:
+    """Reversal, unit price and fee split of attributed claims; needs no cost."""
+    fee = partner_fee_share(F.col("pbm_fee"), F.col("fee_cents"), F.col("fee_percentage"))
     return (
         attributed.withColumn("is_reverted", F.col("revert_id").isNotNull())
-        .withColumn("drug_cost", F.col("nadac_per_unit") * F.col("quantity"))
         .withColumn("unit_price", F.try_divide("price", F.nullif("quantity", F.lit(0.0))))
-        .withColumn(
-            "partner_fee", partner_fee_share(F.col("pbm_fee"), F.col("fee_cents"), F.col("fee_percentage"))
-        )
+        .withColumn("partner_fee", fee)
+        .withColumn("retained_margin", F.col("pbm_fee") - F.col("partner_fee"))
     )
 
 
+def price_out(costed: DataFrame) -> DataFrame:
+    """The cost of the quantity sold, unknown without a unit cost."""
+    return costed.withColumn("drug_cost", F.col("nadac_per_unit") * F.col("quantity"))
+
+
 def slv_claim_economics(priced: DataFrame) -> DataFrame:
     """What each party keeps of a claim; the pharmacy's margin is unknown without a cost."""
     return priced.select(
@@ -191,7 +195,7 @@ def slv_claim_economics(priced: DataFrame) -> DataFrame:
         "nadac_per_unit",
         "cost_as_of_date",
         "partner_fee",
-        (F.col("pbm_fee") - F.col("partner_fee")).alias("retained_margin"),
+        "retained_margin",
         (F.col("price") - F.col("drug_cost") - F.col("pbm_fee")).alias("pharmacy_margin"),
         "is_generic",
         "flag_cost_unavailable",

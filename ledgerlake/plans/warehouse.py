@@ -136,18 +136,21 @@ class Warehouse:
     def slv_claim_costs(self) -> DataFrame:
         return silver.attach_costs(self.slv_claims, self.slv_nadac, self.policies.cost_basis, self._fill_dates)
 
+    @cached_property
+    def claim_fees(self) -> DataFrame:
+        """Claims with partner, reversal and fee split, before any cost.
+
+        All large inputs meet on claim_id here. The cost join needs another key; put after, it costs
+        one shuffle of the claims instead of two, and what needs no cost does not pay for it.
+        """
+        # Whether a partner is known matters to the lookup fact only, hence the bronze lookups.
+        reverts = silver.first_reverts(self.landing["reverts"])
+        return silver.split_fees(silver.attribute(self.slv_claims, self.brz_lookups, self.slv_partners, reverts))
+
     @cached_property
     def slv_claim_economics(self) -> DataFrame:
-        return economics(
-            self.slv_claims,
-            # Whether a partner is known matters to the lookup fact only.
-            self.brz_lookups,
-            self.slv_partners,
-            silver.first_reverts(self.landing["reverts"]),
-            self.slv_nadac,
-            self.policies.cost_basis,
-            self._fill_dates,
-        )
+        costed = silver.attach_costs(self.claim_fees, self.slv_nadac, self.policies.cost_basis, self._fill_dates)
+        return silver.slv_claim_economics(silver.price_out(costed))
 
     @cached_property
     def dim_date(self) -> DataFrame:
@@ -171,24 +174,7 @@ class Warehouse:
 
     @cached_property
     def fct_lookup(self) -> DataFrame:
-        return gold.fct_lookup(self.slv_lookups, self.fct_claim)
-
-
-def economics(
-    claims: DataFrame,
-    lookups: DataFrame,
-    partners: DataFrame,
-    reverts: DataFrame,
-    prices: DataFrame,
-    basis: str = silver.AS_OF_FILL,
-    span: DataFrame | None = None,
-) -> DataFrame:
-    """Claim economics, with the joins on claim_id first, while the claims still lie by that key.
-
-    The cost join needs another key; put last, it costs one shuffle of the claims instead of two.
-    """
-    attributed = silver.attribute(claims, lookups, partners, reverts)
-    return silver.slv_claim_economics(silver.price_out(silver.attach_costs(attributed, prices, basis, span)))
+        return gold.fct_lookup(self.slv_lookups, gold.lookup_context(self.claim_fees))
 
 
 def register(tables: Mapping[str, DataFrame]) -> None:

@@ -31,21 +31,19 @@ def json_records(files: DataFrame) -> DataFrame:
     is checked by streaming functions, which take files of any size.
     """
     text = F.col("value")
-    is_array = F.json_array_length(text).isNotNull() & text.rlike(r"\]\s*$")
-    is_object = F.json_object_keys(text).isNotNull() & text.rlike(r"\}\s*$")
+    shaped = files.select(
+        "*",
+        (F.json_array_length(text).isNotNull() & text.rlike(r"\]\s*$")).alias("_array"),
+        (F.json_object_keys(text).isNotNull() & text.rlike(r"\}\s*$")).alias("_object"),
+    )
     # Only what is neither is parsed as a whole, to tell a scalar from broken text.
-    broken = ~is_array & ~is_object & F.try_parse_json(text).isNull()
-    # A repartition by content would follow here only if single files were huge; files are the unit.
-    elements = (
-        F.when(is_array, F.from_json(text, "array<string>"))
-        .when(is_object | broken, F.array(text))
+    broken = ~F.col("_array") & ~F.col("_object") & F.try_parse_json(text).isNull()
+    elements = F.when(F.col("_array"), F.from_json(text, "array<string>")).when(
+        F.col("_object") | F.col("reject_reason").isNotNull(), F.array(text)
     )
     return (
-        files.select(
-            "source_file",
-            F.when(broken, F.lit(UNREADABLE_FILE)).alias("reject_reason"),
-            F.explode(elements).alias("raw_payload"),
-        )
+        shaped.withColumn("reject_reason", F.when(broken, F.lit(UNREADABLE_FILE)))
+        .select("source_file", "reject_reason", F.explode(elements).alias("raw_payload"))
         .filter(F.col("reject_reason").isNotNull() | F.col("raw_payload").rlike(r"^\s*\{"))
     )
 
