@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.money import ratio
+from ledgerlake.session import stage
 
 
 def correlation(df: DataFrame, x: str, y: str, name: str = "correlation") -> DataFrame:
@@ -15,13 +16,14 @@ def correlation(df: DataFrame, x: str, y: str, name: str = "correlation") -> Dat
 
 
 def quantile_profile(df: DataFrame, by: str, measure: str, groups: int = 5) -> DataFrame:
-    """Split rows into equal groups by rank of a non-negative column; rows, bounds and mean per group.
+    """Split rows into equal groups by rank of a column; rows, bounds and mean of a measure per group.
 
     Exact, and no task sees the whole column. Equal values always share a group, so the rows first
-    collapse to one per distinct value. The rank of a value is the count of all smaller ones: those in
-    lower magnitude chunks (64 per doubling, so the table of chunks is bounded) plus those of its own.
+    collapse to one per distinct value. These are cut into ranges of like size, whatever their
+    distribution, and stored with the number of their range. The rank of a value is the count of all
+    smaller ones: those in lower ranges plus those before it in its own.
     """
-    values = (
+    values = stage(
         df.filter(F.col(by).isNotNull())
         .groupBy(F.col(by).alias("_value"))
         .agg(
@@ -29,9 +31,12 @@ def quantile_profile(df: DataFrame, by: str, measure: str, groups: int = 5) -> D
             F.sum(measure).alias("_sum"),
             F.count(measure).alias("_known"),
         )
-        .withColumn("_chunk", F.floor(F.log2(F.col("_value") + 1) * 64))
+        .repartitionByRange("_value")
+        .withColumn("_chunk", F.spark_partition_id()),
+        "quantiles",
     )
     lower = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range: as many as there are shuffle partitions.
     chunks = (
         values.groupBy("_chunk")
         .agg(F.sum("_n").alias("_in_chunk"))
@@ -44,7 +49,7 @@ def quantile_profile(df: DataFrame, by: str, measure: str, groups: int = 5) -> D
     smaller = Window.partitionBy("_chunk").orderBy("_value").rowsBetween(Window.unboundedPreceding, -1)
     rank = F.col("_below") + F.coalesce(F.sum("_n").over(smaller), F.lit(0))
     return (
-        values.join(chunks, "_chunk")
+        values.join(F.broadcast(chunks), "_chunk")
         .withColumn("quantile", (F.floor(rank * groups / F.col("_total")) + 1).cast("bigint"))
         .groupBy("quantile")
         .agg(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.operators.joins import if_small
 from ledgerlake.plans import warehouse
-from ledgerlake.session import scratch_dir
+from ledgerlake.session import stage
 
 EVENTS = ("claims", "reverts", "lookups")
 # The stored fact is partitioned by this column, the first day of its day, month or year.
@@ -91,7 +91,7 @@ def replace_periods(spark: SparkSession, table: str, rows: DataFrame, periods: D
     only such periods, a handful of dates, reach the driver. A rerun after a failure gives the same
     table.
     """
-    staged = _stage(spark, rows.withColumn(PERIOD, period_of(F.col("date_day"), grain)), "fct-claim")
+    staged = stage(rows.withColumn(PERIOD, period_of(F.col("date_day"), grain)), "fct-claim")
     with _dynamic_overwrite(spark):
         staged.select(*spark.table(table).columns).hint("rebalance", PERIOD).write.insertInto(table, overwrite=True)
     emptied = periods.join(staged.select(PERIOD).distinct(), PERIOD, "left_anti")
@@ -110,7 +110,7 @@ def refresh_fct_claim(
 ) -> None:
     """Bring a stored claim fact up to date with a new load; reference tables come from ``known``."""
     merged = dict(known) | {name: known[name].unionByName(fresh[name]) for name in EVENTS}
-    periods = _stage(spark, affected_periods(known, fresh, grain, earliest), "periods")
+    periods = stage(affected_periods(known, fresh, grain, earliest), "periods")
     replace_periods(spark, table, fct_claim_of_periods(merged, periods, grain, policies), periods, grain)
 
 
@@ -121,13 +121,6 @@ def lookback_suffices(fct_claim: DataFrame, lookback_hours: float, share: float
     )
 
 
-def _stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """The frame as a written table in the shared scratch folder, computed once."""
-    path = scratch_dir(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 @contextmanager
 def _dynamic_overwrite(spark: SparkSession):
     name = "spark.sql.sources.partitionOverwriteMode"

@@ -9,6 +9,7 @@ from ledgerlake.functions.dates import hours_between
 from ledgerlake.functions.money import fee_type, partner_fee_share
 from ledgerlake.operators.asof import asof_join, join_validity
 from ledgerlake.operators.collisions import resolve_collisions
+from ledgerlake.operators.joins import if_small
 from ledgerlake.operators.ranks import top_one
 
 # The cost bases.
@@ -144,7 +145,7 @@ def attribute(claims: DataFrame, lookups: DataFrame, partners: DataFrame, revert
 def attribute_dated(claims: DataFrame, lookups: DataFrame, history: DataFrame, reverts: DataFrame) -> DataFrame:
     """As ``attribute`` with the terms in force on the fill date, from a versioned partner table."""
     attributed = claims.join(converting_lookups(lookups), "claim_id", "left")
-    dated = history.withColumn("fee_type", fee_type(F.col("fee_cents"), F.col("fee_percentage")))
+    dated = if_small(history).withColumn("fee_type", fee_type(F.col("fee_cents"), F.col("fee_percentage")))
     terms = ["fee_cents", "fee_percentage", "fee_type"]
     return _with_reverts(
         join_validity(attributed, dated, "partner", "filled_date", "valid_from", "valid_to", terms), reverts

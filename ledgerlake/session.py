@@ -1,11 +1,11 @@
-"""Session settings the operators rely on, and the shared scratch folder."""
+"""Session settings the operators rely on, and tables in the shared scratch folder."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Every one is a runtime SQL setting. A hot join key is split by AQE, also where the split
 # costs a further shuffle downstream; small sides become broadcasts only below Spark's own
@@ -43,3 +43,10 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
         root = tempfile.mkdtemp(prefix="ledgerlake-")
         spark.conf.set(SCRATCH_SETTING, root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a written table in the scratch folder: computed once, safe when executors are lost."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
