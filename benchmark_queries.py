@@ -1155,18 +1155,20 @@ add(
     lambda b: incremental.lookback_suffices(b.fct_claim, 72),
     "select max(hours_to_revert) as longest_hours from fct_claim having max(hours_to_revert) > 72 * 0.8",
 )
+# A stage without rows is worth nothing, so that the stages add up to what landed.
+EMPTY_IS_ZERO = "coalesce(sum(price), 0)"
 add(
     "p5_revenue_reconciliation",
     lambda b: marts.gld_revenue_reconciliation(
         b.brz_claims, b.landing["claims_rejects"], b.resolved_claims, b.slv_pharmacies, b.fct_claim
     ).withColumn("gross_price", money.round_total(F.col("gross_price"))),
-    f"""select 'landed' as stage, count(*) as claims, {total('sum(price)')} as gross_price from claims
+    f"""select 'landed' as stage, count(*) as claims, {total(EMPTY_IS_ZERO)} as gross_price from claims
         union all select 'rejected at ingest', count(*), null from judged_claims where reject_reason is not null
-        union all select 'excluded: duplicate claim id', count(*), {total('sum(price)')} from brz_claims where flag_duplicate_claim_id
-        union all select 'excluded: pharmacy not in reference', count(*), {total('sum(price)')} from unique_claims
+        union all select 'excluded: duplicate claim id', count(*), {total(EMPTY_IS_ZERO)} from brz_claims where flag_duplicate_claim_id
+        union all select 'excluded: pharmacy not in reference', count(*), {total(EMPTY_IS_ZERO)} from unique_claims
                   where npi not in (select npi from slv_pharmacies)
-        union all select 'reverted', count(*), {total('sum(price)')} from fct_claim where is_reverted
-        union all select 'net revenue', count(*), {total('sum(net_revenue)')} from fct_claim where not is_reverted""",
+        union all select 'reverted', count(*), {total(EMPTY_IS_ZERO)} from fct_claim where is_reverted
+        union all select 'net revenue', count(*), {total('coalesce(sum(net_revenue), 0)')} from fct_claim where not is_reverted""",
 )
 LOAD_OF_DAY = "date_format(ts, 'yyyy-MM-dd')"
 
