@@ -251,9 +251,10 @@ add(
 
 
 def k4(b: Bench) -> DataFrame:
-    warehouse.materialize(b.spark, b, b.scratch("gold"))
-    names = [name for layer in warehouse.LAYERS.values() for name in layer]
-    counts = " UNION ALL ".join(f"SELECT '{name}' AS table_name, count(*) AS n_rows FROM {name}" for name in names)
+    prefix = f"k4_{uuid.uuid4().hex}_"
+    warehouse.materialize(b.spark, b, b.scratch("layers"), prefix=prefix)
+    names = {name: f"{prefix}gold.{name}" if layer == "gold" else name for layer in warehouse.LAYERS for name in warehouse.LAYERS[layer]}
+    counts = " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS n_rows FROM {t}" for n, t in names.items())
     return b.spark.sql(counts)
 
 
@@ -400,8 +401,8 @@ for number, name in enumerate(
 
 
 def both_policies(b: Bench) -> DataFrame:
-    resolved = {p: b.under(duplicate_claims=p).resolved_claims for p in ("quarantine_all", "keep_earliest")}
-    return stacked(**{p: t.drop("flag_duplicate_claim_id") for p, t in resolved.items()})
+    flagged = b.brz_claims.drop("flag_duplicate_claim_id")
+    return stacked(**{p: silver.resolved_claims(flagged, p) for p in ("quarantine_all", "keep_earliest")})
 
 
 add(
@@ -590,12 +591,12 @@ add(
 )
 add(
     "a8_correlation",
-    lambda b: profile.correlation(b.fct_claim, "pbm_fee", "price").select(F.round("correlation", 9).alias("correlation")),
+    lambda b: profile.correlation(b.fee_fact, "pbm_fee", "price").select(F.round("correlation", 9).alias("correlation")),
     f"select {ratio('corr(pbm_fee, price)', 9)} as correlation from fct_claim",
 )
 add(
     "a8_fee_quintiles",
-    lambda b: reports.fee_quintiles(b.fct_claim).withColumn("avg_pbm_fee", money.round_ratio(F.col("avg_pbm_fee"), 4)),
+    lambda b: reports.fee_quintiles(b.fee_fact).withColumn("avg_pbm_fee", money.round_ratio(F.col("avg_pbm_fee"), 4)),
     f"""select (floor(5 * (r - 1) / n) + 1)::bigint as quantile, count(*) as n_rows, min(price) as min_price,
                max(price) as max_price, {ratio('avg(pbm_fee)', 4)} as avg_pbm_fee
         from (select *, rank() over (order by price) as r, count(*) over () as n from fct_claim) group by 1""",
@@ -824,7 +825,7 @@ Q1_SQL = f"""
            {ratio('100.0 * sum(net_partner_fee) / nullif(sum(net_pbm_fee), 0)', 1)} as pct_of_fee_paid_out,
            {ratio(PERCENT.format('is_reverted', 'count(*)'), 2)} as revert_rate_pct
     from fct_claim where chain = '{CHAIN}' group by partner"""
-add("q1_partner_value", lambda b: reports.partner_value(b.fct_claim, CHAIN), Q1_SQL)
+add("q1_partner_value", lambda b: reports.partner_value(b.fee_fact, CHAIN), Q1_SQL)
 add(
     "q2_conversion_funnel",
     lambda b: reports.conversion_funnel(b.fct_lookup),
@@ -857,7 +858,7 @@ add(
 )
 add(
     "q5_fee_term_scenario",
-    lambda b: reports.fee_term_scenario(b.fct_claim, b.dim_partner, 1.0),
+    lambda b: reports.fee_term_scenario(b.fee_fact, b.dim_partner, 1.0),
     f"""select partner, d.fee_type, coalesce(fee_cents, fee_percentage) as term, sum(net_fills)::bigint as fills,
                {total('sum(net_pbm_fee)')} as fee_collected, {total('sum(net_partner_fee)')} as paid_now,
                {total('sum(net_retained_margin)')} as retained_now, {total('sum(net_fills)')} as paid_if_flat,
@@ -872,7 +873,7 @@ add(
 )
 add(
     "q7_retained_by_partner",
-    lambda b: reports.retained_by_partner(b.fct_claim),
+    lambda b: reports.retained_by_partner(b.fee_fact),
     f"select partner, {total('sum(net_retained_margin)')} as retained_margin from fct_claim group by 1",
 )
 
@@ -900,9 +901,10 @@ def metric(number: int, name: str, source: str, definitions: Callable[[], dict[s
     def run(b: Bench) -> DataFrame:
         only = {name: money.round_total(definitions()[name], 4)}
         by = "partner" if source.startswith("fct_") else "source_file"
-        overall = metrics.measure(getattr(b, source), only).withColumn("of", F.lit("all"))
-        grouped = metrics.measure(getattr(b, source), only, by).withColumnRenamed(by, "of")
-        return overall.unionByName(grouped)
+        # Only cost coverage looks at costs.
+        table = b.fee_fact if source == "fct_claim" and name != "cost_coverage" else getattr(b, source)
+        overall = metrics.measure(table, only).withColumn("of", F.lit("all"))
+        return overall.unionByName(metrics.measure(table, only, by).withColumnRenamed(by, "of"))
 
     by = "partner" if source.startswith("fct_") else "source_file"
     add(
@@ -1010,14 +1012,14 @@ add(
 
 def overpaid(b: Bench) -> DataFrame:
     """The claim fact with some partner fees raised far above the fee."""
-    return b.fct_claim.withColumn(
+    return b.fee_fact.withColumn(
         "partner_fee", F.when(F.col("quantity") == 50, F.col("pbm_fee") + 5).otherwise(F.col("partner_fee"))
     )
 
 
 add("t9_fee_identity", lambda b: assertions.fee_identity(overpaid(b)),
     "select claim_id from fct_claim where quantity = 50 and abs(pbm_fee + 5 + retained_margin - pbm_fee) > 0.0001")
-add("t9_fee_identity_holds", lambda b: assertions.fee_identity(b.fct_claim),
+add("t9_fee_identity_holds", lambda b: assertions.fee_identity(b.fee_fact),
     "select claim_id from fct_claim where abs(partner_fee + retained_margin - pbm_fee) > 0.0001")
 add("t10_snapshots_loaded", lambda b: assertions.snapshots_loaded(b.brz_nadac, 100),
     """select count(*) as rows_loaded, count(distinct as_of_date) as snapshots from brz_nadac
@@ -1074,7 +1076,7 @@ add(
 
 add(
     "p1_partner_performance",
-    lambda b: rounded(marts.gld_partner_performance(b.fct_claim), ["revenue", "fee_collected", "fee_paid_out", "margin_retained"], ["payout_ratio", "revert_rate"]),
+    lambda b: rounded(marts.gld_partner_performance(b.fee_fact), ["revenue", "fee_collected", "fee_paid_out", "margin_retained"], ["payout_ratio", "revert_rate"]),
     f"""select partner, chain, date_trunc('month', date_day)::date as month_start, count(*) as claims,
                sum(net_fills)::bigint as fills, {total('sum(net_revenue)')} as revenue,
                {total('sum(net_pbm_fee)')} as fee_collected, {total('sum(net_partner_fee)')} as fee_paid_out,
@@ -1170,6 +1172,22 @@ add(
         union all select 'reverted', count(*), {total(EMPTY_IS_ZERO)} from fct_claim where is_reverted
         union all select 'net revenue', count(*), {total('coalesce(sum(net_revenue), 0)')} from fct_claim where not is_reverted""",
 )
+add(
+    "p6_stale_streams",
+    lambda b: assertions.stale_streams(
+        {
+            "claims": (b.landing["claims"], "filled_at"),
+            "reverts": (b.landing["reverts"], "reverted_at"),
+            "lookups": (b.landing["lookups"], "looked_up_at"),
+        },
+        "2001-11-06T00:00:00",
+        72,
+    ),
+    """select * from (select 'claims' as stream, max(filled_at) as newest from claims
+                      union all select 'reverts', max(reverted_at) from reverts
+                      union all select 'lookups', max(looked_up_at) from lookups)
+       where newest < timestamp '2001-11-06' - interval 72 hour""",
+)
 LOAD_OF_DAY = "date_format(ts, 'yyyy-MM-dd')"
 
 

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlake.operators.joins import fresh, tagged
+
 # Steps of the periods that validity intervals are cut into.
 PERIOD_STEPS = {
     "week": "INTERVAL 7 DAYS",
@@ -31,10 +33,10 @@ def join_validity(
 ) -> DataFrame:
     """Left join each row to the interval of its key that holds ``at``; intervals must not overlap."""
     right = intervals.select(
-        F.col(by).alias("_by"), F.col(start).alias("_from"), F.col(until).alias("_until"), *_fresh(columns)
+        tagged(F.col(by)).alias("_by"), F.col(start).alias("_from"), F.col(until).alias("_until"), *fresh(columns)
     )
     matches = (
-        (F.col(by) == F.col("_by"))
+        (tagged(F.col(by)) == F.col("_by"))
         & (F.col(at) >= F.col("_from"))
         & (F.col("_until").isNull() | (F.col(at) < F.col("_until")))
     )
@@ -85,7 +87,7 @@ def asof_join(
             ),
         )
         .select(
-            F.col(by).alias("_by"), F.col(right_time).alias("_from"), "_until", "_period", *_fresh(columns)
+            F.col(by).alias("_by"), F.col(right_time).alias("_from"), "_until", "_period", *fresh(columns)
         )
     )
     matches = (
@@ -130,7 +132,3 @@ def asof_join_sorted(
     matches = (F.col(by) == F.col("_by")) & (F.col(left_time) == F.col("_at"))
     return left.join(answered, matches, "left").select(*left.columns, "_row.*")
 
-
-def _fresh(columns: Sequence[str]) -> list[Column]:
-    """The columns under new identities, so that a right side drawn from the left's own table is safe."""
-    return [F.col(name).alias(name) for name in columns]

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.operators.joins import semi_join_spread
 from ledgerlake.operators.ranks import group_sizes
 
 
@@ -26,9 +27,8 @@ def not_null(df: DataFrame, column: str) -> DataFrame:
 
 def relationships(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
     """Child rows whose non-null key has no parent."""
-    keys = parent.select(F.col(field).alias("_parent_key"))
     present = child.filter(F.col(column).isNotNull())
-    return present.join(keys, F.col(column) == F.col("_parent_key"), "left_anti")
+    return semi_join_spread(present, parent.select(F.col(field).alias(column)), column, "left_anti")
 
 
 def accepted_values(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.operators.joins import HOT_ROWS, hot_keys, left_join_spread
 from ledgerlake.operators.ranks import group_sizes, top_one
 
 # The policy names.
@@ -23,19 +24,28 @@ def flag_collisions(df: DataFrame, key: str, flag: str, occurrences: str) -> Dat
     """
     repeated = group_sizes(df.select(key), [key]).filter("_n > 1")
     return (
-        df.join(repeated, key, "left")
+        left_join_spread(df, repeated, key, ["_n"], flag)
         .withColumn(occurrences, F.coalesce("_n", F.lit(1)).cast("bigint"))
-        .withColumn(flag, F.col("_n").isNotNull())
         .drop("_n")
     )
 
 
-def resolve_collisions(
-    flagged: DataFrame, key: str, occurrences: str, policy: str, order: Sequence[Column]
-) -> DataFrame:
+def rows_with_unique_key(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The rows whose key no other row has, partitioned by the key for the joins that follow.
+
+    Rows of the few hot ids leave before anything is shuffled, by a broadcast of those ids. All others
+    meet the repeated ids, which lie by the same key since they were counted.
+    """
+    repeated = group_sizes(df.select(key), [key]).filter("_n > 1")
+    total = df.agg(F.count(F.lit(1))).scalar()
+    hot = hot_keys(repeated, total, hot_rows).select(key)
+    return df.join(F.broadcast(hot), key, "left_anti").join(repeated.select(key), key, "left_anti")
+
+
+def resolve_collisions(df: DataFrame, key: str, policy: str, order: Sequence[Column]) -> DataFrame:
     """Drop all copies of a repeated id, or keep the first by ``order``, which should be total."""
     if policy == QUARANTINE_ALL:
-        return flagged.filter(F.col(occurrences) == 1)
+        return rows_with_unique_key(df, key)
     if policy == KEEP_EARLIEST:
-        return top_one(flagged, [key], order)
+        return top_one(df, [key], order)
     raise ValueError(f"collision policy must be one of {POLICIES}, not {policy!r}")

@@ -1,33 +1,67 @@
-"""Joins with reference tables of checked size, and joins on keys that are often absent."""
+"""Joins that hold when a key is absent from, or repeated in, much of the left side."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A reference table of up to this many rows may be copied to every executor.
 SMALL_ROWS = 100_000
 # Absent keys are spread over this many join keys.
 SPREAD = 4096
+# A key is hot if it has at least this many rows, and at least one part in HOT_KEYS of all rows. The
+# second condition means that there are never more than HOT_KEYS hot keys, however large the table.
+HOT_ROWS = 100_000
+HOT_KEYS = 100_000
 
 
-def left_join_sparse_key(left: DataFrame, right: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """Left join on a text key that is NULL in many left rows; adds ``columns`` and ``_matched``.
+def tagged(key: Column) -> Column:
+    """The key in a form that no earlier shuffle or aggregation is partitioned by.
 
-    A plain left join hashes every NULL key to one task. Here a NULL key is replaced by one of SPREAD
-    stand-ins, so those rows go to all tasks. The stand-in depends on the number of the map task only,
-    so a rerun of a lost task sends the same rows to the same place. The second condition keeps a
-    stand-in from ever matching a real key.
+    AQE splits a hot key only where both sides of the join are shuffled for it. A side that comes from
+    an aggregation or window on the same key would not be, and the hot key would stay in one task.
     """
-    stand_in = F.concat(F.lit("\u0000"), F.pmod(F.spark_partition_id(), F.lit(SPREAD)).cast("string"))
-    keyed = left.withColumn("_join_key", F.coalesce(F.col(key), stand_in))
-    other = right.select(F.col(key).alias("_right_key"), *columns)
-    joined = keyed.join(
-        other, (keyed["_join_key"] == other["_right_key"]) & keyed[key].isNotNull(), "left"
+    return F.concat(F.lit("k"), key.cast("string"))
+
+
+def left_join_spread(
+    left: DataFrame, right: DataFrame, key: str, columns: Sequence[str], matched: str = "_matched"
+) -> DataFrame:
+    """Left join to a table with one row per key; adds ``columns`` and whether there was a match.
+
+    Hot keys are split by AQE. NULL keys, which a plain left join hashes to one task, go to all tasks
+    under stand-ins that no tagged key equals. A stand-in depends on the number of the map task only,
+    so a rerun of a lost task sends the same rows to the same place.
+    """
+    stand_in = F.concat(F.lit("n"), F.pmod(F.spark_partition_id(), F.lit(SPREAD)).cast("string"))
+    keyed = left.withColumn("_join_key", F.coalesce(tagged(F.col(key)), stand_in))
+    other = right.select(tagged(F.col(key)).alias("_join_key"), *fresh(columns), F.lit(True).alias(matched))
+    return (
+        keyed.join(other, "_join_key", "left")
+        .withColumn(matched, F.col(matched).isNotNull())
+        .select(*left.columns, *columns, matched)
     )
-    return joined.withColumn("_matched", F.col("_right_key").isNotNull()).drop("_join_key", "_right_key")
+
+
+def semi_join_spread(left: DataFrame, right: DataFrame, key: str, how: str = "left_semi") -> DataFrame:
+    """Left rows whose key is (``left_semi``) or is not (``left_anti``) in the right table; hot keys are split."""
+    other = right.select(tagged(F.col(key)).alias("_right_key"))
+    return left.join(other, tagged(F.col(key)) == F.col("_right_key"), how)
+
+
+def hot_keys(sizes: DataFrame, total: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The keys among ``sizes`` (with their count ``_n``) that hold a large part of ``total`` rows.
+
+    Never more than HOT_KEYS rows, so the result may be broadcast.
+    """
+    return sizes.filter((F.col("_n") >= hot_rows) & (F.col("_n") >= total / HOT_KEYS))
+
+
+def fresh(columns: Sequence[str]) -> list[Column]:
+    """The columns under new identities, so that a right side drawn from the left's own table is safe."""
+    return [F.col(name).alias(name) for name in columns]
 
 
 def if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:

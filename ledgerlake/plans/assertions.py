@@ -187,3 +187,13 @@ def rejection_shifts(
         )
         .select("stream", "load_id", "records", "rejects", "rate", "usual_records", "usual_rate")
     )
+
+
+def stale_streams(streams: Mapping[str, tuple[DataFrame, str]], now: str, max_hours: int) -> DataFrame:
+    """Streams whose newest event is older than allowed, or that have none; pairs of (table, time column)."""
+    newest = [
+        table.agg(F.max(time).alias("newest")).select(F.lit(stream).alias("stream"), "newest")
+        for stream, (table, time) in streams.items()
+    ]
+    limit = F.lit(now).cast("timestamp_ntz") - F.make_dt_interval(F.lit(0), F.lit(max_hours))
+    return reduce(DataFrame.unionByName, newest).filter(F.col("newest").isNull() | (F.col("newest") < limit))

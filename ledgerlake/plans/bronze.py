@@ -18,8 +18,9 @@ UNKNOWN_CHANNEL = "unknown"
 GENERIC_CLASS = "G"
 
 
-def brz_claims(claims: DataFrame) -> DataFrame:
-    typed = claims.select(
+def typed_claims(claims: DataFrame) -> DataFrame:
+    """Bronze claims before the flags that look at other rows."""
+    return claims.select(
         "claim_id",
         "npi",
         "ndc",
@@ -32,6 +33,9 @@ def brz_claims(claims: DataFrame) -> DataFrame:
         "source_file",
         "load_id",
     )
+
+
+def brz_claims(typed: DataFrame) -> DataFrame:
     return flag_collisions(typed, "claim_id", "flag_duplicate_claim_id", "claim_id_occurrences")
 
 

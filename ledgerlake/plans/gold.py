@@ -7,18 +7,17 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions.dates import calendar_parts, minutes_between
 from ledgerlake.functions.money import net_measures
-from ledgerlake.operators.joins import left_join_sparse_key
+from ledgerlake.operators.joins import left_join_spread
 from ledgerlake.operators.ranks import top_one
 
-NET_PAIRS = {
+FEE_PAIRS = {
     "net_revenue": "price",
     "net_quantity": "quantity",
     "net_pbm_fee": "pbm_fee",
     "net_partner_fee": "partner_fee",
     "net_retained_margin": "retained_margin",
-    "net_pharmacy_margin": "pharmacy_margin",
-    "net_drug_cost": "drug_cost",
 }
+COST_PAIRS = {"net_pharmacy_margin": "pharmacy_margin", "net_drug_cost": "drug_cost"}
 
 
 def dim_date(claims: DataFrame, lookups: DataFrame) -> DataFrame:
@@ -62,55 +61,94 @@ def dim_pharmacy(pharmacies: DataFrame) -> DataFrame:
     return pharmacies.select("npi", "chain")
 
 
+FEE_FACT = [
+    "claim_id",
+    "npi",
+    "ndc",
+    "partner",
+    "filled_date",
+    "chain",
+    "channel",
+    "fee_type",
+    "filled_at",
+    "is_reverted",
+    "reverted_at",
+    "looked_up_at",
+    "price",
+    "quantity",
+    "unit_price",
+    "pbm_fee",
+    "partner_fee",
+    "retained_margin",
+    "flag_fee_exceeds_price",
+]
+FCT_CLAIM = [
+    "claim_id",
+    "npi",
+    "ndc",
+    "partner",
+    "date_day",
+    "chain",
+    "channel",
+    "fee_type",
+    "filled_at",
+    "is_reverted",
+    "reverted_at",
+    "hours_to_revert",
+    "looked_up_at",
+    "minutes_lookup_to_fill",
+    "price",
+    "quantity",
+    "unit_price",
+    "pbm_fee",
+    "partner_fee",
+    "retained_margin",
+    "pharmacy_margin",
+    "drug_cost",
+    "nadac_per_unit",
+    *FEE_PAIRS,
+    *COST_PAIRS,
+    "net_fills",
+    "is_generic",
+    "cost_as_of_date",
+    "flag_cost_unavailable",
+    "flag_fee_exceeds_price",
+]
+
+
+def fee_fact(claim_fees: DataFrame) -> DataFrame:
+    """The claim fact without its cost columns, for what needs none and should not wait for the cost join."""
+    return _with_fee_nets(claim_fees.select(*FEE_FACT))
+
+
 def fct_claim(economics: DataFrame) -> DataFrame:
     """One row per valid claim, reverted ones included; totals are taken over the net columns."""
-    return economics.select(
-        "claim_id",
-        "npi",
-        "ndc",
-        "partner",
-        F.col("filled_date").alias("date_day"),
-        "chain",
-        "channel",
-        "fee_type",
-        "filled_at",
-        "is_reverted",
-        "reverted_at",
-        "hours_to_revert",
-        "looked_up_at",
-        minutes_between(F.col("looked_up_at"), F.col("filled_at")).alias("minutes_lookup_to_fill"),
-        "price",
-        "quantity",
-        "unit_price",
-        "pbm_fee",
-        "partner_fee",
-        "retained_margin",
-        "pharmacy_margin",
-        "drug_cost",
-        "nadac_per_unit",
-        *net_measures(F.col("is_reverted"), NET_PAIRS),
-        (~F.col("is_reverted")).cast("int").alias("net_fills"),
-        "is_generic",
-        "cost_as_of_date",
-        "flag_cost_unavailable",
-        "flag_fee_exceeds_price",
+    return (
+        _with_fee_nets(economics)
+        .select(
+            "*",
+            minutes_between(F.col("looked_up_at"), F.col("filled_at")).alias("minutes_lookup_to_fill"),
+            *net_measures(F.col("is_reverted"), COST_PAIRS),
+        )
+        .select(*FCT_CLAIM)
     )
 
 
-def lookup_context(claim_fees: DataFrame) -> DataFrame:
-    """What the lookup fact shows of a claim. It takes no cost, so none need be joined for it."""
-    wanted = ["net_revenue", "net_pbm_fee", "net_retained_margin"]
-    nets = net_measures(F.col("is_reverted"), {net: NET_PAIRS[net] for net in wanted})
-    return claim_fees.select("claim_id", "chain", "is_reverted", "filled_at", *nets)
+def _with_fee_nets(claims: DataFrame) -> DataFrame:
+    return claims.withColumnRenamed("filled_date", "date_day").select(
+        "*",
+        *net_measures(F.col("is_reverted"), FEE_PAIRS),
+        (~F.col("is_reverted")).cast("int").alias("net_fills"),
+    )
 
 
 def fct_lookup(lookups: DataFrame, claims: DataFrame) -> DataFrame:
     """One row per lookup with what became of it; most lookups name no claim.
 
-    ``claims`` is the claim fact, or its ``lookup_context``.
+    ``claims`` is the claim fact or the ``fee_fact``; no cost is shown here.
     """
     context = ["chain", "is_reverted", "net_revenue", "net_pbm_fee", "net_retained_margin", "filled_at"]
-    return left_join_sparse_key(lookups, claims, "claim_id", context).select(
+    return left_join_spread(lookups, claims, "claim_id", context).select(
         "lookup_id",
         "claim_id",
         "ndc",

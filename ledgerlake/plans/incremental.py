@@ -9,7 +9,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.joins import if_small
+from ledgerlake.operators.joins import if_small, semi_join_spread
 from ledgerlake.plans import warehouse
 from ledgerlake.session import stage
 
@@ -50,7 +50,7 @@ def affected_periods(
         .distinct()
     )
     new_days = fresh["claims"].select(F.to_date("filled_at").alias("_day"))
-    days = older.join(named, "claim_id", "left_semi").select("_day").union(new_days)
+    days = semi_join_spread(older, named, "claim_id").select("_day").union(new_days)
     return days.select(period_of(F.col("_day"), grain).alias(PERIOD)).filter(F.col(PERIOD).isNotNull()).distinct()
 
 

@@ -9,7 +9,7 @@ from ledgerlake.functions.dates import hours_between
 from ledgerlake.functions.money import fee_type, partner_fee_share
 from ledgerlake.operators.asof import asof_join, join_validity
 from ledgerlake.operators.collisions import resolve_collisions
-from ledgerlake.operators.joins import if_small
+from ledgerlake.operators.joins import if_small, left_join_spread
 from ledgerlake.operators.ranks import top_one
 
 # The cost bases.
@@ -43,10 +43,10 @@ def slv_nadac(brz_nadac: DataFrame) -> DataFrame:
     return top_one(brz_nadac, ["ndc", "as_of_date"], newest).drop("load_id")
 
 
-def resolved_claims(brz_claims: DataFrame, policy: str) -> DataFrame:
+def resolved_claims(claims: DataFrame, policy: str) -> DataFrame:
     """One row per claim id under the collision policy. The order is total, so the choice is stable."""
     first = ["filled_at", "source_file", "ndc", "npi"]
-    return resolve_collisions(brz_claims, "claim_id", "claim_id_occurrences", policy, [F.col(c) for c in first])
+    return resolve_collisions(claims, "claim_id", policy, [F.col(c) for c in first])
 
 
 def slv_claims(resolved: DataFrame, pharmacies: DataFrame) -> DataFrame:
@@ -112,7 +112,7 @@ def attach_costs(
         costed = asof_join(claims, prices, "ndc", "filled_date", "as_of_date", COST_COLUMNS, PRICE_PERIOD, span)
     elif basis == LATEST:
         newest = top_one(prices.select("ndc", *COST_COLUMNS), ["ndc"], [F.col("as_of_date").desc()])
-        costed = claims.join(newest, "ndc", "left").select(*claims.columns, *COST_COLUMNS)
+        costed = left_join_spread(claims, newest, "ndc", COST_COLUMNS).drop("_matched")
     else:
         raise ValueError(f"cost basis must be one of {COST_BASES}, not {basis!r}")
     return costed.withColumnRenamed("as_of_date", "cost_as_of_date").withColumn(

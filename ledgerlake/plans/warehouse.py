@@ -62,16 +62,42 @@ class Warehouse:
     def tables(self, *layers: str) -> dict[str, DataFrame]:
         """The tables of the given layers, of all by default, by name."""
         names = [name for layer in layers or LAYERS for name in LAYERS[layer]]
-        return {name: getattr(self, name) for name in names if name != "brz_rejects" or self._rejects}
+        return {name: getattr(self, name) for name in names if self.has(name)}
+
+    def has(self, name: str) -> bool:
+        """Whether the landed tables allow for a table; only rejects may be absent."""
+        return name != "brz_rejects" or bool(self._rejects)
+
+    def replace(self, name: str, stored: DataFrame) -> None:
+        """Let all tables not made yet build on a stored table; facts also serve the dimensions."""
+        setattr(self, name, stored)
+        if name == "fct_claim":
+            self.fee_fact = stored
+            self.claim_days = stored.select("ndc", F.col("date_day").alias("filled_date"))
+        elif name == "fct_lookup":
+            self.lookup_days = stored.select("ndc", F.col("date_day").alias("looked_up_date"))
+
+    @cached_property
+    def claim_days(self) -> DataFrame:
+        """Code and date of each silver claim, which is all the dimensions need."""
+        return self.slv_claims.select("ndc", "filled_date")
+
+    @cached_property
+    def lookup_days(self) -> DataFrame:
+        return self.slv_lookups.select("ndc", "looked_up_date")
 
     @property
     def _rejects(self) -> dict[str, DataFrame]:
         found = {stream: self.landing.get(f"{stream}_rejects") for stream in EVENT_SOURCES}
         return {stream: table for stream, table in found.items() if table is not None}
 
+    @cached_property
+    def typed_claims(self) -> DataFrame:
+        return bronze.typed_claims(self.landing["claims"])
+
     @cached_property
     def brz_claims(self) -> DataFrame:
-        return bronze.brz_claims(self.landing["claims"])
+        return bronze.brz_claims(self.typed_claims)
 
     @cached_property
     def brz_lookups(self) -> DataFrame:
@@ -112,8 +138,12 @@ class Warehouse:
 
     @cached_property
     def resolved_claims(self) -> DataFrame:
-        """Bronze after the collision policy and before the scope filter."""
-        return silver.resolved_claims(self.brz_claims, self.policies.duplicate_claims)
+        """Bronze claims after the collision policy and before the scope filter.
+
+        They come without the bronze flags on copies: the policy does its own counting, in a form that
+        leaves the rows by claim_id.
+        """
+        return silver.resolved_claims(self.typed_claims, self.policies.duplicate_claims)
 
     @cached_property
     def slv_claims(self) -> DataFrame:
@@ -154,11 +184,11 @@ class Warehouse:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return gold.dim_date(self.slv_claims, self.slv_lookups)
+        return gold.dim_date(self.claim_days, self.lookup_days)
 
     @cached_property
     def dim_drug(self) -> DataFrame:
-        return gold.dim_drug(self.slv_claims, self.slv_lookups, self.slv_nadac)
+        return gold.dim_drug(self.claim_days, self.lookup_days, self.slv_nadac)
 
     @cached_property
     def dim_partner(self) -> DataFrame:
@@ -168,13 +198,18 @@ class Warehouse:
     def dim_pharmacy(self) -> DataFrame:
         return gold.dim_pharmacy(self.slv_pharmacies)
 
+    @cached_property
+    def fee_fact(self) -> DataFrame:
+        """The claim fact without its cost columns."""
+        return gold.fee_fact(self.claim_fees)
+
     @cached_property
     def fct_claim(self) -> DataFrame:
         return gold.fct_claim(self.slv_claim_economics)
 
     @cached_property
     def fct_lookup(self) -> DataFrame:
-        return gold.fct_lookup(self.slv_lookups, gold.lookup_context(self.claim_fees))
+        return gold.fct_lookup(self.slv_lookups, self.fee_fact)
 
 
 def register(tables: Mapping[str, DataFrame]) -> None:
@@ -183,19 +218,35 @@ def register(tables: Mapping[str, DataFrame]) -> None:
         frame.createOrReplaceTempView(name)
 
 
-def materialize(spark: SparkSession, warehouse: Warehouse, folder: str) -> dict[str, DataFrame]:
-    """Full refresh: bronze and silver as views, gold as stored tables that are also views.
+def materialize(
+    spark: SparkSession,
+    warehouse: Warehouse,
+    folder: str,
+    store: tuple[str, ...] = ("gold",),
+    prefix: str = "",
+) -> dict[str, DataFrame]:
+    """Full refresh. Tables of the layers in ``store`` are written, all others stay views.
 
-    The lookup fact reads the stored claim fact, so the claims are priced once. A fact that is kept up
-    to date by parts is stored by ``plans.incremental`` instead.
+    Every table can be queried by its name, a stored one also as ``layer.name`` (the layer's database
+    may get a prefix). What is stored is read back by whatever builds on it: with gold stored, the
+    claims are priced once, and the dimensions come from two columns of the facts. A fact that is kept
+    up to date by parts is stored by ``plans.incremental`` instead.
     """
-    tables = warehouse.tables("bronze", "silver")
-    for name in LAYERS["gold"]:
-        if name == "fct_lookup":
-            frame = gold.fct_lookup(warehouse.slv_lookups, tables["fct_claim"])
-        else:
+    tables: dict[str, DataFrame] = {}
+    for layer, names in LAYERS.items():
+        if layer in store:
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{layer}")
+        # Facts first: the dimensions are read off them.
+        for name in sorted(names, key=lambda n: not n.startswith("fct_")):
+            if not warehouse.has(name):
+                continue
             frame = getattr(warehouse, name)
-        frame.write.mode("overwrite").parquet(f"{folder}/{name}")
-        tables[name] = spark.read.schema(frame.schema).parquet(f"{folder}/{name}")
+            if layer in store:
+                path, table = f"{folder}/{layer}/{name}", f"{prefix}{layer}.{name}"
+                spark.sql(f"DROP TABLE IF EXISTS {table}")
+                frame.write.mode("overwrite").option("path", path).saveAsTable(table)
+                frame = spark.table(table)
+                warehouse.replace(name, frame)
+            tables[name] = frame
     register(tables)
     return tables

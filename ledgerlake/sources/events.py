@@ -31,19 +31,26 @@ def json_records(files: DataFrame) -> DataFrame:
     is checked by streaming functions, which take files of any size.
     """
     text = F.col("value")
-    shaped = files.select(
-        "*",
-        (F.json_array_length(text).isNotNull() & text.rlike(r"\]\s*$")).alias("_array"),
-        (F.json_object_keys(text).isNotNull() & text.rlike(r"\}\s*$")).alias("_object"),
+    end = F.rtrim(text, F.lit(" \t\r\n"))
+    whole_array = F.json_array_length(text).isNotNull() & end.endswith("]")
+    whole_object = F.json_object_keys(text).isNotNull() & end.endswith("}")
+    # The first character decides which check runs, so a file is checked once.
+    kind = (
+        F.when(text.rlike(r"^\s*\["), F.when(whole_array, "array").otherwise("broken"))
+        .when(text.rlike(r"^\s*\{"), F.when(whole_object, "object").otherwise("broken"))
+        .when(F.try_parse_json(text).isNull(), "broken")
+        .otherwise("scalar")
     )
-    # Only what is neither is parsed as a whole, to tell a scalar from broken text.
-    broken = ~F.col("_array") & ~F.col("_object") & F.try_parse_json(text).isNull()
-    elements = F.when(F.col("_array"), F.from_json(text, "array<string>")).when(
-        F.col("_object") | F.col("reject_reason").isNotNull(), F.array(text)
+    elements = F.when(F.col("_kind") == "array", F.from_json(text, "array<string>")).when(
+        F.col("_kind") != "scalar", F.array(text)
     )
     return (
-        shaped.withColumn("reject_reason", F.when(broken, F.lit(UNREADABLE_FILE)))
-        .select("source_file", "reject_reason", F.explode(elements).alias("raw_payload"))
+        files.withColumn("_kind", kind)
+        .select(
+            "source_file",
+            F.when(F.col("_kind") == "broken", F.lit(UNREADABLE_FILE)).alias("reject_reason"),
+            F.explode(elements).alias("raw_payload"),
+        )
         .filter(F.col("reject_reason").isNotNull() | F.col("raw_payload").rlike(r"^\s*\{"))
     )
 

@@ -19,9 +19,13 @@ ROUTE = "is_reject"
 
 def write_quarantine(validated: DataFrame, path: str) -> None:
     """Store clean and refused records in one pass over the source, in two partitions of one table."""
-    validated.withColumn(ROUTE, F.col("reject_reason").isNotNull()).write.mode("overwrite").partitionBy(
-        ROUTE
-    ).parquet(path)
+    routed(validated).write.mode("overwrite").partitionBy(ROUTE).parquet(path)
+
+
+def routed(validated: DataFrame) -> DataFrame:
+    """Add the route of each record, and keep the payload of refused ones only."""
+    refused = F.col("reject_reason").isNotNull()
+    return validated.withColumn("raw_payload", F.when(refused, F.col("raw_payload"))).withColumn(ROUTE, refused)
 
 
 def read_quarantine(spark: SparkSession, path: str, stream: str) -> dict[str, DataFrame]:

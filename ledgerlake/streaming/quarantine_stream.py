@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlake.operators.quarantine import CONTRACTS, validate
 from ledgerlake.sources.events import json_files, json_records
-from ledgerlake.sources.landing import ROUTE
+from ledgerlake.sources.landing import ROUTE, routed
 
 
 def start_quarantine(
@@ -23,8 +23,7 @@ def start_quarantine(
 
     def store(batch: DataFrame, batch_id: int) -> None:
         (
-            batch.withColumn("load_id", F.lit(str(batch_id)))
-            .withColumn(ROUTE, F.col("reject_reason").isNotNull())
+            routed(batch.withColumn("load_id", F.lit(str(batch_id))))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("load_id", ROUTE)

@@ -41,3 +41,10 @@ def rows(df):
 
 def plan_of(df) -> str:
     return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
+
+
+def final_plan(df) -> str:
+    """The plan as adaptive execution left it, followed by the one it started from."""
+    query = df._jdf.queryExecution()
+    query.executedPlan().executeCollect()
+    return query.executedPlan().toString()

@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 from datetime import date, datetime, timedelta
 
 import pytest
-from conftest import plan_of, rows
+from conftest import final_plan, plan_of, rows
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import asof, checks, collisions, joins, profile, ranks, scd2
@@ -35,18 +35,18 @@ def test_w1_flag_collisions(hot):
 
 def test_l1_policies(hot):
     data, df = hot
-    flagged = collisions.flag_collisions(df, "key", "repeated", "n")
     order = [F.col("at"), F.col("id")]
     sizes = Counter(key for key, _, _ in data)
-    none = collisions.resolve_collisions(flagged, "key", "n", "quarantine_all", order)
+    none = collisions.resolve_collisions(df, "key", "quarantine_all", order)
     assert rows(none.select("key")) == sorted((k,) for k, n in sizes.items() if n == 1)
-    earliest = collisions.resolve_collisions(flagged, "key", "n", "keep_earliest", order)
+    assert rows(collisions.rows_with_unique_key(df, "key", hot_rows=50).select("key")) == rows(none.select("key"))
+    earliest = collisions.resolve_collisions(df, "key", "keep_earliest", order)
     first = {}
     for key, at, id_ in data:
         first[key] = min(first.get(key, (at, id_)), (at, id_))
     assert rows(earliest.select("key", "id")) == sorted((k, v[1]) for k, v in first.items())
     with pytest.raises(ValueError, match="collision policy"):
-        collisions.resolve_collisions(flagged, "key", "n", "keep_latest", order)
+        collisions.resolve_collisions(df, "key", "keep_latest", order)
 
 
 def test_w2_numbers_equal_a_window_over_the_key(hot):
@@ -72,6 +72,52 @@ def test_w3_top_one_is_cut_before_the_shuffle(hot):
     assert plan.index("Final") < plan.index("Exchange hashpartitioning(key") < plan.index("Partial")
 
 
+SMALL_SIZES = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+}
+
+
+@pytest.fixture
+def small_sizes(spark):
+    """Sizes at which the test's hot key counts as skewed."""
+    before = {name: spark.conf.get(name) for name in SMALL_SIZES}
+    for name, value in SMALL_SIZES.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def test_hot_keys_of_the_wide_joins_are_split(spark, small_sizes):
+    wide = spark.range(0, 60000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("key"),
+        F.expr("date'2026-01-01' + cast(id % 80 as int)").alias("day"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+    )
+    flagged = collisions.flag_collisions(wide, "key", "repeated", "n")
+    assert "skew=true" in final_plan(flagged)
+    # Also where the result goes on to a join on the same key.
+    onward = flagged.join(wide.select("key", F.length("payload").alias("size")).filter("key <> 'hot'"), "key", "left")
+    assert "skew=true" in final_plan(onward)
+    prices = spark.createDataFrame([("hot", date(2026, 1, d), float(d)) for d in range(1, 29)], "key string, since date, v double")
+    assert "skew=true" in final_plan(asof.asof_join(wide, prices, "key", "day", "since", ["v"], "quarter"))
+    # Against a side that is already partitioned by the key.
+    newest = ranks.top_one(wide.select("key", "day"), ["key"], [F.col("day")]).withColumnRenamed("day", "first_day")
+    assert "skew=true" in final_plan(joins.left_join_spread(wide, newest, "key", ["first_day"]))
+    assert "skew=true" in final_plan(joins.semi_join_spread(wide, newest, "key"))
+    assert "skew=true" in final_plan(checks.relationships(wide, "key", newest, "key"))
+    # Rows of a hot id are gone before the shuffle that all others take.
+    unique = collisions.rows_with_unique_key(wide, "key", hot_rows=1000)
+    plan = final_plan(unique)
+    plan = plan[: plan.index("Initial Plan")]
+    assert plan.index("SortMergeJoin [key#") < plan.index("Exchange hashpartitioning(key#") < plan.index("BroadcastHashJoin [key#")
+    assert unique.count() == 40000
+
+
 def brute_asof(left, right):
     series = defaultdict(list)
     for key, at, value in right:
@@ -129,8 +175,8 @@ def test_j5_with_itself(spark):
 
 def test_j3_sparse_key(spark):
     left = spark.createDataFrame([(i, f"c{i}" if i % 4 == 0 else None) for i in range(200)], "id int, claim_id string")
-    right = spark.createDataFrame([(f"c{i}", i) for i in range(0, 100, 8)] + [("\u00000", -1), (None, -2)], "claim_id string, v int")
-    got = joins.left_join_sparse_key(left, right, "claim_id", ["v"])
+    right = spark.createDataFrame([(f"c{i}", i) for i in range(0, 100, 8)] + [("n0", -1), ("kc0", -3), (None, -2)], "claim_id string, v int")
+    got = joins.left_join_spread(left, right, "claim_id", ["v"])
     assert rows(got.select("id", "v", "_matched")) == sorted(
         ((i, i if i % 8 == 0 and i < 100 else None, i % 8 == 0 and i < 100) for i in range(200)),
         key=lambda r: tuple((v is None, str(v)) for v in r),

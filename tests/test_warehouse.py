@@ -3,7 +3,7 @@
 from datetime import date, datetime
 
 import pytest
-from conftest import plan_of, rows
+from conftest import final_plan, plan_of, rows
 from pyspark.sql import functions as F
 
 from ledgerlake import adapters
@@ -290,16 +290,56 @@ def test_p4_touches_only_affected_days(spark, landed):
     assert days == {date(2026, 3, 2), date(2026, 3, 12)}
 
 
+def test_p6_stale_streams(w):
+    streams = {
+        "claims": (w.landing["claims"], "filled_at"),
+        "lookups": (w.landing["lookups"], "looked_up_at"),
+        "none": (w.landing["reverts"].limit(0), "reverted_at"),
+    }
+    late = assertions.stale_streams(streams, "2026-03-21T00:00:00", 48)
+    assert rows(late) == [("claims", ts("2026-03-12T23:30:00")), ("none", None)]
+
+
 def test_p4_lookback(w):
     assert incremental.lookback_suffices(w.fct_claim, 100).count() == 0
     assert rows(incremental.lookback_suffices(w.fct_claim, 60)) == [(49,)]
 
 
-def test_k4_sql_over_the_layers(spark, w, tmp_path):
-    warehouse.materialize(spark, w, str(tmp_path))
-    got = spark.sql("SELECT sum(net_fills) FROM fct_claim JOIN dim_date USING (date_day) WHERE month_name = 'March'").first()[0]
-    assert got == 2
+def test_k4_sql_over_the_layers(spark, landed, tmp_path):
+    tables = warehouse.materialize(spark, warehouse.Warehouse(landed), str(tmp_path), prefix="k4_")
+    got = spark.sql("SELECT sum(net_fills) FROM k4_gold.fct_claim JOIN dim_date USING (date_day) WHERE month_name = 'March'")
+    assert got.first()[0] == 2
     assert spark.sql("SELECT count(*) FROM brz_claims").first()[0] == len(CLAIMS)
+    # The dimensions and the lookup fact build on the stored claim fact, not on a second pricing.
+    for name in ("dim_date", "dim_drug", "fct_lookup"):
+        assert set(tables[name].columns) == set(getattr(warehouse.Warehouse(landed), name).columns)
+    spark.sql("DROP DATABASE k4_gold CASCADE")
+
+
+def test_k4_gold_is_priced_once(spark, landed, tmp_path):
+    w = warehouse.Warehouse(landed)
+    for name in ("fct_claim", "fct_lookup"):
+        getattr(w, name).write.parquet(str(tmp_path / name))
+        w.replace(name, spark.read.parquet(str(tmp_path / name)))
+    for name in ("dim_date", "dim_drug"):
+        plan = plan_of(getattr(w, name))
+        assert str(tmp_path / "fct_claim") in plan and "claim_id" not in plan
+        assert rows(getattr(w, name)) == rows(getattr(warehouse.Warehouse(landed), name))
+
+
+def test_k4_every_layer_stored_under_its_name(spark, landed, tmp_path):
+    all_layers = tuple(warehouse.LAYERS)
+    for folder in ("first", "second"):
+        warehouse.materialize(spark, warehouse.Warehouse(landed), str(tmp_path / folder), all_layers, "all_")
+        for layer in all_layers:
+            assert {t.name for t in spark.catalog.listTables(f"all_{layer}") if not t.isTemporary} == set(warehouse.LAYERS[layer])
+        got = spark.sql(
+            "SELECT b.claim_id FROM all_bronze.brz_claims b LEFT JOIN all_silver.slv_pharmacies p USING (npi) "
+            "LEFT JOIN all_gold.fct_claim f ON f.claim_id = b.claim_id WHERE p.npi IS NULL AND f.claim_id IS NULL"
+        )
+        assert rows(got) == [("foreign",)]
+    for layer in all_layers:
+        spark.sql(f"DROP DATABASE all_{layer} CASCADE")
 
 
 def test_st2_equals_the_batch_inside_the_lookback(spark, tmp_path, w):
@@ -338,14 +378,18 @@ def test_plans_shuffle_claims_once_per_key(spark, small):
     """Without broadcasts, the claims move once by id for three joins and once for the cost."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        wide = warehouse.Warehouse(small.landing).fct_claim
-        lines = plan_of(wide).splitlines()
+        plan = final_plan(warehouse.Warehouse(small.landing).fct_claim)
+        lines = plan[: plan.index("Initial Plan")].splitlines()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert sum("SortMergeJoin [claim_id" in line for line in lines) == 3
+    joins = [line for line in lines if "Join [claim_id#" in line and "Broadcast" not in line]
+    assert len(joins) == 3
     assert sum("Exchange hashpartitioning(ndc#" in line and "trunc(filled_date" in line for line in lines) == 1
-    # Claims, id counts, lookups and reverts; nothing is moved by partner or pharmacy.
-    assert sum("Exchange hashpartitioning(claim_id#" in line for line in lines) == 4
+    # Claims, id counts (made once and used twice), lookups and reverts; nothing is moved by partner
+    # or pharmacy. Without a hot id the count's first use folds away.
+    moved = [line for line in lines if "Exchange hashpartitioning(claim_id#" in line]
+    assert len([line for line in moved if "Reused" not in line]) <= 4
+    assert len([line for line in moved if "Reused" in line]) == 1
     assert not any("Exchange hashpartitioning(partner" in line or "Exchange hashpartitioning(npi" in line for line in lines)
     scans = [line for line in lines if "lineitem" in line]
     assert scans and not any("l_discount" in line or "l_linestatus" in line for line in scans)
