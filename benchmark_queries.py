@@ -1027,8 +1027,7 @@ add("t10_snapshots_loaded", lambda b: assertions.snapshots_loaded(b.brz_nadac, 1
 add("t11_partner_fee_within_fee", lambda b: assertions.partner_fee_within_fee(overpaid(b)),
     "select claim_id, pbm_fee, pbm_fee + 5 as partner_fee from fct_claim where quantity = 50")
 add("t12_partner_terms_exclusive", lambda b: assertions.partner_terms_exclusive(b.brz_partners),
-    "select partner from partners where flag_bad(fee_cents, fee_percentage)".replace(
-        "flag_bad(fee_cents, fee_percentage)", "(fee_cents is null) = (fee_percentage is null)"))
+    "select partner from partners where (fee_cents is null) = (fee_percentage is null)")
 add(
     "t13_reverted_count_nothing",
     lambda b: assertions.reverted_count_nothing(b.fct_claim.withColumn(

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from ledgerlake.operators.joins import fresh, tagged
 
@@ -23,9 +24,27 @@ PERIOD_STEPS = {
 
 
 def validity_intervals(right: DataFrame, by: str, time: str) -> DataFrame:
-    """Add ``_until``, the key's next time, NULL for the newest row: each row holds on [time, _until)."""
+    """Add ``_until``, the key's next time, NULL for the newest row: each row holds on [time, _until).
+
+    With dates a key has at most one row per day of the calendar, and one window over the key is
+    small. With timestamps a key may have any number of rows, so the window covers a day of a key,
+    and only the first time of each day meets the other days.
+    """
     usable = right.filter(F.col(by).isNotNull() & F.col(time).isNotNull())
-    return usable.withColumn("_until", F.lead(time).over(Window.partitionBy(by).orderBy(time)))
+    if _is_date(right, time):
+        return usable.withColumn("_until", F.lead(time).over(Window.partitionBy(by).orderBy(time)))
+    by_day = usable.withColumn("_day", F.to_date(time))
+    next_days = (
+        by_day.groupBy(by, "_day")
+        .agg(F.min(time).alias("_opens"))
+        .select(by, "_day", F.lead("_opens").over(Window.partitionBy(by).orderBy("_day")).alias("_next"))
+    )
+    in_day = Window.partitionBy(by, "_day").orderBy(time)
+    return (
+        by_day.join(next_days, [by, "_day"], "left")
+        .withColumn("_until", F.coalesce(F.lead(time).over(in_day), F.col("_next")))
+        .drop("_day", "_next")
+    )
 
 
 def join_validity(
@@ -102,10 +121,11 @@ def asof_join(
 def asof_join_sorted(
     left: DataFrame, right: DataFrame, by: str, left_time: str, right_time: str, columns: Sequence[str]
 ) -> DataFrame:
-    """As-of left join by one sort per key, for long histories with few distinct left times.
+    """As-of left join by sorting, for long histories with few distinct left times.
 
     Only the distinct (key, time) pairs of the left side are sorted together with the right rows, so a
-    group is as large as a key's history, not as its rows. The answer is then joined back by equality.
+    group is as large as a key's history, not as its rows. With timestamps it is a day of the history:
+    each day starts with the newest row of the days before it. The answer is joined back by equality.
     """
     known = right.filter(F.col(by).isNotNull() & F.col(right_time).isNotNull()).select(
         F.col(by).alias("_by"),
@@ -120,15 +140,28 @@ def asof_join_sorted(
         .withColumn("_side", F.lit(1))
         .withColumn("_row", F.lit(None).cast(known.schema["_row"].dataType))
     )
-    so_far = (
-        Window.partitionBy("_by").orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    answered = (
-        known.unionByName(asked)
-        .withColumn("_row", F.last("_row", ignorenulls=True).over(so_far))
-        .filter("_side = 1")
-        .select("_by", "_at", "_row")
-    )
+    if _is_date(left, left_time):
+        answered = _last_known(known.unionByName(asked), ["_by"])
+    else:
+        both = known.unionByName(asked).withColumn("_day", F.to_date("_at"))
+        earlier = Window.partitionBy("_by").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+        carried = (
+            both.groupBy("_by", "_day")
+            .agg(F.max_by("_row", F.when(F.col("_side") == 0, F.col("_at"))).alias("_closing"))
+            .select("_by", "_day", F.last("_closing", ignorenulls=True).over(earlier).alias("_carried"))
+        )
+        answered = _last_known(both.join(carried, ["_by", "_day"], "left"), ["_by", "_day"]).withColumn(
+            "_row", F.coalesce("_row", "_carried")
+        )
     matches = (F.col(by) == F.col("_by")) & (F.col(left_time) == F.col("_at"))
-    return left.join(answered, matches, "left").select(*left.columns, "_row.*")
+    return left.join(answered.select("_by", "_at", "_row"), matches, "left").select(*left.columns, "_row.*")
+
+
+def _last_known(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """For each asked time the newest known row at or before it within the group."""
+    so_far = Window.partitionBy(*keys).orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.withColumn("_row", F.last("_row", ignorenulls=True).over(so_far)).filter("_side = 1")
+
 
+def _is_date(df: DataFrame, column: str) -> bool:
+    return df.schema[column].dataType == DateType()

@@ -62,11 +62,12 @@ def quantile_profile(df: DataFrame, by: str, measure: str, groups: int = 5) -> D
 
 
 def share_of_total(df: DataFrame, by: Sequence[str], measure: str) -> DataFrame:
-    """Rows and sum per group with their parts of the whole. Only the group totals meet in one task."""
-    everything = Window.partitionBy()
+    """Rows and sum per group with their parts of the whole."""
+    groups = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(measure).alias("total"))
+    whole = groups.agg(F.struct(F.sum("n_rows").alias("n_rows"), F.sum("total").alias("total")))
     return (
-        df.groupBy(*by)
-        .agg(F.count(F.lit(1)).alias("n_rows"), F.sum(measure).alias("total"))
-        .withColumn("share_of_rows", ratio(F.col("n_rows"), F.sum("n_rows").over(everything)))
-        .withColumn("share_of_total", ratio(F.col("total"), F.sum("total").over(everything)))
+        groups.withColumn("_whole", whole.scalar())
+        .withColumn("share_of_rows", ratio(F.col("n_rows"), F.col("_whole.n_rows")))
+        .withColumn("share_of_total", ratio(F.col("total"), F.col("_whole.total")))
+        .drop("_whole")
     )

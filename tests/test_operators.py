@@ -183,6 +183,14 @@ def test_j3_sparse_key(spark):
     )
 
 
+def test_j5_no_task_holds_a_whole_history_of_timestamps(spark):
+    prices = spark.createDataFrame([("a", datetime(2026, 1, 1), 1.0)], "k string, d timestamp_ntz, v double")
+    plan = plan_of(asof.validity_intervals(prices, "k", "d"))
+    plan += plan_of(asof.asof_join_sorted(prices.select("k", "d"), prices, "k", "d", "d", ["v"]))
+    row_windows = [line for line in plan.splitlines() if " Window [" in line and ("lead(d#" in line or "last(_row#" in line)]
+    assert len(row_windows) == 2 and all("_day#" in line for line in row_windows)
+
+
 def test_small_tables_are_broadcast_and_large_ones_are_not(spark):
     facts, table = spark.range(1000).toDF("k"), spark.range(50).toDF("k")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
