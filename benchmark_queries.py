@@ -253,7 +253,11 @@ add(
 def k4(b: Bench) -> DataFrame:
     prefix = f"k4_{uuid.uuid4().hex}_"
     warehouse.materialize(b.spark, b, b.scratch("layers"), prefix=prefix)
-    names = {name: f"{prefix}gold.{name}" if layer == "gold" else name for layer in warehouse.LAYERS for name in warehouse.LAYERS[layer]}
+    names = {
+        name: f"{prefix}gold.{name}" if layer == "gold" else name
+        for layer, tables in warehouse.LAYERS.items()
+        for name in tables
+    }
     counts = " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS n_rows FROM {t}" for n, t in names.items())
     return b.spark.sql(counts)
 
@@ -545,7 +549,9 @@ add(
 add(
     "a1_grouped",
     lambda b: b.fct_claim.groupBy("partner", "channel", "chain").agg(
-        rows(), money.round_total(F.sum("price")).alias("revenue"), money.round_ratio(F.avg("quantity"), 4).alias("avg_quantity")
+        rows(),
+        money.round_total(F.sum("price")).alias("revenue"),
+        money.round_ratio(F.avg("quantity"), 4).alias("avg_quantity"),
     ),
     f"""select partner, channel, chain, count(*) as n_rows, {total('sum(price)')} as revenue,
                {ratio('avg(quantity)', 4)} as avg_quantity from fct_claim group by all""",
@@ -559,19 +565,34 @@ add(
     """select source_file, count(*) filter (flag_duplicate_claim_id) as duplicates,
               count(*) filter (flag_fee_exceeds_price) as fee_above_price from brz_claims group by 1""",
 )
+
+
+def fee_share_of_large_sales(b: Bench) -> DataFrame:
+    large = F.sum(F.when(F.col("quantity") > 45, F.col("price")).otherwise(0.0))
+    share = money.round_ratio(money.percent(F.sum("pbm_fee"), large), 3)
+    return b.landing["claims"].groupBy("ndc").agg(share.alias("pct"))
+
+
 add(
     "a3_safe_ratio",
-    lambda b: b.landing["claims"].groupBy("ndc").agg(
-        money.round_ratio(money.percent(F.sum("pbm_fee"), F.sum(F.when(F.col("quantity") > 45, F.col("price")).otherwise(0.0))), 3).alias("pct")
-    ),
+    fee_share_of_large_sales,
     f"""select ndc, {ratio("100.0 * sum(pbm_fee) / nullif(sum(case when quantity > 45 then price else 0 end), 0)", 3)} as pct
         from claims group by 1""",
 )
+
+
+def event_bounds(b: Bench) -> DataFrame:
+    looked_up = F.to_date("looked_up_at")
+    other = b.landing["lookups"].agg(F.struct(F.min(looked_up).alias("first"), F.max(looked_up).alias("last")))
+    own = b.slv_claims.agg(F.min("filled_date").alias("first"), F.max("filled_date").alias("last"))
+    return own.withColumn("other", other.scalar()).select(
+        F.least("first", "other.first").alias("first"), F.greatest("last", "other.last").alias("last")
+    )
+
+
 add(
     "a4_bounds",
-    lambda b: b.slv_claims.agg(F.min("filled_date").alias("first"), F.max("filled_date").alias("last"))
-    .withColumn("o", b.landing["lookups"].agg(F.struct(F.to_date(F.min("looked_up_at")).alias("a"), F.to_date(F.max("looked_up_at")).alias("z"))).scalar())
-    .select(F.least("first", "o.a").alias("first"), F.greatest("last", "o.z").alias("last")),
+    event_bounds,
     "select min(date_day) as first, max(date_day) as last from days",
 )
 add(
@@ -745,7 +766,8 @@ add(
 def differences(b: Bench) -> DataFrame:
     # The events carry odd seconds; each is compared with a time of its own some way off.
     start = F.col("ts")
-    end = start + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.col("event_id") * 37 % 20000 - 10000).cast("decimal(18,6)"))
+    seconds = (F.col("event_id") * 37 % 20000 - 10000).cast("decimal(18,6)")
+    end = start + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
     return b.table("events").select(
         "event_id",
         dates.hours_between(start, end).alias("hours"),
@@ -923,7 +945,13 @@ metric(5, "fee_collected", "fct_claim", metrics.claim_metrics, CLAIM_METRIC_SQL[
 metric(6, "fills", "fct_claim", metrics.claim_metrics, CLAIM_METRIC_SQL["fills"])
 metric(7, "conversion_rate", "fct_lookup", metrics.lookup_metrics, LOOKUP_METRIC_SQL["conversion_rate"])
 metric(8, "reversal_rate", "fct_claim", metrics.claim_metrics, CLAIM_METRIC_SQL["reversal_rate"])
-metric(9, "margin_lost_to_reversal", "fct_claim", metrics.claim_metrics, "coalesce(sum(retained_margin) filter (is_reverted), 0)")
+metric(
+    9,
+    "margin_lost_to_reversal",
+    "fct_claim",
+    metrics.claim_metrics,
+    "coalesce(sum(retained_margin) filter (is_reverted), 0)",
+)
 REJECTION_SQL = """
     (select count(*) from brz_rejects) / (
         (select count(*) from judged_claims) + (select count(*) from judged_reverts) + (select count(*) from judged_lookups))"""
@@ -935,7 +963,13 @@ add(
     f"select {ratio(REJECTION_SQL, 6)} as rejection_rate",
 )
 metric(11, "cost_coverage", "fct_claim", metrics.claim_metrics, CLAIM_METRIC_SQL["cost_coverage"])
-metric(12, "excluded_claim_value", "brz_claims", metrics.bronze_metrics, "coalesce(sum(price) filter (flag_duplicate_claim_id), 0)")
+metric(
+    12,
+    "excluded_claim_value",
+    "brz_claims",
+    metrics.bronze_metrics,
+    "coalesce(sum(price) filter (flag_duplicate_claim_id), 0)",
+)
 ALL_METRICS_SQL = "\nunion all ".join(
     [f"select '{m}' as metric, {total(e, 4)} as value from fct_claim" for m, e in CLAIM_METRIC_SQL.items()]
     + [f"select '{m}', {total(e, 4)} from fct_lookup" for m, e in LOOKUP_METRIC_SQL.items()]
@@ -1075,7 +1109,11 @@ add(
 
 add(
     "p1_partner_performance",
-    lambda b: rounded(marts.gld_partner_performance(b.fee_fact), ["revenue", "fee_collected", "fee_paid_out", "margin_retained"], ["payout_ratio", "revert_rate"]),
+    lambda b: rounded(
+        marts.gld_partner_performance(b.fee_fact),
+        ["revenue", "fee_collected", "fee_paid_out", "margin_retained"],
+        ["payout_ratio", "revert_rate"],
+    ),
     f"""select partner, chain, date_trunc('month', date_day)::date as month_start, count(*) as claims,
                sum(net_fills)::bigint as fills, {total('sum(net_revenue)')} as revenue,
                {total('sum(net_pbm_fee)')} as fee_collected, {total('sum(net_partner_fee)')} as fee_paid_out,
@@ -1086,7 +1124,9 @@ add(
 )
 add(
     "p2_conversion_funnel_mart",
-    lambda b: rounded(marts.gld_conversion_funnel(b.fct_lookup), [], ["conversion_rate", "revert_rate", "margin_per_lookup"]),
+    lambda b: rounded(
+        marts.gld_conversion_funnel(b.fct_lookup), [], ["conversion_rate", "revert_rate", "margin_per_lookup"]
+    ),
     f"""select partner, channel, date_trunc('month', date_day)::date as month_start, count(*) as lookups,
                count(*) filter (converted_to_valid_claim) as claims,
                {ratio('count(*) filter (converted_to_valid_claim) / count(*)', 6)} as conversion_rate,
@@ -1250,13 +1290,13 @@ def st2(b: Bench) -> DataFrame:
         "reverts": b.slv_reverts.select("claim_id", "revert_id", "reverted_at"),
     }
     ends = {
-        "claims": b.slv_claims.agg(F.lit("end").alias("claim_id"), F.max("price").alias("price"), late.alias("filled_at")),
-        "reverts": b.slv_reverts.agg(F.lit("end").alias("claim_id"), F.max("revert_id").alias("revert_id"), late.alias("reverted_at")),
+        "claims": b.slv_claims.agg(F.max("price").alias("price")).withColumn("filled_at", late),
+        "reverts": b.slv_reverts.agg(F.max("revert_id").alias("revert_id")).withColumn("reverted_at", late),
     }
     streams = {}
     for name, side in sides.items():
         folder = b.scratch(f"stream-{name}")
-        side.unionByName(ends[name].select(*side.columns)).write.parquet(folder)
+        side.unionByName(ends[name].withColumn("claim_id", F.lit("end"))).write.parquet(folder)
         streams[name] = b.spark.readStream.schema(side.schema).parquet(folder)
     joined = claims_with_reverts(streams["claims"], streams["reverts"], "48 HOURS", "1 hour")
     target = b.scratch("stream-joined")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
@@ -79,9 +79,9 @@ def asof_join(
     only compared with the few right rows of its own period instead of the key's whole history.
 
     Choose the period near the spacing of the right rows: a longer one means more comparisons, a shorter
-    one more copies of a range. Right rows that no left time can reach are dropped first. ``span`` is any cheaper frame with the
-    column ``left_time`` that covers the left times, such as the stored table behind ``left``.
-    ``columns`` may include ``right_time``, which tells how old the answer is.
+    one more copies of a range. Right rows that no left time can reach are dropped first. ``span`` is
+    any cheaper frame with the column ``left_time`` that covers the left times, such as the stored table
+    behind ``left``. ``columns`` may include ``right_time``, which tells how old the answer is.
     """
     covered = left if span is None else span
     reach = covered.agg(

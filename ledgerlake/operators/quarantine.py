@@ -103,8 +103,8 @@ def non_numeric(typed: Mapping[str, Column], names: Sequence[str]) -> Column:
 def validate(records: DataFrame, contract: Contract, payload: str = "raw_payload") -> DataFrame:
     """Type every record and name the first check it fails in ``reject_reason`` (NULL when clean).
 
-    ``payload`` holds one JSON object per row. All columns are kept, and a reason given before stands. The order of the checks is
-    missing fields, timestamps, numbers, then the contract's rules.
+    ``payload`` holds one JSON object per row. All columns are kept, and a reason given before stands.
+    The order of the checks is missing fields, timestamps, numbers, then the contract's rules.
     """
     record = F.col("_record")
     typed = {name: record[name] for name in contract.fields}

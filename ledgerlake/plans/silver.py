@@ -99,11 +99,6 @@ def first_reverts(reverts: DataFrame) -> DataFrame:
     )
 
 
-def prices_in_use(prices: DataFrame, codes: DataFrame) -> DataFrame:
-    """Only the codes that occur in an event; worth it where the series is much wider than the events."""
-    return prices.join(codes.select("ndc"), "ndc", "left_semi")
-
-
 def attach_costs(
     claims: DataFrame, prices: DataFrame, basis: str = AS_OF_FILL, span: DataFrame | None = None
 ) -> DataFrame:

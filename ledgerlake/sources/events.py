@@ -11,16 +11,15 @@ from ledgerlake.operators.quarantine import CONTRACTS, UNREADABLE_FILE, validate
 LINEAGE = ("source_file", "load_id")
 
 
-def json_files(spark: SparkSession, path: str, glob: str = "*.json", stream: bool = False) -> DataFrame:
+def json_files(
+    spark: SparkSession, path: str, glob: str = "*.json", stream: bool = False, files_per_batch: int | None = None
+) -> DataFrame:
     """One row per file below ``path`` (not its subfolders): whole text and file name."""
-    reader = spark.readStream if stream else spark.read
-    return (
-        reader.format("text")
-        .option("wholetext", True)
-        .option("pathGlobFilter", glob)
-        .load(path)
-        .select("value", F.col("_metadata.file_name").alias("source_file"))
-    )
+    reader = (spark.readStream if stream else spark.read).format("text").option("wholetext", True)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    files = reader.option("pathGlobFilter", glob).load(path)
+    return files.select("value", F.col("_metadata.file_name").alias("source_file"))
 
 
 def json_records(files: DataFrame) -> DataFrame:

@@ -12,14 +12,20 @@ from ledgerlake.sources.landing import ROUTE, routed
 
 
 def start_quarantine(
-    spark: SparkSession, path: str, stream: str, target: str, checkpoint: str, glob: str = "*.json"
+    spark: SparkSession,
+    path: str,
+    stream: str,
+    target: str,
+    checkpoint: str,
+    glob: str = "*.json",
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Validate every file not seen before and store clean and refused records; ends when caught up.
 
-    The batch number is the load id. A batch that is run again after a failure overwrites its own
+    A large backlog is taken in batches of ``files_per_batch``. The batch number is the load id. A batch that is run again after a failure overwrites its own
     partitions, so records are stored once.
     """
-    validated = validate(json_records(json_files(spark, path, glob, stream=True)), CONTRACTS[stream])
+    validated = validate(json_records(json_files(spark, path, glob, True, files_per_batch)), CONTRACTS[stream])
 
     def store(batch: DataFrame, batch_id: int) -> None:
         (

@@ -160,5 +160,13 @@ def test_st1_equals_the_batch_and_resumes(spark, folder, tmp_path):
     assert rows(tables["claims"].filter("claim_id = 'c11'").select("load_id")) == [("1",)]
 
 
+def test_st1_in_small_batches(spark, folder, tmp_path):
+    target = str(tmp_path / "out")
+    start_quarantine(spark, folder, "claims", target, str(tmp_path / "cp"), files_per_batch=2).awaitTermination()
+    tables = landing.read_quarantine(spark, target, "claims")
+    assert rows(tables["claims"].select("claim_id", "source_file")) == EXPECTED_CLEAN
+    assert rows(tables["claims_rejects"].select("reject_reason", "source_file")) == EXPECTED_REJECTS
+
+
 def test_contracts_name_every_stream():
     assert set(CONTRACTS) == set(landing.EVENT_SOURCES)
