@@ -145,14 +145,23 @@ def asof_join_sorted(
     else:
         both = known.unionByName(asked).withColumn("_day", F.to_date("_at"))
         earlier = Window.partitionBy("_by").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-        carried = (
+        opening = (
             both.groupBy("_by", "_day")
-            .agg(F.max_by("_row", F.when(F.col("_side") == 0, F.col("_at"))).alias("_closing"))
-            .select("_by", "_day", F.last("_closing", ignorenulls=True).over(earlier).alias("_carried"))
-        )
-        answered = _last_known(both.join(carried, ["_by", "_day"], "left"), ["_by", "_day"]).withColumn(
-            "_row", F.coalesce("_row", "_carried")
+            .agg(
+                F.max_by("_row", F.when(F.col("_side") == 0, F.col("_at"))).alias("_closing"),
+                F.max("_side").alias("_asked"),
+            )
+            .withColumn("_row", F.last("_closing", ignorenulls=True).over(earlier))
+            .filter("_asked = 1 AND _row IS NOT NULL")
+            .select(
+                "_by",
+                F.col("_day").cast(both.schema["_at"].dataType).alias("_at"),
+                F.lit(-1).alias("_side"),
+                "_row",
+                "_day",
+            )
         )
+        answered = _last_known(both.unionByName(opening), ["_by", "_day"])
     matches = (F.col(by) == F.col("_by")) & (F.col(left_time) == F.col("_at"))
     return left.join(answered.select("_by", "_at", "_row"), matches, "left").select(*left.columns, "_row.*")
 
