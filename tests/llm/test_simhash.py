@@ -1,0 +1,91 @@
+"""SimHash fingerprints, the trie self-join and its components, against brute force."""
+
+import random
+import re
+
+import pytest
+import xxhash
+
+from ledgerlake.llm import simhash
+from ledgerlake.llm.common import table
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def plain_fingerprint(text):
+    words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(fps, budget=3):
+    """fps: {node: fingerprint}; {node: smallest node reachable}."""
+    root = {n: n for n in fps}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    nodes = sorted(fps)
+    for i, a in enumerate(nodes):
+        for b in nodes[i + 1 :]:
+            if (fps[a] ^ fps[b]).bit_count() <= budget:
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {n: find(n) for n in nodes}
+
+
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+@pytest.mark.parametrize("text", ["", " \t\n", "One", "two Words", "a b c", "À É ü x\x0bY\x1cz", "w " * 70_001, "x" * 3_000_000])
+def test_fingerprint_equals_definition(text):
+    assert simhash.fingerprint(text.encode()) == plain_fingerprint(text)
+
+
+def test_components_on_documents(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    fps = {d: plain_fingerprint(t) for d, t in texts.items()}
+    want = {(d, f"{fps[d]:016x}", c) for d, c in plain_components(fps).items()}
+    assert {tuple(r) for r in simhash.near_duplicates(docs).collect()} == want
+
+
+@pytest.mark.parametrize("node_rows", [1, 20, 50_000])
+@pytest.mark.parametrize("spread", ["random", "cluster"])
+def test_trie_join_finds_the_components_of_brute_force(spark, node_rows, spread):
+    rng = random.Random(7)
+    base = [rng.getrandbits(64) for _ in range(4)]
+    if spread == "random":
+        fps = {b ^ sum(1 << rng.randrange(64) for _ in range(rng.randrange(6))) & (2**64 - 1) for b in base for _ in range(60)}
+    else:  # one dense cluster that shares its leading blocks
+        fps = {base[0] ^ rng.getrandbits(12) for _ in range(300)} | {base[1], base[2]}
+    fps |= {0, 2**64 - 1, 1 << 63, (1 << 63) | 7}
+    df = spark.createDataFrame([(signed(f),) for f in fps], "fp long")
+    edges = simhash.stars(simhash.units(df, 3, node_rows), 3, 4)
+    roots = {r.node: r.root for r in simhash.components(edges).collect()}
+    want = plain_components({signed(f): f for f in fps})
+    assert {n: roots.get(n, n) for n in want} == want
+
+
+def test_nulls_ties_repeated_rows_and_other_columns(spark):
+    rows = [(5, "a b c d", 1), (5, "a b c d", 1), (2, "A b c d", None), (None, "a b c d", 3), (7, None, 4), (9, "", 4), (None, "z", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, fp int")
+    got = sorted(map(tuple, simhash.near_duplicates(docs).collect()), key=str)
+    fp = f"{plain_fingerprint('a b c d'):016x}"
+    z = f"{plain_fingerprint('z'):016x}"
+    zero = "0" * 16
+    assert got == sorted([(5, fp, 2), (5, fp, 2), (2, fp, 2), (None, fp, 2), (7, zero, 7), (9, zero, 7), (None, z, None)], key=str)
+    kept = simhash.keep_one(docs, simhash.near_duplicates(docs))
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == [2, 7, None, None]
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert simhash.near_duplicates(docs).collect() == []
