@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import packing, simhash, tokens
+from ledgerlake.llm import chunks, packing, simhash, tokens
 from ledgerlake.llm.common import table
 from ledgerlake.session import tune
 
@@ -36,3 +36,8 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op10_chunk_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.fingerprints(table(spark, sf_dir, "documents"))
