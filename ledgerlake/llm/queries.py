@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import chunks, packing, quality, simhash, tokens
+from ledgerlake.llm import chunks, packing, pii, quality, simhash, tokens
 from ledgerlake.llm.common import table
 from ledgerlake.session import tune
 
@@ -46,3 +46,8 @@ def op10_chunk_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
