@@ -188,4 +188,4 @@ def packed(docs: DataFrame, tokenizer_path: str, length: int = LENGTH, end_id: i
                 start += size
         return record(out, *zip(*made, strict=True))
 
-    return map_rows(rows.join(place, "row").select("doc_id", "n", "wide", "ids", "at"), batch, ", ".join(f"{n} long" for n in names))
+    return map_rows(rows.hint("merge").join(place, "row").select("doc_id", "n", "wide", "ids", "at"), batch, ", ".join(f"{n} long" for n in names))
