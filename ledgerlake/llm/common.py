@@ -95,7 +95,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
-def _stretches(text: bytes) -> Iterator[np.ndarray]:
+def stretches(text: bytes) -> Iterator[np.ndarray]:
     """The bytes in stretches that end at a separator. One word longer than a stretch stays whole."""
     data = np.frombuffer(text, dtype=np.uint8)
     at = 0
@@ -119,7 +119,7 @@ def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def word_hashes(text: bytes) -> np.ndarray:
     """One hash for each word of a text, in order; equal words have equal hashes."""
-    found = [span_hashes(d, *word_spans(d)) for d in _stretches(text)]
+    found = [span_hashes(d, *word_spans(d)) for d in stretches(text)]
     return found[0] if len(found) == 1 else np.concatenate(found) if found else np.zeros(0, np.uint64)
 
 

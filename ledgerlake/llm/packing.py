@@ -13,7 +13,8 @@ from __future__ import annotations
 
 import os
 import zlib
-from itertools import accumulate
+from collections.abc import Iterator
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,13 +22,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import map_rows, parts, record, staged
+from ledgerlake.llm.common import map_rows, parts, record, span_hashes, staged, stretches, text_or_empty, word_spans
 
 LENGTH = 2048
 END_ID = 1
 DIMENSIONS, BITS = 4, 12
-# Chunks of text whose ids a task remembers, and the longest that is.
-REMEMBERED, REMEMBERED_LENGTH = 1_000_000, 48
+# Words whose ids a worker process remembers at most, between batches.
+REMEMBERED = 1_000_000
+# Bytes of text whose words are looked up together.
+AT_ONCE = 8 << 20
+# Marks that no character combines with and no letter pattern of the tokenizer starts with.
+MARKS = ".,;:!?#*$%&|\")]}"
 
 
 def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -75,45 +80,137 @@ def cells(points: np.ndarray, bits: int = BITS) -> np.ndarray:
     return np.minimum((np.arctan(points) / np.pi + 0.5) * (1 << bits), (1 << bits) - 1).astype(np.uint64)
 
 
-class ChunkIds(dict):
-    """Token ids, as bytes, of chunks between spaces and line ends; filled by batches."""
+def ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... for each start, as many as its size, one after another."""
+    upto = np.cumsum(size)
+    return np.repeat(start - (upto - size), size) + np.arange(upto[-1] if len(upto) else 0)
+
+
+class WordIds:
+    """Token ids of the words that white space separates, learned batch by batch.
+
+    The tokenizer drops white space and never looks across it. Nor does it look from a letter or digit to a
+    mark after it, so a word that ends in such marks is the word without them and the marks. Capital ASCII
+    letters have the ids of small ones. Words are known by their 64-bit hash; a batch's ids are copied from
+    the learned ones by array operations.
+    """
 
     def __init__(self, tokenizer: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_str(tokenizer)
-        self.size = self.tokenizer.get_vocab_size()
-        self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        self.signs = signs(self.size)
-
-    def ids_of(self, texts: list[str], end_id: int) -> list[np.ndarray]:
-        """Each text's ids and the end id. The tokenizer drops white space and never looks across it."""
-        if len(self) > REMEMBERED:
-            self.clear()
-        chunks = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list({c for cs in chunks for c in cs if c not in self})
-        for at in range(0, len(new), 20_000):
-            some = new[at : at + 20_000]
-            for c, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self[c] = np.array(e.ids, dtype=self.dtype).tobytes()
-        end = np.array([end_id], dtype=self.dtype).tobytes()
-        found = [np.frombuffer(b"".join(map(self.__getitem__, cs)) + end, dtype=self.dtype) for cs in chunks]
-        for c in new:
-            if len(c) > REMEMBERED_LENGTH:
-                del self[c]
-        return found
-
-
-_CHUNKS: dict[int, ChunkIds] = {}
-
-
-def chunk_ids(tokenizer: str) -> ChunkIds:
-    if (key := hash(tokenizer)) not in _CHUNKS:
-        _CHUNKS.clear()
-        _CHUNKS[key] = ChunkIds(tokenizer)
-    return _CHUNKS[key]
+        vocabulary = self.tokenizer.get_vocab()
+        n = max(vocabulary.values()) + 1
+        self.dtype = np.dtype("<u2" if n <= 1 << 16 else "<u4")
+        self.signs = signs(n)
+        # Ids that end a word; letters alone have one, at their end.
+        self.ending = np.zeros(n, dtype=bool)
+        self.ending[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.place: dict[int, int] = {}
+        self.hashes = np.zeros(0, dtype=np.uint64)
+        self.ids = np.zeros(0, dtype=self.dtype)
+        self.start, self.size, self.met = (np.zeros(0, dtype=np.int64) for _ in range(3))
+
+    def forget(self) -> None:
+        """Keep only what was met in two batches or more."""
+        kept = self.met > 1
+        self.hashes, start, self.size = self.hashes[kept], self.start[kept], self.size[kept]
+        self.ids = self.ids[ranges(start, self.size)]
+        self.start = np.cumsum(self.size) - self.size
+        self.met = np.ones(len(self.size), dtype=np.int64)
+        self.place = dict(zip(self.hashes.tolist(), range(len(self.size)), strict=True))
+
+    def encoded(self, parts: list[str]) -> dict[str, bytes]:
+        """The ids of parts of words, by the tokenizer. Letters go many words to a call, split where a word ends."""
+        out: dict[str, bytes] = {}
+        letters = [p for p in parts if p.isalpha()]
+        width = self.dtype.itemsize
+        groups = [letters[at : at + 200] for at in range(0, len(letters), 200)]
+        for some, e in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, dtype=self.dtype)
+            stops = ((np.flatnonzero(self.ending[ids]) + 1) * width).tolist()
+            if len(stops) == len(some):
+                raw = ids.tobytes()
+                out.update((p, raw[a:b]) for p, a, b in zip(some, [0, *stops], stops, strict=False))
+        rest = [p for p in parts if p not in out]
+        for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            out[p] = np.array(e.ids, dtype=self.dtype).tobytes()
+        return out
+
+    @staticmethod
+    def parted(word: str) -> tuple[str, ...]:
+        core = word.rstrip(MARKS)
+        if not core or "<|" in word or not core[-1].isalnum() or not core[-1].lower()[-1].isalnum():
+            return (word,)
+        key = core.lower() if core.isascii() else core
+        return (key, word[len(core) :]) if len(core) < len(word) else (key,)
+
+    def learn(self, hashes: np.ndarray, words: list[str]) -> np.ndarray:
+        """The places of new words."""
+        parts = [self.parted(w) for w in words]
+        ids = self.encoded(list(set(chain.from_iterable(parts))))
+        made = [ids[ps[0]] if len(ps) == 1 else ids[ps[0]] + ids[ps[1]] for ps in parts]
+        size = np.fromiter(map(len, made), dtype=np.int64, count=len(made)) // self.dtype.itemsize
+        places = np.arange(len(self.size), len(self.size) + len(words))
+        self.hashes = np.concatenate((self.hashes, hashes))
+        self.start = np.concatenate((self.start, len(self.ids) + np.cumsum(size) - size))
+        self.size = np.concatenate((self.size, size))
+        self.met = np.concatenate((self.met, np.zeros(len(words), dtype=np.int64)))
+        self.ids = np.concatenate((self.ids, np.frombuffer(b"".join(made), dtype=self.dtype)))
+        self.place.update(zip(hashes.tolist(), places.tolist(), strict=True))
+        return places
+
+    def ids_of(self, texts: list[bytes], end_id: int) -> list[np.ndarray]:
+        """Each text's ids and the end id."""
+        if len(self.place) > REMEMBERED:
+            self.forget()
+        joined, at = b"\n".join(texts), 0
+        hashes, starts, ends = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for data in stretches(joined):
+            a, b = word_spans(data)
+            hashes.append(span_hashes(data, a, b))
+            starts.append(a + at)
+            ends.append(b + at)
+            at += len(data)
+        starts, ends = np.concatenate(starts), np.concatenate(ends)
+        kinds, first, which = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+        places = np.fromiter((self.place.get(k, -1) for k in kinds.tolist()), dtype=np.int64, count=len(kinds))
+        new = np.flatnonzero(places < 0)
+        if len(new):
+            spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)
+            places[new] = self.learn(kinds[new], [joined[a:b].decode() for a, b in spans])
+        self.met[places] += 1
+        word = places[which]
+        size = self.size[word]
+        upto = np.concatenate(([0], np.cumsum(size)))
+        ids = self.ids[ranges(self.start[word], size)]
+        stop = upto[np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts]))].tolist()
+        end = np.array([end_id], dtype=self.dtype)
+        return [np.concatenate((ids[a:b], end)) for a, b in zip([0, *stop], stop, strict=False)]
+
+
+_WORDS: dict[int, WordIds] = {}
+
+
+def word_ids(tokenizer: str) -> WordIds:
+    """One for a worker process, so that later tasks know the words of earlier ones."""
+    if (key := hash(tokenizer)) not in _WORDS:
+        _WORDS.clear()
+        _WORDS[key] = WordIds(tokenizer)
+    return _WORDS[key]
+
+
+def groups(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """The texts in groups of about AT_ONCE bytes, which bounds the arrays made for them."""
+    size, first = 0, 0
+    for i, text in enumerate(texts):
+        size += len(text)
+        if size >= AT_ONCE:
+            yield texts[first : i + 1]
+            size, first = 0, i + 1
+    if first < len(texts):
+        yield texts[first:]
 
 
 def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
@@ -123,16 +220,16 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> Dat
     out = [("row", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("key", pa.int64()), ("wide", pa.bool_()), ("ids", pa.binary())]
 
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
-        chunks = chunk_ids(source.value)
-        ids = chunks.ids_of(b.column("text").to_pylist(), end_id)
-        keys = hilbert(cells(np.stack([projection(i, chunks.signs) for i in ids])), BITS)
-        wide = [chunks.dtype.itemsize == 4] * len(ids)
+        known = word_ids(source.value)
+        ids = [i for some in groups(b.column("text").to_pylist()) for i in known.ids_of(some, end_id)]
+        keys = hilbert(cells(np.stack([projection(i, known.signs) for i in ids])), BITS)
+        wide = [known.dtype.itemsize == 4] * len(ids)
         return record(out, b.column("row"), b.column("doc_id"), [len(i) for i in ids], keys, wide, [i.tobytes() for i in ids])
 
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"),
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+        text_or_empty().alias("text"),
     )
     return map_rows(rows, batch, "row long, doc_id long, n long, key long, wide boolean, ids binary")
 
