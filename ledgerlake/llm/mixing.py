@@ -32,7 +32,7 @@ TRAINED_ON = 20_000
 # Its vocabulary: so many words at most, each in at least so many of these documents.
 VOCABULARY, LEAST_DOCUMENTS = 20_000, 5
 PULL, MOST = 0.01, 4.0
-# Steps end when no total moves by more than this part of all tokens, or after so many.
+# Steps end when twice no total moves by more than this part of all tokens, or after so many.
 CLOSE, STEPS = 1e-5, 200
 
 
@@ -117,18 +117,13 @@ def totals(scores: DataFrame, domains: int, steps: Steps, pull: float, most: flo
 def fitted_steps(scores: DataFrame, target: np.ndarray, whole: float, pull: float = PULL, most: float = MOST) -> Steps:
     """The steps that lead to the rates; ``target`` in tokens for each domain, ``whole`` the tokens of all documents."""
     steps: Steps = []
-    pace, before = 1.0, None
-    while len(steps) < STEPS:
+    pace, before, calm = 1.0, None, 0
+    while len(steps) < STEPS and calm < 2:
         at_rate, at_point = totals(scores, len(target), steps, pull, most)
-        if before is not None and np.abs(at_rate - before).max() <= CLOSE * whole:
-            # Momentum may stand still for a step on its way; a plain step from here must change nothing either.
-            if steps[-1][0] == 0.0:
-                break
-            steps.append((0.0, tuple((at_point - target) / whole)))
-            pace, before = 1.0, at_rate
-            continue
-        if before is not None and objective(at_rate, target) > objective(before, target):
-            pace = 1.0
+        if before is not None:
+            calm = calm + 1 if np.abs(at_rate - before).max() <= CLOSE * whole else 0
+            if objective(at_rate, target) > objective(before, target):
+                pace = 1.0  # momentum has overshot
         following = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
         momentum = (pace - 1) / following if steps else 0.0
         steps.append((float(momentum), tuple(((at_point - target) / whole).tolist())))

@@ -7,12 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import chunks, packing, pii, quality, simhash, tokens
+from ledgerlake.llm import chunks, mixing, packing, pii, quality, simhash, tokens
 from ledgerlake.llm.common import table
 from ledgerlake.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+# Shares of the mix: mostly good documents, some poor ones, no toxic ones.
+WEIGHTS = {"good": 0.9, "poor": 0.1, "toxic": 0.0}
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -51,3 +53,9 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = mixing.domains_of(table(spark, sf_dir, "labels"))
+    return mixing.mixed(table(spark, sf_dir, "documents"), labels, WEIGHTS)
