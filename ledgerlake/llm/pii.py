@@ -280,16 +280,18 @@ def added_spans(field: Field, texts: Sequence[str], base: Sequence[Sequence[Span
 
 
 def fitted(docs: DataFrame, sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS) -> Field:
-    """The field of a sample of documents with a digit or an at sign, chosen by a hash of their doc_id and text."""
-    rows = (
-        docs.select("doc_id", F.col("text").cast("string").alias("text"))
-        .filter(F.col("text").rlike("[0-9@]") & (F.length("text") <= sample_chars))
-        .orderBy(F.xxhash64("doc_id", "text"))
-        .limit(sample)
-        .select("text")
-        .collect()
+    """The field of a sample of documents with a digit or an at sign: those with the smallest hashes of doc_id and text.
+
+    Hashes alone are sorted; the driver gets at most ``sample`` texts of at most ``sample_chars`` characters.
+    """
+    rows = docs.select(F.xxhash64("doc_id", "text").alias("h"), F.col("text").cast("string").alias("text")).filter(
+        F.col("text").rlike("[0-9@]") & (F.length("text") <= sample_chars)
     )
-    return fit(nodes([r["text"] for r in rows]))
+    last = rows.select("h").distinct().orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    if last is None:
+        return fit(nodes([]))
+    chosen = rows.filter(F.col("h") <= last).groupBy("h").agg(F.min("text").alias("text")).orderBy("h").collect()
+    return fit(nodes([r["text"] for r in chosen]))
 
 
 def spans_of(field: Field, texts: Sequence[str]) -> list[tuple[list[Span], list[Span]]]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import chunks, mixing, packing, pii, quality, simhash, tokens
+from ledgerlake.llm import chunks, mixing, packing, pii, quality, simhash, substrings, tokens
 from ledgerlake.llm.common import table
 from ledgerlake.session import tune
 
@@ -59,3 +59,8 @@ def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = mixing.domains_of(table(spark, sf_dir, "labels"))
     return mixing.mixed(table(spark, sf_dir, "documents"), labels, WEIGHTS)
+
+
+@query
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.deduplicated(table(spark, sf_dir, "documents"))
