@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import chat, chunks, mixing, packing, pii, quality, simhash, substrings, tokens
+from ledgerlake.llm import chat, chunks, licenses, mixing, packing, pii, quality, simhash, substrings, tokens
 from ledgerlake.llm.common import table
 from ledgerlake.session import tune
 
@@ -81,3 +81,11 @@ ORACLES["op3_chat_windows"] = chat.oracle(
     block=f"""(SELECT conv_id, turn, role, text FROM conversations
       UNION ALL SELECT -1, 0, 'user', '{TRICKY}' UNION ALL SELECT -1, 1, 'assistant', '{TRICKY}')"""
 )
+
+
+@query
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(table(spark, sf_dir, "documents"), licenses.known(spark))
+
+
+ORACLES["op2_license_scan"] = licenses.oracle()
