@@ -2,27 +2,62 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlake.llm import simhash
+from ledgerlake.llm import mixing, packing, pii, quality, simhash
 from ledgerlake.llm.common import staged, table
 from ledgerlake.session import tune
 
+# Shares of the mix, and the tokenizer of the sequences.
+WEIGHTS = {"good": 0.9, "poor": 0.1, "toxic": 0.0}
+TOKENIZER = "word_bpe_49k.json"
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules and their language's perplexity band keep.
+
+    A document is known by its doc_id. Rows that share one stay if any of them is kept; rows without one go.
+    """
+    kept = quality.judged(docs).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    return docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
+
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component, the one with the smallest doc_id."""
-    tune(spark)
+    """One document of each SimHash component, the one with the smallest doc_id; rows without a doc_id stay."""
     return simhash.keep_one(docs, simhash.near_duplicates(docs))
 
 
-STAGES = [("near_duplicates", near_duplicates)]
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data masked in their texts and n_chars counted again."""
+    return pii.redacted(docs)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix has them; an empty table stays empty."""
+    return mixing.drawn(docs, mixing.domains_of(table(spark, sf_dir, "labels")), WEIGHTS)
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences, along the curve; see packing.packed()."""
+    return packing.packed(docs, public_tokenizers.path(TOKENIZER))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("personal_data", personal_data),
+    ("mixture", mixture),
+    ("sequences", sequences),
+]
 # SQL cannot express the stages.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows; each stage's result is written and read again before the next."""
-    docs = table(spark, sf_dir, "documents")
+    docs = table(tune(spark), sf_dir, "documents")
     for name, stage in STAGES:
         docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs
