@@ -9,8 +9,10 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.joins import if_small, semi_join_spread
-from ledgerlake.plans import warehouse
+from ledgerlake.operators.collisions import QUARANTINE_ALL
+from ledgerlake.operators.joins import semi_join_spread
+from ledgerlake.operators.ranks import group_sizes
+from ledgerlake.plans import gold, silver, warehouse
 from ledgerlake.session import stage
 
 EVENTS = ("claims", "reverts", "lookups")
@@ -31,16 +33,14 @@ def store_fct_claim(fct_claim: DataFrame, table: str, grain: str = "day") -> Non
 
 
 def affected_periods(
-    known: Mapping[str, DataFrame], fresh: Mapping[str, DataFrame], grain: str = "day", earliest: str | None = None
+    known: Mapping[str, DataFrame], fresh: Mapping[str, DataFrame], grain: str = "day"
 ) -> DataFrame:
     """Periods to recompute, each once.
 
     These hold the new claims, and the older claims that a new revert or lookup names or that share
-    their id with a new claim. ``earliest`` caps how far back the search goes.
+    their id with a new claim, however old. The search reads two columns of the older claims.
     """
     older = known["claims"].select("claim_id", F.to_date("filled_at").alias("_day"))
-    if earliest is not None:
-        older = older.filter(F.col("_day") >= F.lit(earliest).cast("date"))
     named = (
         fresh["reverts"]
         .select("claim_id")
@@ -62,8 +62,8 @@ def fct_claim_of_periods(
 ) -> DataFrame:
     """The claim fact for some periods only, equal to those periods of a full build.
 
-    Ids are compared over the whole landing table, of which this reads one column; all else is limited
-    to the periods before any further join.
+    Claims are limited to the periods first. Copies of their ids are counted over the id column of the
+    whole landing table; lookups and reverts are limited to these ids before they are ranked.
     """
     return _PeriodWarehouse(landing, policies, periods, grain).fct_claim
 
@@ -76,11 +76,27 @@ class _PeriodWarehouse(warehouse.Warehouse):
     ) -> None:
         super().__init__(landing, policies)
         self.periods, self.grain = periods, grain
+        named = {name: semi_join_spread(landing[name], self.ids, "claim_id") for name in ("lookups", "reverts")}
+        self.landing = dict(landing) | named
+
+    def inside(self, claims: DataFrame) -> DataFrame:
+        period = period_of(F.col("filled_date"), self.grain)
+        return claims.withColumn(PERIOD, period).join(self.periods, PERIOD, "left_semi").drop(PERIOD)
+
+    @cached_property
+    def ids(self) -> DataFrame:
+        """The ids of claims in the periods."""
+        return self.inside(self.typed_claims).select("claim_id").distinct()
 
     @cached_property
     def resolved_claims(self) -> DataFrame:
-        everything = super().resolved_claims.withColumn(PERIOD, period_of(F.col("filled_date"), self.grain))
-        return everything.join(if_small(self.periods), PERIOD, "left_semi").drop(PERIOD)
+        if self.policies.duplicate_claims == QUARANTINE_ALL:
+            copies = semi_join_spread(self.landing["claims"].select("claim_id"), self.ids, "claim_id")
+            repeated = group_sizes(copies, ["claim_id"]).filter("_n > 1")
+            return semi_join_spread(self.inside(self.typed_claims), repeated, "claim_id", "left_anti")
+        # The earliest copy of an id may lie in another period.
+        copies = semi_join_spread(self.typed_claims, self.ids, "claim_id")
+        return self.inside(silver.resolved_claims(copies, self.policies.duplicate_claims))
 
 
 def replace_periods(spark: SparkSession, table: str, rows: DataFrame, periods: DataFrame, grain: str) -> None:
@@ -106,12 +122,46 @@ def refresh_fct_claim(
     fresh: Mapping[str, DataFrame],
     grain: str = "day",
     policies: warehouse.Policies = warehouse.Policies(),
-    earliest: str | None = None,
+    lookup_table: str | None = None,
 ) -> None:
-    """Bring a stored claim fact up to date with a new load; reference tables come from ``known``."""
+    """Bring a stored claim fact up to date with a new load; reference tables come from ``known``.
+
+    With ``lookup_table`` the stored lookup fact follows, by its own periods.
+    """
     merged = dict(known) | {name: known[name].unionByName(fresh[name]) for name in EVENTS}
-    periods = stage(affected_periods(known, fresh, grain, earliest), "periods")
+    periods = stage(affected_periods(known, fresh, grain), "periods")
     replace_periods(spark, table, fct_claim_of_periods(merged, periods, grain, policies), periods, grain)
+    if lookup_table is not None:
+        days = affected_lookup_periods(merged, fresh, periods, grain)
+        lookup_periods = stage(days, "lookup-periods")
+        rows = fct_lookup_of_periods(merged, lookup_periods, spark.table(table).drop(PERIOD), grain, policies)
+        replace_periods(spark, lookup_table, rows, lookup_periods, grain)
+
+
+def affected_lookup_periods(
+    merged: Mapping[str, DataFrame], fresh: Mapping[str, DataFrame], claim_periods: DataFrame, grain: str = "day"
+) -> DataFrame:
+    """Periods of lookups that are new, or name a claim of the given claim periods."""
+    day = period_of(F.to_date("looked_up_at"), grain).alias(PERIOD)
+    filled = merged["claims"].select("claim_id", period_of(F.to_date("filled_at"), grain).alias(PERIOD))
+    ids = filled.join(claim_periods, PERIOD, "left_semi").select("claim_id").distinct()
+    named = semi_join_spread(merged["lookups"].select("claim_id", "looked_up_at"), ids, "claim_id")
+    return named.select(day).union(fresh["lookups"].select(day)).filter(F.col(PERIOD).isNotNull()).distinct()
+
+
+def fct_lookup_of_periods(
+    landing: Mapping[str, DataFrame],
+    periods: DataFrame,
+    fct_claim: DataFrame,
+    grain: str = "day",
+    policies: warehouse.Policies = warehouse.Policies(),
+) -> DataFrame:
+    """The lookup fact for some periods, equal to those of a full build, from a claim fact that is up to date."""
+    period = period_of(F.to_date("looked_up_at"), grain)
+    lookups = landing["lookups"].withColumn(PERIOD, period).join(periods, PERIOD, "left_semi").drop(PERIOD)
+    w = warehouse.Warehouse(dict(landing) | {"lookups": lookups}, policies)
+    claims = semi_join_spread(fct_claim, lookups.select("claim_id").filter("claim_id IS NOT NULL").distinct(), "claim_id")
+    return gold.fct_lookup(w.slv_lookups, claims)
 
 
 def lookback_suffices(fct_claim: DataFrame, lookback_hours: float, share: float = LOOKBACK_SHARE) -> DataFrame:
