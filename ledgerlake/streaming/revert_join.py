@@ -12,23 +12,23 @@ def claims_with_reverts(claims: DataFrame, reverts: DataFrame, lookback: str, de
     """Left join of two streams: a revert counts if it comes within ``lookback`` of the fill.
 
     Both sides may be late by ``delay``. State is bounded by the lookback: a claim without a revert is
-    emitted once the watermark has passed the end of its lookback. Of several reverts the first to
-    arrive counts; the batch build settles which is the earliest.
+    emitted once the watermark has passed the end of its lookback. A claim is emitted once: of several
+    reverts inside its lookback the first to arrive counts (of those that arrive together, any); the
+    batch build settles which is the earliest. Reverts outside the lookback count for nothing.
     """
     fills = claims.withColumn("_filled", as_instant(F.col("filled_at"))).withWatermark("_filled", delay)
-    voids = (
-        reverts.select(
-            F.col("claim_id").alias("_claim_id"),
-            "revert_id",
-            "reverted_at",
-            as_instant(F.col("reverted_at")).alias("_reverted"),
-        )
-        .withWatermark("_reverted", delay)
-        .dropDuplicatesWithinWatermark(["_claim_id"])
-    )
+    voids = reverts.select(
+        F.col("claim_id").alias("_claim_id"),
+        "revert_id",
+        "reverted_at",
+        as_instant(F.col("reverted_at")).alias("_reverted"),
+    ).withWatermark("_reverted", delay)
     in_time = F.expr(f"claim_id = _claim_id AND _reverted >= _filled AND _reverted <= _filled + INTERVAL {lookback}")
     return (
         fills.join(voids, in_time, "leftOuter")
         .withColumn("is_reverted", F.col("revert_id").isNotNull())
-        .drop("_claim_id", "_filled", "_reverted")
+        .drop("_claim_id", "_reverted")
+        # A claim is remembered until the join can add nothing to it, that is for its whole lookback.
+        .dropDuplicates(["claim_id", "_filled"])
+        .drop("_filled")
     )

@@ -286,8 +286,38 @@ def test_p4_touches_only_affected_days(spark, landed):
     late_revert = {**fresh, "reverts": landed["reverts"]}
     days = {r[0] for r in incremental.affected_periods(known, late_revert).collect()}
     assert days == {date(2026, 3, 1), date(2026, 3, 2), date(2026, 3, 12)}
-    days = {r[0] for r in incremental.affected_periods(known, late_revert, earliest="2026-03-02").collect()}
-    assert days == {date(2026, 3, 2), date(2026, 3, 12)}
+
+
+def test_p4_claims_are_limited_before_ids_are_compared(spark, landed):
+    """Nothing but the id column of the landing meets the collision step outside the periods."""
+    periods = spark.createDataFrame([(date(2026, 3, 2),)], f"{incremental.PERIOD} date")
+    for policy in ("quarantine_all", "keep_earliest"):
+        policies = warehouse.Policies(duplicate_claims=policy)
+        part = incremental.fct_claim_of_periods(landed, periods, policies=policies)
+        whole = warehouse.Warehouse(landed, policies).fct_claim.filter("date_day = DATE'2026-03-02'")
+        assert rows(part) == rows(whole)
+    resolved = incremental._PeriodWarehouse(landed, warehouse.Policies(), periods, "day").resolved_claims
+    plan = resolved._jdf.queryExecution().optimizedPlan().toString()
+    anti = plan[plan.index("LeftAnti") :]
+    assert "LeftSemi" in anti[: anti.index("Aggregate")]
+
+
+@pytest.mark.parametrize("grain", ["day", "month"])
+def test_p4_late_revert_reaches_both_facts(spark, landed, w, grain):
+    """A revert of the oldest claim, however late, changes its claim and the lookup that led to it."""
+    known, fresh = split(landed, "2026-03-12")
+    known["reverts"], fresh["reverts"] = landed["reverts"].limit(0), landed["reverts"]
+    name = scratch_dir(spark, "db")
+    database = name.rsplit("/", 1)[1].replace("-", "_")
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{name}'")
+    claims, lookups = f"{database}.fct_claim", f"{database}.fct_lookup"
+    before = warehouse.Warehouse(known)
+    incremental.store_fct_claim(before.fct_claim, claims, grain)
+    incremental.store_fct_claim(before.fct_lookup, lookups, grain)
+    incremental.refresh_fct_claim(spark, claims, known, fresh, grain, lookup_table=lookups)
+    assert rows(spark.table(claims).select(*w.fct_claim.columns)) == rows(w.fct_claim)
+    assert rows(spark.table(lookups).select(*w.fct_lookup.columns)) == rows(w.fct_lookup)
+    spark.sql(f"DROP DATABASE {database} CASCADE")
 
 
 def test_p6_stale_streams(w):
@@ -322,8 +352,8 @@ def test_k4_gold_is_priced_once(spark, landed, tmp_path):
         getattr(w, name).write.parquet(str(tmp_path / name))
         w.replace(name, spark.read.parquet(str(tmp_path / name)))
     for name in ("dim_date", "dim_drug"):
-        plan = plan_of(getattr(w, name))
-        assert str(tmp_path / "fct_claim") in plan and "claim_id" not in plan
+        assert any("/fct_claim/" in f for f in getattr(w, name).inputFiles())
+        assert "claim_id" not in plan_of(getattr(w, name))
         assert rows(getattr(w, name)) == rows(getattr(warehouse.Warehouse(landed), name))
 
 
@@ -367,6 +397,62 @@ def test_st2_equals_the_batch_inside_the_lookback(spark, tmp_path, w):
     assert found == expected
 
 
+def test_st2_one_row_per_claim(spark, tmp_path):
+    """A second revert after the delay adds nothing, and a revert before the fill hides no later one."""
+    claims = [("twice", ts("2026-05-01T00:00:00")), ("early", ts("2026-05-02T00:00:00"))]
+    reverts = [
+        [("twice", "first", ts("2026-05-01T01:00:00")), ("early", "too soon", ts("2026-05-01T20:00:00"))],
+        [("twice", "second", ts("2026-05-01T10:00:00")), ("early", "valid", ts("2026-05-02T03:00:00"))],
+        [("end", "end", ts("2030-01-01T00:00:00"))],
+    ]
+    ends = [("end", ts("2030-01-01T00:00:00"))]
+    schemas = {"claims": "claim_id string, filled_at timestamp_ntz", "reverts": "claim_id string, revert_id string, reverted_at timestamp_ntz"}
+    paths = {name: str(tmp_path / name) for name in (*schemas, "out", "checkpoint")}
+    for step, some in enumerate(reverts):
+        spark.createDataFrame([claims, claims[:0], ends][step], schemas["claims"]).write.mode("append").parquet(paths["claims"])
+        spark.createDataFrame(some, schemas["reverts"]).write.mode("append").parquet(paths["reverts"])
+        streams = [spark.readStream.schema(schema).parquet(paths[name]) for name, schema in schemas.items()]
+        joined = claims_with_reverts(*streams, "48 HOURS", "1 hour")
+        sink = joined.writeStream.format("parquet").option("path", paths["out"]).option("checkpointLocation", paths["checkpoint"])
+        sink.trigger(availableNow=True).start().awaitTermination()
+    found = spark.read.parquet(paths["out"]).filter("claim_id <> 'end'").select("claim_id", "revert_id", "is_reverted")
+    assert rows(found) == [("early", "valid", True), ("twice", "first", True)]
+
+
+@pytest.mark.parametrize("name", ["slv_claims", "fct_claim", "fct_lookup", "dim_drug"])
+def test_making_a_table_starts_no_job(spark, sf_dir, name):
+    landing = adapters.Landing(spark, sf_dir)
+    {stream: landing[stream] for stream in ("claims", "lookups", "reverts", "nadac", "partners", "pharmacies")}
+    group = f"plan-only-{name}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        getattr(warehouse.Warehouse(landing), name)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_l1_copies_that_differ_in_one_column_only(spark, landed):
+    """The kept copy doesn't depend on the order of rows."""
+    one = landed["claims"].limit(1)
+    copies = [one.withColumn("price", F.lit(p).cast("double")) for p in (30.0, 10.0, 20.0)]
+    kept = set()
+    for order in ((0, 1, 2), (2, 1, 0), (1, 2, 0)):
+        stacked = copies[order[0]].union(copies[order[1]]).union(copies[order[2]])
+        w = warehouse.Warehouse({**landed, "claims": stacked}, warehouse.Policies(duplicate_claims="keep_earliest"))
+        kept |= {r.price for r in w.resolved_claims.collect()}
+    assert kept == {10.0}
+
+
+def test_p6_numbered_loads_come_in_order(spark):
+    """With 12 loads of slowly growing size no load stands out from the four before it."""
+    counts = [(str(i), n) for i in range(12) for n in range(100 + 5 * i)]
+    clean = spark.createDataFrame(counts, "load_id string, n int")
+    refused = spark.createDataFrame([], "stream string, load_id string")
+    assert assertions.rejection_shifts(refused, {"claims": clean}, 4, 0.15).count() == 0
+    assert assertions.rejection_shifts(refused, {"claims": clean.filter("load_id <> '7' OR n < 20")}, 4, 0.15).first().load_id == "7"
+
+
 def test_plans_have_no_python_and_no_cross_join(small):
     for name in ("fct_claim", "fct_lookup", "dim_drug", "dim_date"):
         plan = plan_of(getattr(small, name))
@@ -385,11 +471,11 @@ def test_plans_shuffle_claims_once_per_key(spark, small):
     joins = [line for line in lines if "Join [claim_id#" in line and "Broadcast" not in line]
     assert len(joins) == 3
     assert sum("Exchange hashpartitioning(ndc#" in line and "trunc(filled_date" in line for line in lines) == 1
-    # Claims, id counts (made once and used twice), lookups and reverts; nothing is moved by partner
-    # or pharmacy. Without a hot id the count's first use folds away.
+    # Claims, id counts (made once and used twice), lookups and reverts; nothing is moved by a
+    # bare partner, which may be hot or NULL. Without a hot id the count's first use folds away.
     moved = [line for line in lines if "Exchange hashpartitioning(claim_id#" in line]
     assert len([line for line in moved if "Reused" not in line]) <= 4
     assert len([line for line in moved if "Reused" in line]) == 1
-    assert not any("Exchange hashpartitioning(partner" in line or "Exchange hashpartitioning(npi" in line for line in lines)
+    assert not any("Exchange hashpartitioning(partner" in line for line in lines)
     scans = [line for line in lines if "lineitem" in line]
     assert scans and not any("l_discount" in line or "l_linestatus" in line for line in scans)
