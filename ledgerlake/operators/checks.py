@@ -28,7 +28,7 @@ def not_null(df: DataFrame, column: str) -> DataFrame:
 def relationships(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
     """Child rows whose non-null key has no parent."""
     present = child.filter(F.col(column).isNotNull())
-    return semi_join_spread(present, parent.select(F.col(field).alias(column)), column, "left_anti")
+    return semi_join_spread(present, parent.select(F.col(field).alias(column)).distinct(), column, "left_anti")
 
 
 def accepted_values(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:

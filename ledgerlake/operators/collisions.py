@@ -36,9 +36,9 @@ def rows_with_unique_key(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> D
     Rows of the few hot ids leave before anything is shuffled, by a broadcast of those ids. All others
     meet the repeated ids, which lie by the same key since they were counted.
     """
-    repeated = group_sizes(df.select(key), [key]).filter("_n > 1")
-    total = df.agg(F.count(F.lit(1))).scalar()
-    hot = hot_keys(repeated, total, hot_rows).select(key)
+    sizes = group_sizes(df.select(key), [key])
+    repeated = sizes.filter("_n > 1")
+    hot = hot_keys(repeated, sizes.agg(F.sum("_n")).scalar(), hot_rows).select(key)
     return df.join(F.broadcast(hot), key, "left_anti").join(repeated.select(key), key, "left_anti")
 
 

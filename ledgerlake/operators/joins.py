@@ -7,12 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A reference table of up to this many rows may be copied to every executor.
-SMALL_ROWS = 100_000
 # Absent keys are spread over this many join keys.
 SPREAD = 4096
-# A key is hot if it has at least this many rows, and at least one part in HOT_KEYS of all rows. The
-# second condition means that there are never more than HOT_KEYS hot keys, however large the table.
+# Parameters: a key is hot if it has at least this many rows, and at least one part in HOT_KEYS of all
+# rows. The second condition means that there are never more than HOT_KEYS hot keys, however large the
+# table.
 HOT_ROWS = 100_000
 HOT_KEYS = 100_000
 
@@ -63,12 +62,3 @@ def fresh(columns: Sequence[str]) -> list[Column]:
     """The columns under new identities, so that a right side drawn from the left's own table is safe."""
     return [F.col(name).alias(name) for name in columns]
 
-
-def if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Mark a reference table for broadcast if a count shows it to be small, else leave it as it is.
-
-    A reference key such as a partner has few values, each on a large part of the facts, and shuffling
-    facts by it would load a few tasks with everything. The count stops one row past the limit. Beyond
-    the limit Spark joins by shuffle and AQE splits hot keys.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

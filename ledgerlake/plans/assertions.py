@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions.money import count_true, percent
 from ledgerlake.operators import checks
+from ledgerlake.plans.gold import COST_PAIRS, FEE_PAIRS
 
 # Tolerances.
 MONEY_TOLERANCE = 0.0001
@@ -96,7 +97,8 @@ def partner_terms_exclusive(dim_partner: DataFrame) -> DataFrame:
 
 
 def reverted_count_nothing(fct_claim: DataFrame) -> DataFrame:
-    zeroed = ["net_revenue", "net_pbm_fee", "net_partner_fee", "net_fills"]
+    """Reverted claims with a net measure other than zero; a cost-based one may be unknown."""
+    zeroed = ["net_fills", *FEE_PAIRS, *COST_PAIRS]
     any_left = reduce(lambda a, b: a | b, [F.col(name) != 0 for name in zeroed])
     return fct_claim.filter(F.col("is_reverted") & any_left).select("claim_id")
 
@@ -177,7 +179,9 @@ def rejection_shifts(
         .withColumn("records", F.col("clean_rows") + F.col("rejects"))
         .withColumn("rate", F.try_divide(F.col("rejects").cast("double"), F.col("records")))
     )
-    before = Window.partitionBy("stream").orderBy("load_id").rowsBetween(-window, -1)
+    # Numbered loads come in order of their numbers, others in that of their names.
+    in_turn = F.col("load_id").try_cast("bigint"), F.col("load_id")
+    before = Window.partitionBy("stream").orderBy(*in_turn).rowsBetween(-window, -1)
     return (
         loads.withColumn("usual_records", F.avg("records").over(before))
         .withColumn("usual_rate", F.avg("rate").over(before))

@@ -9,7 +9,7 @@ from ledgerlake.functions.dates import hours_between
 from ledgerlake.functions.money import fee_type, partner_fee_share
 from ledgerlake.operators.asof import asof_join, join_validity
 from ledgerlake.operators.collisions import resolve_collisions
-from ledgerlake.operators.joins import if_small, left_join_spread
+from ledgerlake.operators.joins import left_join_spread
 from ledgerlake.operators.ranks import top_one
 
 # The cost bases.
@@ -40,12 +40,14 @@ def slv_partners(brz_partners: DataFrame) -> DataFrame:
 def slv_nadac(brz_nadac: DataFrame) -> DataFrame:
     """One price per code and publication date; the newest effective date wins."""
     newest = [F.col("effective_date").desc_nulls_last(), F.col("nadac_per_unit").desc_nulls_last()]
+    newest += [F.col(c) for c in sorted(brz_nadac.columns)]  # so that ties leave nothing to chance
     return top_one(brz_nadac, ["ndc", "as_of_date"], newest).drop("load_id")
 
 
 def resolved_claims(claims: DataFrame, policy: str) -> DataFrame:
     """One row per claim id under the collision policy. The order is total, so the choice is stable."""
     first = ["filled_at", "source_file", "ndc", "npi"]
+    first += sorted(set(claims.columns) - set(first))
     return resolve_collisions(claims, "claim_id", policy, [F.col(c) for c in first])
 
 
@@ -68,8 +70,7 @@ def slv_claims(resolved: DataFrame, pharmacies: DataFrame) -> DataFrame:
 
 def slv_lookups(brz_lookups: DataFrame, partners: DataFrame) -> DataFrame:
     """All lookups; an unlisted partner is flagged."""
-    known = partners.select("partner", F.lit(True).alias("_known"))
-    return brz_lookups.join(known, "partner", "left").select(
+    return left_join_spread(brz_lookups, partners.select("partner"), "partner", [], "_known").select(
         "lookup_id",
         "claim_id",
         "ndc",
@@ -79,7 +80,7 @@ def slv_lookups(brz_lookups: DataFrame, partners: DataFrame) -> DataFrame:
         "looked_up_at",
         "looked_up_date",
         "flag_converted",
-        F.col("_known").isNull().alias("flag_unknown_partner"),
+        (~F.col("_known")).alias("flag_unknown_partner"),
     )
 
 
@@ -129,18 +130,15 @@ def attribute(claims: DataFrame, lookups: DataFrame, partners: DataFrame, revert
     All large inputs meet on claim_id, so each is shuffled once. ``reverts`` holds one row per claim;
     reverts of other claims find no partner row and need not be filtered out beforehand.
     """
-    return _with_reverts(
-        claims.join(converting_lookups(lookups), "claim_id", "left").join(
-            partners.select("partner", "fee_cents", "fee_percentage", "fee_type"), "partner", "left"
-        ),
-        reverts,
-    )
+    terms = ["fee_cents", "fee_percentage", "fee_type"]
+    attributed = _with_reverts(claims.join(converting_lookups(lookups), "claim_id", "left"), reverts)
+    return left_join_spread(attributed, partners, "partner", terms).drop("_matched")
 
 
 def attribute_dated(claims: DataFrame, lookups: DataFrame, history: DataFrame, reverts: DataFrame) -> DataFrame:
     """As ``attribute`` with the terms in force on the fill date, from a versioned partner table."""
     attributed = claims.join(converting_lookups(lookups), "claim_id", "left")
-    dated = if_small(history).withColumn("fee_type", fee_type(F.col("fee_cents"), F.col("fee_percentage")))
+    dated = history.withColumn("fee_type", fee_type(F.col("fee_cents"), F.col("fee_percentage")))
     terms = ["fee_cents", "fee_percentage", "fee_type"]
     return _with_reverts(
         join_validity(attributed, dated, "partner", "filled_date", "valid_from", "valid_to", terms), reverts

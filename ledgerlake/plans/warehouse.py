@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import cached_property
@@ -10,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.collisions import POLICIES, QUARANTINE_ALL
-from ledgerlake.operators.joins import if_small
 from ledgerlake.plans import bronze, gold, silver
 from ledgerlake.sources.landing import EVENT_SOURCES
 
@@ -123,14 +123,13 @@ class Warehouse:
     def brz_rejects(self) -> DataFrame:
         return bronze.brz_rejects(self._rejects)
 
-    # The two reference tables are counted once each; every join takes them in the form chosen here.
     @cached_property
     def slv_pharmacies(self) -> DataFrame:
-        return if_small(silver.slv_pharmacies(self.brz_pharmacies))
+        return silver.slv_pharmacies(self.brz_pharmacies)
 
     @cached_property
     def slv_partners(self) -> DataFrame:
-        return if_small(silver.slv_partners(self.brz_partners))
+        return silver.slv_partners(self.brz_partners)
 
     @cached_property
     def slv_nadac(self) -> DataFrame:
@@ -229,8 +228,9 @@ def materialize(
 
     Every table can be queried by its name, a stored one also as ``layer.name`` (the layer's database
     may get a prefix). What is stored is read back by whatever builds on it: with gold stored, the
-    claims are priced once, and the dimensions come from two columns of the facts. A fact that is kept
-    up to date by parts is stored by ``plans.incremental`` instead.
+    claims are priced once, and the dimensions come from two columns of the facts. A refresh that fails
+    while it computes a table leaves the old one in place; files of earlier refreshes stay until the
+    caller removes them. A fact that is kept up to date by parts is stored by ``plans.incremental``.
     """
     tables: dict[str, DataFrame] = {}
     for layer, names in LAYERS.items():
@@ -242,9 +242,11 @@ def materialize(
                 continue
             frame = getattr(warehouse, name)
             if layer in store:
-                path, table = f"{folder}/{layer}/{name}", f"{prefix}{layer}.{name}"
+                # The new rows are written beside the old ones; then the name moves to them.
+                path, table = f"{folder}/{layer}/{name}/{uuid.uuid4().hex}", f"{prefix}{layer}.{name}"
+                frame.write.parquet(path)
                 spark.sql(f"DROP TABLE IF EXISTS {table}")
-                frame.write.mode("overwrite").option("path", path).saveAsTable(table)
+                spark.catalog.createTable(table, path, "parquet")
                 frame = spark.table(table)
                 warehouse.replace(name, frame)
             tables[name] = frame

@@ -191,15 +191,6 @@ def test_j5_no_task_holds_a_whole_history_of_timestamps(spark):
     assert len(row_windows) == 2 and all("_day#" in line for line in row_windows)
 
 
-def test_small_tables_are_broadcast_and_large_ones_are_not(spark):
-    facts, table = spark.range(1000).toDF("k"), spark.range(50).toDF("k")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert "BroadcastHashJoin" in plan_of(facts.join(joins.if_small(table), "k", "left"))
-        assert "BroadcastHashJoin" not in plan_of(facts.join(joins.if_small(table, 49), "k", "left"))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
 
 def test_p3_history(spark):
     days = [date(2026, 1, 1), date(2026, 2, 1), date(2026, 3, 1), date(2026, 4, 1)]
