@@ -28,7 +28,9 @@ def blank_to_null(text: Column) -> Column:
 
 def parse_number(text: Column) -> Column:
     """A decimal or scientific number as double. Words, hex, type suffixes, NaN and infinity give NULL."""
-    return F.when(text.rlike(NUMBER_PATTERN), strip(text).try_cast("double"))
+    # The cast takes plain outer spaces itself; only the rarer kinds need another pass.
+    plain = F.when(text.rlike(r"[^\x21-\x7E]"), strip(text)).otherwise(text)
+    return F.when(text.rlike(NUMBER_PATTERN), plain.try_cast("double"))
 
 
 def parse_iso_timestamp(text: Column) -> Column:

@@ -20,14 +20,18 @@ PRICE_COLUMNS = {
 }
 
 
-def read_csv_dir(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
-    """Every column as text, named by the header. A file whose header differs is an error, not misread."""
+def read_csv_dir(spark: SparkSession, path: str, glob: str = "*.csv", multi_line: bool = True) -> DataFrame:
+    """Every column as text, named by the header. A file whose header differs is an error, not misread.
+
+    Quoted text may hold line breaks. Without ``multi_line`` it must not, and one huge file can be split.
+    """
     return (
         spark.read.option("header", True)
         .option("enforceSchema", False)
         .option("pathGlobFilter", glob)
         .option("quote", '"')
         .option("escape", '"')
+        .option("multiLine", multi_line)
         .csv(path)
     )
 
@@ -57,7 +61,21 @@ def partners(spark: SparkSession, path: str, load_id: str) -> DataFrame:
 
 
 def prices(spark: SparkSession, path: str, load_id: str) -> DataFrame:
-    """The price series. Rows without a usable cost are dropped; an unreadable date is NULL."""
+    """The price series. Rows without a usable cost are dropped (see price_losses); an unreadable date is NULL."""
+    return typed_prices(spark, path, load_id).filter("nadac_per_unit IS NOT NULL")
+
+
+def price_losses(spark: SparkSession, path: str) -> DataFrame:
+    """How many rows of the price series are read, lack a cost and so don't land, and lack a date and so stay out of bronze."""
+    cost, day = F.col("nadac_per_unit").isNull(), F.col("as_of_date").isNull()
+    return typed_prices(spark, path, "").agg(
+        F.count(F.lit(1)).alias("rows_read"),
+        F.count_if(cost).alias("without_cost"),
+        F.count_if(~cost & day).alias("without_date"),
+    )
+
+
+def typed_prices(spark: SparkSession, path: str, load_id: str) -> DataFrame:
     rows = read_csv_dir(spark, path)
     text = {ours: _text(rows, theirs) for theirs, ours in PRICE_COLUMNS.items()}
     typed = text | {
@@ -66,6 +84,4 @@ def prices(spark: SparkSession, path: str, load_id: str) -> DataFrame:
         "as_of_date": parse_us_date(text["as_of_date"]),
         "is_otc": F.upper(text["is_otc"]) == "Y",
     }
-    return rows.select(*[column.alias(name) for name, column in typed.items()], F.lit(load_id).alias("load_id")).filter(
-        "nadac_per_unit IS NOT NULL"
-    )
+    return rows.select(*[column.alias(name) for name, column in typed.items()], F.lit(load_id).alias("load_id"))
