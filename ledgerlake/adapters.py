@@ -227,7 +227,7 @@ def _quoted(value: Column) -> Column:
 
 
 def _event_time() -> Column:
-    return F.when(_every(43), "not-a-date").otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
+    return F.when(_every(43), "yesterday").otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
 
 
 def _time_pair() -> Column:
@@ -247,7 +247,7 @@ def raw_claims(spark: SparkSession, sf_dir: str, load: str | None = None) -> Dat
     """Claim records as JSON text; each way to fail occurs, alone and together with others."""
     amount = F.col("value").cast("decimal(12,2)").cast("string")
     price = (
-        F.when(_every(41), '"one hundred"')
+        F.when(_every(41), '"n/a"')
         .when(_every(37), _quoted(amount))
         .when(_every(53), F.concat(F.lit("-1"), amount))
         .otherwise(amount)
@@ -258,7 +258,7 @@ def raw_claims(spark: SparkSession, sf_dir: str, load: str | None = None) -> Dat
         _pair("ndc", _quoted(F.col("event_id") % 2000)),
         _pair("price", price),
         _pair("quantity", (F.col("event_id") % 59).cast("string")),
-        _pair("pbm_fee", F.lit("3.25")),
+        _pair("pbm_fee", F.lit("2.75")),
         _time_pair(),
     )
     return _records(spark, sf_dir, payload, load)

@@ -204,20 +204,20 @@ TABLES: dict[str, str] = {
     "raw_claims": """
         select '{"id":"e' || event_id || '","npi":' || case when event_id % 47 = 0 then 'null' else '"' || user_id || '"' end
                || ',"ndc":"' || event_id % 2000 || '","price":'
-               || case when event_id % 41 = 0 then '"one hundred"'
+               || case when event_id % 41 = 0 then '"n/a"'
                        when event_id % 37 = 0 then '"' || cast(value as decimal(12,2)) || '"'
                        when event_id % 53 = 0 then '-1' || cast(value as decimal(12,2))
                        else cast(cast(value as decimal(12,2)) as varchar) end
-               || ',"quantity":' || event_id % 59 || ',"pbm_fee":3.25'
+               || ',"quantity":' || event_id % 59 || ',"pbm_fee":2.75'
                || case when event_id % 61 = 0 then '' else ',"timestamp":"'
-                  || case when event_id % 43 = 0 then 'not-a-date' else strftime(ts, '%Y-%m-%dT%H:%M:%S') end || '"' end
+                  || case when event_id % 43 = 0 then 'yesterday' else strftime(ts, '%Y-%m-%dT%H:%M:%S') end || '"' end
                || '}' as raw_payload, event_type as source_file, 'load-1' as load_id
         from events""",
     "raw_reverts": """
         select '{"id":"r' || event_id || '","claim_id":'
                || case when event_id % 29 = 0 then 'null' else '"e' || event_id || '"' end
                || case when event_id % 61 = 0 then '' else ',"timestamp":"'
-                  || case when event_id % 43 = 0 then 'not-a-date' else strftime(ts, '%Y-%m-%dT%H:%M:%S') end || '"' end
+                  || case when event_id % 43 = 0 then 'yesterday' else strftime(ts, '%Y-%m-%dT%H:%M:%S') end || '"' end
                || '}' as raw_payload, event_type as source_file, 'load-1' as load_id
         from events""",
     "raw_lookups": """
@@ -228,7 +228,7 @@ TABLES: dict[str, str] = {
                || case when event_id % 31 = 0 then '' else ',"partner":"' || event_type || '"' end
                || ',"channel":' || case when event_id % 7 = 0 then '""' else '"website"' end
                || case when event_id % 61 = 0 then '' else ',"timestamp":"'
-                  || case when event_id % 43 = 0 then 'not-a-date' else strftime(ts, '%Y-%m-%dT%H:%M:%S') end || '"' end
+                  || case when event_id % 43 = 0 then 'yesterday' else strftime(ts, '%Y-%m-%dT%H:%M:%S') end || '"' end
                || '}' as raw_payload, event_type as source_file, 'load-1' as load_id
         from events""",
     "judged_claims": f"""
