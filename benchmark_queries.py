@@ -18,8 +18,8 @@ from ledgerlake.functions import dates, money, parsing
 from ledgerlake.operators import asof, checks, profile, scd2
 from ledgerlake.operators.quarantine import CONTRACTS, bad_timestamp, clean_rows, missing_fields, non_numeric
 from ledgerlake.operators.ranks import group_sizes, number_rows, top_one
-from ledgerlake.plans import assertions, gold, incremental, marts, metrics, reports, silver, warehouse
-from ledgerlake.session import scratch_dir, tune
+from ledgerlake.plans import assertions, gold, incremental, marts, metrics, reports, silver, suite, warehouse
+from ledgerlake.session import scratch_dir, stage, tune
 from ledgerlake.sources import events, landing, reference
 from ledgerlake.streaming.quarantine_stream import start_quarantine
 from ledgerlake.streaming.revert_join import claims_with_reverts
@@ -1105,6 +1105,49 @@ add(
         from fct_claim join dim_partner using (partner) where fee_cents = 0 group by partner""",
 )
 
+
+
+def all_tests(b: Bench) -> DataFrame:
+    """All declared tests over stored tables."""
+    for name in ("slv_claims", "slv_reverts", "slv_nadac", "fct_claim", "fct_lookup"):
+        b.replace(name, stage(getattr(b, name), name))
+    return suite.run_tests(b)
+
+
+def violations(test: str, sql: str) -> str:
+    return f"select '{test}' as test, (select count(*) from ({sql})) as violations"
+
+
+def all_tests_sql() -> str:
+    parts = [violations(f"{t}.{c}: not_null", f"select 1 from {t} where {c} is null") for t, cs in suite.NOT_NULL.items() for c in cs]
+    parts += [violations(f"{t}.{c}: unique", f"select {c} from {t} where {c} is not null group by 1 having count(*) > 1") for t, c in suite.UNIQUE.items()]
+    parts += [violations(f"{t}.{c}: relationships", f"select 1 from {t} where {c} is not null and {c} not in (select {c} from {p})") for t, c, p in suite.RELATIONSHIPS]
+    parts += [
+        violations("dim_partner.fee_type: accepted_values", "select 1 from dim_partner where fee_type not in ('flat', 'percentage')"),
+        violations("slv_nadac.ndc, as_of_date: unique", "select 1 from slv_nadac group by ndc, as_of_date having count(*) > 1"),
+        violations("bronze drops nothing", "select 1 where (select count(*) from brz_claims) <> (select count(*) from claims)"),
+        violations(
+            "bronze reconciles to silver",
+            """select 1 where (select count(*) from brz_claims) <> (select count(*) from slv_claims)
+               + (select count(*) from brz_claims) - (select count(*) from unique_claims)
+               + (select count(*) from unique_claims where npi not in (select npi from slv_pharmacies))""",
+        ),
+        violations("claims have costs", "select 1 from fct_claim having 100.0 * count(*) filter (flag_cost_unavailable) / count(*) > 10"),
+        violations("fee identity", "select 1 from fct_claim where abs(partner_fee + retained_margin - pbm_fee) > 0.0001"),
+        violations("snapshots loaded", "select 1 from brz_nadac having count(*) = 0 or count(distinct as_of_date) < 10"),
+        violations("partner fee within fee", "select 1 from fct_claim where partner_fee > pbm_fee + 0.0001"),
+        violations("partner terms exclusive", "select 1 from dim_partner where (fee_cents is null) = (fee_percentage is null)"),
+        violations(
+            "reverted claims count nothing",
+            """select 1 from fct_claim where is_reverted and (net_fills <> 0 or net_revenue <> 0 or net_quantity <> 0
+               or net_pbm_fee <> 0 or net_partner_fee <> 0 or net_retained_margin <> 0 or net_pharmacy_margin <> 0 or net_drug_cost <> 0)""",
+        ),
+    ]
+    return "select test, violations, violations = 0 as passed from (" + " union all ".join(parts) + ")"
+
+
+add("t_all_tests", all_tests, all_tests_sql())
+
 # --- P: marts, history, incremental build, ledger, shifts -----------------------------------------
 
 add(
