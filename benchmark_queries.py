@@ -548,7 +548,7 @@ add(
 
 add(
     "a1_grouped",
-    lambda b: b.fct_claim.groupBy("partner", "channel", "chain").agg(
+    lambda b: b.fee_fact.groupBy("partner", "channel", "chain").agg(
         rows(),
         money.round_total(F.sum("price")).alias("revenue"),
         money.round_ratio(F.avg("quantity"), 4).alias("avg_quantity"),
@@ -607,7 +607,7 @@ add(
 )
 add(
     "a7_distinct",
-    lambda b: b.fct_claim.select(F.round("partner_fee", 4).alias("fee"), "fee_type").filter("fee_type = 'flat'").distinct(),
+    lambda b: b.fee_fact.select(F.round("partner_fee", 4).alias("fee"), "fee_type").filter("fee_type = 'flat'").distinct(),
     f"select distinct {ratio('partner_fee', 4)} as fee, fee_type from fct_claim where fee_type = 'flat'",
 )
 add(
@@ -674,12 +674,12 @@ add(
 )
 add(
     "o3_top_k",
-    lambda b: b.fct_claim.select("claim_id", "price").orderBy(F.col("price").desc(), "claim_id").limit(25),
+    lambda b: b.fee_fact.select("claim_id", "price").orderBy(F.col("price").desc(), "claim_id").limit(25),
     "select claim_id, price from fct_claim order by price desc, claim_id limit 25",
 )
 add(
     "o4_preview",
-    lambda b: reports.preview(b.fct_claim.select("claim_id", "price", "partner"), ["claim_id"]),
+    lambda b: reports.preview(b.fee_fact.select("claim_id", "price", "partner"), ["claim_id"]),
     """select claim_id, price, partner, (select count(*) from fct_claim) as full_count from fct_claim
        order by claim_id limit 200""",
 )
@@ -813,7 +813,7 @@ add(
 )
 add(
     "u1_partner_fee_share",
-    lambda b: b.fct_claim.select("claim_id", "fee_type", "pbm_fee", "partner_fee"),
+    lambda b: b.fee_fact.select("claim_id", "fee_type", "pbm_fee", "partner_fee"),
     "select claim_id, fee_type, pbm_fee, partner_fee::double as partner_fee from priced",
 )
 
@@ -925,8 +925,7 @@ def metric(number: int, name: str, source: str, definitions: Callable[[], dict[s
         by = "partner" if source.startswith("fct_") else "source_file"
         # Only cost coverage looks at costs.
         table = b.fee_fact if source == "fct_claim" and name != "cost_coverage" else getattr(b, source)
-        overall = metrics.measure(table, only).withColumn("of", F.lit("all"))
-        return overall.unionByName(metrics.measure(table, only, by).withColumnRenamed(by, "of"))
+        return metrics.measure_overall_and_by(table, only, by)
 
     by = "partner" if source.startswith("fct_") else "source_file"
     add(
@@ -988,7 +987,7 @@ add(
 
 add("t1_unique", lambda b: checks.unique(b.brz_claims, "claim_id"),
     "select claim_id, count(*) as n_records from claims group by 1 having count(*) > 1")
-add("t2_not_null", lambda b: checks.not_null(b.fct_claim, "partner").select("claim_id", "partner"),
+add("t2_not_null", lambda b: checks.not_null(b.fee_fact, "partner").select("claim_id", "partner"),
     "select claim_id, partner from fct_claim where partner is null")
 add("t3_relationships", lambda b: checks.relationships(b.slv_lookups, "ndc", b.slv_nadac, "ndc").select("lookup_id", "ndc"),
     "select lookup_id, ndc from slv_lookups where ndc not in (select ndc from slv_nadac)")
@@ -1071,11 +1070,11 @@ add(
 add(
     "t14_reverts_follow_fills",
     lambda b: assertions.reverts_follow_fills(
-        b.fct_claim.withColumn("filled_at", F.col("filled_at") + F.expr("INTERVAL '1' DAY"))),
+        b.fee_fact.withColumn("filled_at", F.col("filled_at") + F.expr("INTERVAL '1' DAY"))),
     """select claim_id, filled_at + interval 1 day as filled_at, reverted_at from fct_claim
        where reverted_at < filled_at + interval 1 day""",
 )
-add("t14_claims_unique", lambda b: assertions.claims_unique(b.fct_claim.unionByName(b.fct_claim.filter("is_reverted"))),
+add("t14_claims_unique", lambda b: assertions.claims_unique(b.fee_fact.unionByName(b.fee_fact.filter("is_reverted"))),
     "select claim_id, 2::bigint as n_records from fct_claim where is_reverted")
 add(
     "t15_acceptance",
@@ -1202,9 +1201,9 @@ HISTORY_SQL = """
 add("p3_partner_history", history, HISTORY_SQL)
 add(
     "p3_dated_partner_terms",
-    lambda b: silver.split_fees(
-        silver.attribute_dated(b.slv_claims, b.slv_lookups, history(b), b.slv_reverts)
-    ).select("claim_id", "partner", "fee_type", "partner_fee"),
+    lambda b: warehouse.Warehouse(
+        dict(b.landing) | {"partner_history": history(b)}, warehouse.Policies(partner_terms=warehouse.DATED_TERMS)
+    ).fee_fact.select("claim_id", "partner", "fee_type", "partner_fee"),
     f"""with h as ({HISTORY_SQL}),
              claim_terms as (select c.claim_id, c.pbm_fee, l.partner, h.fee_cents, h.fee_percentage
                              from slv_claims c left join converting l using (claim_id)

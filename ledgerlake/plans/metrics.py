@@ -49,6 +49,13 @@ def measure(df: DataFrame, definitions: dict[str, Column], *by: str) -> DataFram
     return df.groupBy(*by).agg(*aggregates) if by else df.agg(*aggregates)
 
 
+def measure_overall_and_by(df: DataFrame, definitions: dict[str, Column], by: str, label: str = "of") -> DataFrame:
+    """The named metrics over all rows ('all') and per group, from one pass; a table without rows gives none."""
+    aggregates = [column.alias(name) for name, column in definitions.items()]
+    rolled = df.rollup(by).agg(F.grouping(by).alias("_whole"), *aggregates)
+    return rolled.select(*definitions, F.when(F.col("_whole") == 1, "all").otherwise(F.col(by)).alias(label))
+
+
 def rejection_rate(brz_rejects: DataFrame, *clean: DataFrame) -> DataFrame:
     """Refused records over all records that arrived, refused ones included."""
     accepted = reduce(lambda a, b: a + b, [table.agg(_rows()).scalar() for table in clean])

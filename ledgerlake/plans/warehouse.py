@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.collisions import POLICIES, QUARANTINE_ALL
-from ledgerlake.plans import bronze, gold, silver
+from ledgerlake.plans import bronze, gold, marts, silver, suite
 from ledgerlake.sources.landing import EVENT_SOURCES
 
 LAYERS = {
@@ -34,8 +34,21 @@ LAYERS = {
         "slv_claim_costs",
         "slv_claim_economics",
     ),
-    "gold": ("dim_date", "dim_drug", "dim_partner", "dim_pharmacy", "fct_claim", "fct_lookup"),
+    "gold": (
+        "dim_date",
+        "dim_drug",
+        "dim_partner",
+        "dim_pharmacy",
+        "fct_claim",
+        "fct_lookup",
+        "gld_partner_performance",
+        "gld_conversion_funnel",
+        "gld_revenue_reconciliation",
+    ),
 }
+# Whose terms apply to a claim, those that hold now or those of the fill date.
+CURRENT_TERMS = "current"
+DATED_TERMS = "dated"
 
 
 @dataclass(frozen=True)
@@ -44,12 +57,15 @@ class Policies:
 
     duplicate_claims: str = QUARANTINE_ALL
     cost_basis: str = silver.AS_OF_FILL
+    partner_terms: str = CURRENT_TERMS
 
     def __post_init__(self) -> None:
         if self.duplicate_claims not in POLICIES:
             raise ValueError(f"collision policy must be one of {POLICIES}, not {self.duplicate_claims!r}")
         if self.cost_basis not in silver.COST_BASES:
             raise ValueError(f"cost basis must be one of {silver.COST_BASES}, not {self.cost_basis!r}")
+        if self.partner_terms not in (CURRENT_TERMS, DATED_TERMS):
+            raise ValueError(f"partner terms must be {CURRENT_TERMS!r} or {DATED_TERMS!r}, not {self.partner_terms!r}")
 
 
 class Warehouse:
@@ -65,7 +81,9 @@ class Warehouse:
         return {name: getattr(self, name) for name in names if self.has(name)}
 
     def has(self, name: str) -> bool:
-        """Whether the landed tables allow for a table; only rejects may be absent."""
+        """Whether the landed tables allow for a table; only rejects, and what is counted from them, may be absent."""
+        if name == "gld_revenue_reconciliation":
+            return "claims" in self._rejects
         return name != "brz_rejects" or bool(self._rejects)
 
     def replace(self, name: str, stored: DataFrame) -> None:
@@ -174,6 +192,10 @@ class Warehouse:
         """
         # Whether a partner is known matters to the lookup fact only, hence the bronze lookups.
         reverts = silver.first_reverts(self.landing["reverts"])
+        if self.policies.partner_terms == DATED_TERMS:
+            # A version of a partner's terms per row, with valid_from and valid_to; see operators.scd2.
+            history = self.landing["partner_history"]
+            return silver.split_fees(silver.attribute_dated(self.slv_claims, self.brz_lookups, history, reverts))
         return silver.split_fees(silver.attribute(self.slv_claims, self.brz_lookups, self.slv_partners, reverts))
 
     @cached_property
@@ -210,6 +232,20 @@ class Warehouse:
     def fct_lookup(self) -> DataFrame:
         return gold.fct_lookup(self.slv_lookups, self.fee_fact)
 
+    @cached_property
+    def gld_partner_performance(self) -> DataFrame:
+        return marts.gld_partner_performance(self.fee_fact)
+
+    @cached_property
+    def gld_conversion_funnel(self) -> DataFrame:
+        return marts.gld_conversion_funnel(self.fct_lookup)
+
+    @cached_property
+    def gld_revenue_reconciliation(self) -> DataFrame:
+        return marts.gld_revenue_reconciliation(
+            self.brz_claims, self._rejects["claims"], self.resolved_claims, self.slv_pharmacies, self.fee_fact
+        )
+
 
 def register(tables: Mapping[str, DataFrame]) -> None:
     """Offer tables to SQL as views of the same names."""
@@ -223,6 +259,7 @@ def materialize(
     folder: str,
     store: tuple[str, ...] = ("gold",),
     prefix: str = "",
+    test: bool = False,
 ) -> dict[str, DataFrame]:
     """Full refresh. Tables of the layers in ``store`` are written, all others stay views.
 
@@ -230,7 +267,7 @@ def materialize(
     may get a prefix). What is stored is read back by whatever builds on it: with gold stored, the
     claims are priced once, and the dimensions come from two columns of the facts. A refresh that fails
     while it computes a table leaves the old one in place; files of earlier refreshes stay until the
-    caller removes them. A fact that is kept up to date by parts is stored by ``plans.incremental``.
+    caller removes them. With ``test`` the declared tests run afterwards and a violation is an error. A fact that is kept up to date by parts is stored by ``plans.incremental``.
     """
     tables: dict[str, DataFrame] = {}
     for layer, names in LAYERS.items():
@@ -251,4 +288,6 @@ def materialize(
                 warehouse.replace(name, frame)
             tables[name] = frame
     register(tables)
+    if test and (broken := suite.failures(suite.run_tests(warehouse))):
+        raise ValueError(f"violations by test: {broken}")
     return tables

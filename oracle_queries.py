@@ -200,6 +200,10 @@ TABLES: dict[str, str] = {
         from codes left join newest_prices using (ndc)""",
     "dim_partner": "select partner, fee_cents, fee_percentage, fee_type from slv_partners",
     "dim_pharmacy": "select npi, chain from slv_pharmacies",
+    # The marts' grain; their values have queries of their own.
+    "gld_partner_performance": "select distinct partner, chain, date_trunc('month', date_day) as month_start from fct_claim",
+    "gld_conversion_funnel": "select distinct partner, channel, date_trunc('month', date_day) as month_start from fct_lookup",
+    "gld_revenue_reconciliation": "select unnest(range(6)) as stage",
     # text records
     "raw_claims": """
         select '{"id":"e' || event_id || '","npi":' || case when event_id % 47 = 0 then 'null' else '"' || user_id || '"' end

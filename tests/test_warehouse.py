@@ -346,6 +346,13 @@ def test_k4_sql_over_the_layers(spark, landed, tmp_path):
     spark.sql("DROP DATABASE k4_gold CASCADE")
 
 
+def test_k4_declared_tests_on_request(spark, landed, tmp_path):
+    """The small example lacks price snapshots, and that is the first thing said."""
+    with pytest.raises(ValueError, match="snapshots loaded"):
+        warehouse.materialize(spark, warehouse.Warehouse(landed), str(tmp_path), prefix="tested_", test=True)
+    spark.sql("DROP DATABASE tested_gold CASCADE")
+
+
 def test_k4_gold_is_priced_once(spark, landed, tmp_path):
     w = warehouse.Warehouse(landed)
     for name in ("fct_claim", "fct_lookup"):
