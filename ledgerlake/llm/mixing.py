@@ -15,17 +15,16 @@ out anew from the list of steps so far, and no state is written between steps.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import record, staged
+from ledgerlake.llm.common import SPACES, keyed_texts, map_rows, record, span_hashes, staged, stretches, text_or_empty
 
 # Labelled documents the classifier is fitted on, at most; chosen by a hash of their doc_id.
 TRAINED_ON = 20_000
@@ -36,17 +35,58 @@ PULL, MOST = 0.01, 4.0
 CLOSE, STEPS = 1e-5, 200
 
 
-def words(text: Column) -> Column:
-    """Lower-case words, with marks that follow a letter or digit apart."""
-    parts = F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), r"[\x20\x09-\x0D]+|(?<=[\p{L}\p{N}])(?=[^\p{L}\p{N}\s])")
-    return F.array_remove(parts, "")
+# Small letters, digits and all bytes of longer characters make words; other visible bytes make marks.
+_KIND = np.full(256, 2, dtype=np.int8)
+_KIND[list(SPACES)] = 0
+_KIND[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = 1
+_SMALL = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-def classifier(docs: DataFrame, labelled: DataFrame, domains: list[str], trained_on: int = TRAINED_ON) -> PipelineModel:
+def spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words and of the runs of marks."""
+    kind = np.concatenate(([0], _KIND[data], [0]))
+    edge = np.flatnonzero(kind[1:] != kind[:-1])
+    starts = edge[kind[edge + 1] != 0]
+    return starts, edge[np.searchsorted(edge, starts) + 1]
+
+
+def words(text: bytes) -> set[str]:
+    """The different words and runs of marks of a text, A-Z as small letters."""
+    text = text.translate(_SMALL)
+    starts, ends = spans(np.frombuffer(text, dtype=np.uint8))
+    return {text[a:b].decode(errors="replace") for a, b in zip(starts.tolist(), ends.tolist(), strict=True)}
+
+
+def hashes(text: bytes) -> np.ndarray:
+    """A hash for each word and run of marks, in order."""
+    found = [span_hashes(d, *spans(d)) for d in stretches(text.translate(_SMALL))]
+    return np.concatenate(found) if found else np.zeros(0, np.uint64)
+
+
+@dataclass
+class Classifier:
+    """Weights of the words that count, by sorted hash, and a bias; a column for each domain."""
+
+    keys: np.ndarray
+    weights: np.ndarray
+    bias: np.ndarray
+
+    def probabilities(self, found: np.ndarray) -> np.ndarray:
+        kinds = np.unique(found)
+        score = self.bias
+        if len(kinds) and len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, kinds), len(self.keys) - 1)
+            score = score + self.weights[at[self.keys[at] == kinds]].sum(axis=0)
+        p = np.exp(score - score.max())
+        return p / p.sum()
+
+
+def classifier(docs: DataFrame, labelled: DataFrame, domains: list[str], trained_on: int = TRAINED_ON) -> Classifier:
     """Fitted on ``labelled`` (doc_id, domain) and the documents' words.
 
     Labels without a doc_id, without a domain or of an unknown one are left out. Of several labels of a
-    document, or rows with its doc_id, one is used. There must be at least one usable label.
+    document, or rows with its doc_id, one is used. There must be at least one usable label. A domain
+    without labels has the probability 0.
     """
     place = F.array_position(F.array(*(F.lit(d) for d in domains)), F.col("domain"))
     labels = (
@@ -57,24 +97,40 @@ def classifier(docs: DataFrame, labelled: DataFrame, domains: list[str], trained
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(trained_on)
     )
+    fields = [("doc_id", pa.int64()), ("label", pa.float64()), ("words", pa.list_(pa.string()))]
+
+    def split(b: pa.RecordBatch) -> pa.RecordBatch:
+        return record(fields, b.column("doc_id"), b.column("label"), [sorted(words(t)) for t in b.column("text").to_pylist()])
+
     # At most ``trained_on`` pairs of numbers are broadcast.
-    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words(F.col("text")).alias("words")).join(F.broadcast(labels), "doc_id")
-    sample = staged(chosen, "labelled").dropDuplicates(["doc_id"])
+    chosen = keyed_texts(docs).join(F.broadcast(labels), "doc_id").select("doc_id", "label", "text")
+    sample = staged(map_rows(chosen, split, "doc_id long, label double, words array<string>"), "labelled").dropDuplicates(["doc_id"])
     if sample.isEmpty():
         raise ValueError("no document has a label of the domains")
     least = min(LEAST_DOCUMENTS, sample.count())
     counter = CountVectorizer(inputCol="words", outputCol="features", vocabSize=VOCABULARY, minDF=least, binary=True).fit(sample)
     model = LogisticRegression(family="multinomial", regParam=0.003, elasticNetParam=0.5, maxIter=60).fit(counter.transform(sample))
-    return PipelineModel([counter, model])
-
-
-def posteriors(docs: DataFrame, model: PipelineModel, domains: list[str]) -> DataFrame:
-    """(doc_id, row, tokens, p): every row with its number of words and a probability for each domain."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), words(F.col("text")).alias("words"))
-    p = vector_to_array("probability", "float32")
-    # A domain that no label of the sample has comes after the model's classes, with probability 0.
-    filled = F.transform(F.sequence(F.lit(0), F.lit(len(domains) - 1)), lambda i: F.coalesce(F.get(p, i), F.lit(0.0).cast("float")))
-    return model.transform(rows).select("doc_id", "row", F.size("words").cast("long").alias("tokens"), filled.alias("p"))
+    keys = np.array([hashes(w.encode())[0] for w in counter.vocabulary], dtype=np.uint64)
+    weights = np.zeros((len(keys), len(domains)))
+    bias = np.full(len(domains), -np.inf)
+    seen = model.numClasses
+    weights[:, :seen], bias[:seen] = model.coefficientMatrix.toArray().T, model.interceptVector.toArray()
+    rank = np.argsort(keys)
+    return Classifier(keys[rank], weights[rank], bias)
+
+
+def posteriors(docs: DataFrame, model: Classifier, domains: list[str]) -> DataFrame:
+    """(doc_id, row, tokens, p): every row with its number of words and runs of marks, and a probability for each domain."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    fields = [("doc_id", pa.int64()), ("row", pa.int64()), ("tokens", pa.int64()), ("p", pa.list_(pa.float32()))]
+
+    def batch(b: pa.RecordBatch) -> pa.RecordBatch:
+        found = [hashes(t) for t in b.column("text").to_pylist()]
+        p = [shared.value.probabilities(f).astype(np.float32) for f in found]
+        return record(fields, b.column("doc_id"), b.column("row"), [len(f) for f in found], p)
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), text_or_empty().alias("text"))
+    return map_rows(rows, batch, "doc_id long, row long, tokens long, p array<float>")
 
 
 Steps = list[tuple[float, tuple[float, ...]]]

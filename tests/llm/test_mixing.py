@@ -25,6 +25,18 @@ def test_held_out_accuracy(tables):
     assert {r.domain: r.right > 0.75 for r in right} == dict.fromkeys(DOMAINS, True)
 
 
+def test_words_and_hashes_agree():
+    import re
+
+    rng = np.random.default_rng(1)
+    parts = ["The", "é", "&&&", " ", "\n", ".", "x1", "ÀB", "\x0b", "!!", "'", "世"]
+    for _ in range(500):
+        text = "".join(rng.choice(parts, rng.integers(0, 12)))
+        want = re.findall(r"[a-z0-9\x80-\U0010ffff]+|[^a-z0-9\x80-\U0010ffff\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+        assert mixing.words(text.encode()) == set(want)
+        assert mixing.hashes(text.encode()).tolist() == [int(mixing.hashes(w.encode())[0]) for w in want]
+
+
 def plain_rates(p, tokens, target, pull, most):
     """Many plain projected gradient steps."""
     whole, rate = tokens.sum(), np.ones(len(p))
