@@ -11,6 +11,8 @@ of sorted hashes. The rest routes passages: a passage goes to the reference shar
 passages are merged on the way. An anchor in more than ``common`` documents, such as a line that is printed
 everywhere, would make one large shard; its windows travel one by one, by the hash of the window.
 
+A document with the very text of an earlier one loses all its windows at once, without a passage.
+
 Automata are not broadcast, as all of them together grow with the corpus; each shard's is built where its
 passages meet.
 """
@@ -26,8 +28,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import parts, record, staged, text_or_empty, window_hashes, word_hashes
+from ledgerlake.operators.joins import left_join_spread
 
-LENGTH, GRAIN = 13, 8
+LENGTH, GRAIN = 13, 10
 # Documents an anchor may have before its windows travel one by one.
 COMMON = 1000
 # A row without a doc_id stands behind all others.
@@ -294,6 +297,13 @@ def judged(distinct: DataFrame, shards: int, length: int) -> DataFrame:
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 
+def later_copies(rows: DataFrame) -> DataFrame:
+    """(key, copied): rows whose whole text a document with a smaller doc_id has, and the digest of the text."""
+    light = rows.select("key", F.coalesce("doc_id", F.lit(LAST)).alias("document"), F.md5("text").alias("copied"))
+    first = light.groupBy("copied").agg(F.min("document").alias("first"))
+    return left_join_spread(light, first, "copied", ["first"]).filter("first < document").groupBy("key").agg(F.min("copied").alias("copied"))
+
+
 def digest(words: list[bytes]) -> str:
     return hashlib.sha256(b" ".join(words)).hexdigest()
 
@@ -309,31 +319,32 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, grain: int = GRAIN, comm
         raise ValueError("grain must be between 1 and length")
     shards = parts(docs.sparkSession)
     doc_id = F.col("doc_id").cast("long")
-    # A row without a doc_id goes by a hash of its text here; equal keys only add candidates.
-    rows = docs.select(F.coalesce(doc_id, F.xxhash64(F.col("text").cast("string"))).alias("key"), doc_id.alias("doc_id"), text_or_empty().alias("text"))
+    # Rows go by a hash of doc_id and text here; rows that share one only share candidates.
+    rows = docs.select(F.xxhash64(doc_id, F.col("text").cast("string")).alias("key"), doc_id.alias("doc_id"), text_or_empty().alias("text"))
     light = rows.select("key", "text")
     repeats = staged(repeated_anchors(light, shards, length, grain, common), "repeated-anchors")
     lists = own_repeats(light, repeats, shards, length, grain).groupBy("key").agg(F.collect_list("anchors").alias("anchors"))
+    lists = lists.join(later_copies(rows), "key", "full")
 
     def sort_out(batches):
-        fields = [("doc_id", pa.int64()), ("n_words", pa.int64()), ("kept_sha256", pa.string()), ("text", pa.binary()), ("anchors", pa.binary())]
+        fields = [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("text", pa.binary()), ("anchors", pa.binary())]
         for b in batches:
             made = []
-            for doc_id, text, lists in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "anchors")), strict=True):
+            for doc_id, text, lists, copied in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "anchors", "copied")), strict=True):
                 words = text.split()
-                if lists and len(words) >= length:
+                if copied and len(words) >= length and hashlib.md5(text).hexdigest() == copied:
+                    made.append((doc_id, len(words), len(words), digest([]), None, None))
+                elif lists and len(words) >= length:
                     repeats = np.unique(np.concatenate([np.frombuffer(x, dtype=np.uint64) for x in lists]))
-                    made.append((doc_id, len(words), None, b" ".join(words), repeats.tobytes()))
+                    made.append((doc_id, len(words), None, None, b" ".join(words), repeats.tobytes()))
                 else:
-                    made.append((doc_id, len(words), digest(words), None, None))
+                    made.append((doc_id, len(words), 0, digest(words), None, None))
             if made:
                 yield record(fields, *zip(*made, strict=True))
 
-    sorted_out = rows.join(lists, "key", "left").select("doc_id", "text", "anchors")
-    table = staged(
-        sorted_out.mapInArrow(sort_out, "doc_id long, n_words long, kept_sha256 string, text binary, anchors binary"), "with-repeats"
-    )
-    clear = table.filter(F.col("text").isNull()).select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept_sha256")
+    sorted_out = rows.join(lists, "key", "left").select("doc_id", "text", "anchors", "copied")
+    table = staged(sorted_out.mapInArrow(sort_out, f"{RESULT}, text binary, anchors binary"), "with-repeats")
+    clear = table.filter(F.col("text").isNull()).select("doc_id", "n_words", "n_removed", "kept_sha256")
     open_rows = table.filter(F.col("text").isNotNull()).withColumn("row", F.monotonically_increasing_id())
 
     def cut(batches):
