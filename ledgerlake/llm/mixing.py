@@ -5,11 +5,13 @@ rate r counts r times. The expected tokens of a domain are the sum over document
 probability. Rates between 0 and ``most`` are sought that bring these totals to the targets, by least
 squares with a small pull towards 1:
 
-    minimise  sum_k (total_k - target_k)^2 / T^2  +  pull * sum_d tokens_d / T * (rate_d - 1)^2
+    minimise  error' M error  +  pull * sum_d tokens_d / T * (rate_d - 1)^2,   error_k = (total_k - target_k) / T
 
-with T the tokens of all documents. Projected gradient steps with momentum solve it. In each step Spark adds
-up the totals, a few numbers, and these are all a document needs for its next rate. So tasks work their rates
-out anew from the list of steps so far, and no state is written between steps.
+with T the tokens of all documents. M weighs the domains by the inverse of their Gram matrix, so that a rare
+domain's error counts as much as a common one's and the steps are few. Projected gradient steps with momentum
+solve it. In each step Spark adds up the totals, a few numbers, and these are all a document needs for its
+next rate. So tasks work their rates out anew from the list of steps so far, and no state is written between
+steps.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ TRAINED_ON = 20_000
 VOCABULARY, LEAST_DOCUMENTS = 20_000, 5
 PULL, MOST = 0.01, 4.0
 # Steps end when twice no total moves by more than this part of all tokens, or after so many.
-CLOSE, STEPS = 1e-5, 200
+CLOSE, STEPS = 1e-4, 200
 
 
 # Small letters, digits and all bytes of longer characters make words; other visible bytes make marks.
@@ -139,7 +141,7 @@ Steps = list[tuple[float, tuple[float, ...]]]
 def followed(p: np.ndarray, steps: Steps, pull: float, most: float) -> tuple[np.ndarray, np.ndarray]:
     """Rates after the steps, and the point from which the next one starts.
 
-    Each step has its momentum and the domains' errors, measured at the point it starts from.
+    Each step has its momentum and the domains' weighed errors, measured at the point it starts from.
     """
     rate = np.ones(len(p))
     point = rate
@@ -170,25 +172,43 @@ def totals(scores: DataFrame, domains: int, steps: Steps, pull: float, most: flo
     return tuple(np.array([rows[k][c] if k in rows else 0.0 for k in range(domains)]) for c in ("at_rate", "at_point"))
 
 
+def metric(scores: DataFrame, domains: int, whole: float, pull: float) -> np.ndarray:
+    """The weights M of the domains' errors: the inverse of their Gram matrix, a small matrix that Spark adds up."""
+
+    def run(batches):
+        sums = np.zeros((domains, domains))
+        for b in batches:
+            p = probabilities(b, domains)
+            sums += p.T @ (p * b.column("tokens").to_numpy()[:, None])
+        yield record([("k", pa.int32()), ("s", pa.float64())], np.arange(domains * domains), sums.ravel())
+
+    got = scores.select("tokens", "p").mapInArrow(run, "k int, s double").groupBy("k").agg(F.sum("s").alias("s")).collect()
+    gram = np.zeros(domains * domains)
+    for r in got:
+        gram[r["k"]] = r["s"]
+    return np.linalg.inv(gram.reshape(domains, domains) / whole + pull * np.eye(domains))
+
+
 def fitted_steps(scores: DataFrame, target: np.ndarray, whole: float, pull: float = PULL, most: float = MOST) -> Steps:
     """The steps that lead to the rates; ``target`` in tokens for each domain, ``whole`` the tokens of all documents."""
     steps: Steps = []
+    weigh = metric(scores, len(target), whole, pull)
     pace, before, calm = 1.0, None, 0
     while len(steps) < STEPS and calm < 2:
         at_rate, at_point = totals(scores, len(target), steps, pull, most)
         if before is not None:
             calm = calm + 1 if np.abs(at_rate - before).max() <= CLOSE * whole else 0
-            if objective(at_rate, target) > objective(before, target):
+            if objective(at_rate, target, weigh) > objective(before, target, weigh):
                 pace = 1.0  # momentum has overshot
         following = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
         momentum = (pace - 1) / following if steps else 0.0
-        steps.append((float(momentum), tuple(((at_point - target) / whole).tolist())))
+        steps.append((float(momentum), tuple((weigh @ (at_point - target) / whole).tolist())))
         pace, before = following, at_rate
     return steps
 
 
-def objective(total: np.ndarray, target: np.ndarray) -> float:
-    return float(((total - target) ** 2).sum())
+def objective(total: np.ndarray, target: np.ndarray, weigh: np.ndarray) -> float:
+    return float((total - target) @ weigh @ (total - target))
 
 
 def mixed(

@@ -40,8 +40,9 @@ def test_words_and_hashes_agree():
 def plain_rates(p, tokens, target, pull, most):
     """Many plain projected gradient steps."""
     whole, rate = tokens.sum(), np.ones(len(p))
-    for _ in range(60_000):
-        errors = ((rate * tokens) @ p - target) / whole
+    weigh = np.linalg.inv((p.T * tokens) @ p / whole + pull * np.eye(p.shape[1]))
+    for _ in range(20_000):
+        errors = weigh @ ((rate * tokens) @ p - target) / whole
         rate = np.clip(rate - (p @ errors + pull * (rate - 1)) / (1 + pull), 0, most)
     return rate
 
@@ -59,7 +60,10 @@ def test_rates_solve_the_least_squares(spark, share, most):
     got = {r.row: r.rate for r in mixing.rated(scores, DOMAINS, steps, 0.01, most).collect()}
     want = plain_rates(p, tokens, target, 0.01, most)
     mine = np.array([got[i] for i in range(150)])
-    loss = [(((r * tokens) @ p - target) ** 2).sum() / whole**2 + 0.01 * (tokens * (r - 1) ** 2).sum() / whole for r in (mine, want)]
+    weigh = np.linalg.inv((p.T * tokens) @ p / whole + 0.01 * np.eye(3))
+    errors = [((r * tokens) @ p - target) / whole for r in (mine, want)]
+    loss = [e @ weigh @ e + 0.01 * (tokens * (r - 1) ** 2).sum() / whole for e, r in zip(errors, (mine, want), strict=True)]
+    assert len(steps) < 60
     assert mine.min() >= 0 and mine.max() <= most
     assert loss[0] <= loss[1] + 1e-4
 
