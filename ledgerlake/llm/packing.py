@@ -28,9 +28,9 @@ LENGTH = 2048
 END_ID = 1
 DIMENSIONS, BITS = 4, 12
 # Words whose ids a worker process remembers at most, between batches.
-REMEMBERED = 1_000_000
+REMEMBERED = 800_000
 # Bytes of text whose words are looked up together.
-AT_ONCE = 8 << 20
+AT_ONCE = 4 << 20
 # Marks that no character combines with and no letter pattern of the tokenizer starts with.
 MARKS = ".,;:!?#*$%&|\")]}"
 
@@ -127,17 +127,23 @@ class WordIds:
         letters = [p for p in parts if p.isalpha()]
         width = self.dtype.itemsize
         groups = [letters[at : at + 200] for at in range(0, len(letters), 200)]
-        for some, e in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, dtype=self.dtype)
+        for some, found in zip(groups, self.ids_by_call([" ".join(g) for g in groups], 25), strict=True):
+            ids = np.array(found, dtype=self.dtype)
             stops = ((np.flatnonzero(self.ending[ids]) + 1) * width).tolist()
             if len(stops) == len(some):
                 raw = ids.tobytes()
                 out.update((p, raw[a:b]) for p, a, b in zip(some, [0, *stops], stops, strict=False))
         rest = [p for p in parts if p not in out]
-        for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            out[p] = np.array(e.ids, dtype=self.dtype).tobytes()
+        for p, found in zip(rest, self.ids_by_call(rest, 2000), strict=True):
+            out[p] = np.array(found, dtype=self.dtype).tobytes()
         return out
 
+    def ids_by_call(self, texts: list[str], at_once: int) -> Iterator[list[int]]:
+        """The ids of texts, a few texts to a call: what a call returns takes many times their memory."""
+        for at in range(0, len(texts), at_once):
+            for e in self.tokenizer.encode_batch_fast(texts[at : at + at_once], add_special_tokens=False):
+                yield e.ids
+
     @staticmethod
     def parted(word: str) -> tuple[str, ...]:
         core = word.rstrip(MARKS)
