@@ -37,6 +37,7 @@ COMMON = 1000
 LAST = np.iinfo(np.int64).max
 # Anchors of documents that a task gathers before it sends them, and bits of a hash that are sent.
 GATHERED, BITS = 2_000_000, 48
+LEAST_RANGES = 12
 
 
 def anchors(words: np.ndarray, length: int, grain: int) -> np.ndarray:
@@ -322,8 +323,10 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, grain: int = GRAIN, comm
     # Rows go by a hash of doc_id and text here; rows that share one only share candidates.
     rows = docs.select(F.xxhash64(doc_id, F.col("text").cast("string")).alias("key"), doc_id.alias("doc_id"), text_or_empty().alias("text"))
     light = rows.select("key", "text")
-    repeats = staged(repeated_anchors(light, shards, length, grain, common), "repeated-anchors")
-    lists = own_repeats(light, repeats, shards, length, grain).groupBy("key").agg(F.collect_list("anchors").alias("anchors"))
+    # Ranges of anchors hold hashes alone, so fewer than the partitions do, and documents get fewer lists.
+    ranges = max(LEAST_RANGES, shards // 4)
+    repeats = staged(repeated_anchors(light, ranges, length, grain, common), "repeated-anchors")
+    lists = own_repeats(light, repeats, ranges, length, grain).groupBy("key").agg(F.collect_list("anchors").alias("anchors"))
     lists = lists.join(later_copies(rows), "key", "full")
 
     def sort_out(batches):
@@ -359,6 +362,7 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, grain: int = GRAIN, comm
                     yield record(fields, *zip(*made, strict=True))
 
     cuts = open_rows.mapInArrow(cut, "row long, document long, start long, route long, passage binary").withColumn("name", F.xxhash64("passage"))
+    cuts = staged(cuts, "passages")  # used twice
     distinct = cuts.groupBy("route", "name", "passage").agg(F.min("document").alias("document"))
     verdicts = staged(judged(distinct, shards, length), "verdicts")
     # The verdicts meet the places by route and name; Spark splits a hot one.
