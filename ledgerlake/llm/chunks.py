@@ -23,10 +23,10 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import parts, record
 
-# Smallest, usual and largest chunk in bytes.
-SMALLEST, USUAL, LARGEST = 64, 256, 1024
+# Smallest, usual and largest chunk in bytes: small, so that a text of a few hundred bytes has several chunks.
+SMALLEST, USUAL, LARGEST = 16, 48, 192
 # The hash has zeros in this many leading bits at an end before, and after, the usual size.
-STRICT, LOOSE = 9, 7
+STRICT, LOOSE = 6, 4
 BLOCK = 1 << 20
 _GEAR = np.random.default_rng(1234567).integers(0, 1 << 32, 256, dtype=np.uint32)
 

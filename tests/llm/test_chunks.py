@@ -94,3 +94,13 @@ def test_moved_text_keeps_its_chunks():
     a, b = chunks.chunk_set(text), chunks.chunk_set(b"some words put first " + text)
     assert chunks.likeness(a, b) > 0.9 and chunks.likeness(a, a) == 1.0
     assert chunks.likeness(a, chunks.chunk_set(text[::-1])) < 0.05
+
+
+def test_short_documents_keep_their_likeness_to_an_edited_copy(spark):
+    """An edited copy shares half of a text; short texts must show most of that half."""
+    docs = table(spark, "/root/testdata/sf0.01", "documents").filter("length(text) < 1000 AND length(text) >= 100")
+    got = [(r.n_chars, r.near_edited) for r in chunks.fingerprints(docs).collect()]
+    for low, high, least in ((100, 250, 0.15), (250, 500, 0.3), (500, 1000, 0.38)):
+        near = [x for n, x in got if low <= n < high]
+        assert len(near) > 10 and sum(near) / len(near) >= least
+        assert sum(x == 0 for x in near) <= (0.35 if high == 250 else 0.05) * len(near)
