@@ -8,6 +8,9 @@ licence notices are lines of larger documents.
 
 from __future__ import annotations
 
+import json
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,7 +40,7 @@ NOTICES = {
     "GPL-3.0": ("This work is licensed under the GNU General Public License, version 3.", "SPDX-License-Identifier: GPL-3.0-only"),
     "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.", "SPDX-License-Identifier: CC-BY-NC-4.0"),
 }
-# Licences short enough to stand here. More come in as rows of the caller's table.
+# Licences short enough to stand here. More stand in licences.json, or are rows of the caller's table.
 TEXTS = {
     "MIT": """MIT License
 
@@ -64,6 +67,30 @@ Permission to use, copy, modify, and/or distribute this software for any purpose
 THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
 }
 
+# More of both from the file: whole texts, their other wordings, usual notices, and all SPDX identifiers.
+FILE = Path(__file__).with_name("licences.json")
+
+
+def text_name(identifier: str) -> str:
+    """The licence text that an SPDX identifier stands for; which later versions count is no part of the text."""
+    return identifier.removesuffix("-only").removesuffix("-or-later").removesuffix("+")
+
+
+def extend() -> None:
+    """Add what the file lists; another wording of a whole text is a notice that fills a document."""
+    listed = json.loads(FILE.read_text(encoding="utf-8"))
+    untitled = [(name, text.split("\n\n", 2)[2]) for name, text in TEXTS.items()]
+    TEXTS.update(listed["texts"])
+    more = [*untitled, *((name, f"The {name} License\n\n{text}") for name, text in untitled), ("MIT", f"The MIT License (MIT)\n\n{untitled[0][1]}")]
+    more += [(name, text) for part in ("wordings", "lines") for name, texts in listed[part].items() for text in texts]
+    more += [(name, phrase.format(said)) for name, names in listed["names"].items() for said in names for phrase in listed["phrases"]]
+    more += [(text_name(i), f"SPDX-License-Identifier: {i}") for i in listed["spdx"]]
+    for name, text in more:
+        NOTICES[name] = (*NOTICES.get(name, ()), text)
+
+
+extend()
+
 
 def canonical_lines(text: Column) -> Column:
     """The canonical form with its line ends still in it."""

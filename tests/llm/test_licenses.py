@@ -71,3 +71,28 @@ def test_repeats_null_ids_and_empty_tables(spark):
     assert sorted(str(r.license) for r in empty) == ["A", "A", "None"]
     plan = plan_of(got)
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_common_licences_are_known_whole_by_notice_and_by_identifier(spark):
+    whole = ("Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "Unlicense", "Zlib", "CC0-1.0")
+    untitled = licenses.TEXTS["MIT"].split("\n", 1)[1]
+    filled = licenses.TEXTS["Apache-2.0"].replace("Copyright [yyyy] [name of copyright owner]", "Copyright 2021 Somebody")
+    regents = licenses.TEXTS["BSD-3-Clause"].replace("COPYRIGHT HOLDERS", "REGENTS").replace("COPYRIGHT HOLDER", "REGENTS").replace("the copyright holder nor", "the University nor")
+    notices = {
+        "# SPDX-License-Identifier: BSD-3-Clause": "BSD-3-Clause", "// SPDX-License-Identifier: MPL-2.0": "MPL-2.0",
+        "SPDX-License-Identifier: GPL-2.0-or-later": "GPL-2.0", "SPDX-License-Identifier: GPL-3.0-only": "GPL-3.0",
+        "This project is licensed under the BSD 3-Clause License.": "BSD-3-Clause",
+        " * Licensed under the Apache License, Version 2.0 (the \"License\");": "Apache-2.0",
+        "Released under the GNU General Public License v2.0": "GPL-2.0", "Licensed under CC BY-SA 4.0.": "CC-BY-SA-4.0",
+    }
+    texts = [*(licenses.TEXTS[k] for k in whole), untitled, filled, regents, *(f"code\n{line}\nmore" for line in notices)]
+    got = scan(spark, texts)
+    n = len(whole)
+    assert [got[i].license for i in range(n + 3)] == [*whole, "MIT", "Apache-2.0", "BSD-3-Clause"]
+    assert [got[n + 3 + i].notices for i in range(len(notices))] == list(notices.values())
+
+
+def test_no_form_has_two_names(spark):
+    form = licenses.joined(licenses.canonical_lines(licenses.F.col("text")))
+    twice = licenses.known(spark).groupBy(form.alias("form")).agg(licenses.F.collect_set("license").alias("names")).filter("size(names) > 1")
+    assert [(r.form[:60], r.names) for r in twice.collect()] == []
