@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ledgerlake.llm import mixing, packing, pii, quality, simhash
 from ledgerlake.llm.common import staged, table
@@ -16,12 +15,8 @@ TOKENIZER = "word_bpe_49k.json"
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules and their language's perplexity band keep.
-
-    A document is known by its doc_id. Rows that share one stay if any of them is kept; rows without one go.
-    """
-    kept = quality.judged(docs).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
+    """Rows that the base rules and their language's perplexity band keep, each by its own verdict."""
+    return quality.kept_rows(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

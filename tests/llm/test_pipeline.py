@@ -73,3 +73,17 @@ def test_stages_on_empty_and_ragged_tables(spark, steps, tmp_path):
         for name, stage in corpus_pipeline.STAGES:
             current = staged(stage(spark, current, SF), f"test-{name}")
             assert name == "sequences" or current.columns == start.columns
+
+
+def test_quality_goes_by_row(spark, steps):
+    """Rows without a doc_id stay if they are clean, and a rejected row goes although its doc_id is kept elsewhere."""
+    third = F.when(F.col("doc_id") % 3 > 0, F.col("doc_id") - F.col("doc_id") % 3)
+    docs = staged(steps[0].withColumn("doc_id", third), "test-rows")
+    verdicts = quality.judged(docs).collect()
+    got = corpus_pipeline.quality_rules(spark, docs, SF)
+    assert got.columns == docs.columns
+    want = sorted(str(r.doc_id) for r in verdicts if r.kept)
+    assert sorted(str(r.doc_id) for r in got.collect()) == want
+    assert 0 < want.count("None") < sum(r.doc_id is None for r in verdicts)
+    kept = {r.doc_id for r in verdicts if r.kept}
+    assert any(not r.kept and r.doc_id in kept for r in verdicts if r.doc_id is not None)
