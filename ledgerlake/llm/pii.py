@@ -3,9 +3,10 @@
 The patterns (e-mail, IP address, card, phone) give the base spans, which always stay. Words with a digit or
 an at sign are the nodes of the field; all other words are taken to be ordinary and show up as features of
 their neighbours. Neighbouring nodes are tied by a chain. Nodes of one document with the same text, or the
-same shape, are tied by skip edges from each to the next of its kind, so that a number told apart in one
-place is told apart in all. Loopy belief propagation passes messages along both, for all documents of a
-batch at once.
+same shape, are tied by skip edges, so that a number told apart in one place is told apart in all: two by an
+edge, more by an edge from each to a hub, a variable of their own, so that evidence goes two edges however
+many they are. Loopy belief propagation passes messages along all edges, for all documents of a batch at
+once, and in each document until its messages rest.
 
 The field is fitted on the driver from a bounded sample of documents, whose labels the patterns give. A word
 that has the look of a pattern but fails its test, such as a card number with a wrong check digit, has no
@@ -15,10 +16,12 @@ label there, so the field decides on it from what resembles it.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from dataclasses import field as dataclass_field
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +36,10 @@ SAMPLE, SAMPLE_CHARS = 2000, 20_000
 # An added span's words have at least this probability.
 LEAST = 0.8
 FEATURES = 1 << 12
-ROUNDS, DAMPING = 12, 0.3
+# A document's messages rest when none changes by more than CLOSE in a round. A new message keeps the part DAMPING of
+# the old one. Messages that still swing after EASY rounds are brought to rest: from then on each round moves them by
+# SLOWER of the part before.
+CLOSE, DAMPING, EASY, SLOWER = 1e-4, 0.3, 200, 0.97
 
 # The patterns. The e-mail is found from its at sign, and the address from the start of its
 # digits, which gives the same matches in linear time.
@@ -115,6 +121,10 @@ class Nodes:
     chain: list[tuple[int, int]]
     same: list[tuple[int, int]]
     alike: list[tuple[int, int]]
+    # Nodes tied to hubs, which are numbered on their own.
+    same_hub: list[tuple[int, int]] = dataclass_field(default_factory=list)
+    alike_hub: list[tuple[int, int]] = dataclass_field(default_factory=list)
+    hubs: list[int] = dataclass_field(default_factory=list)  # document
 
 
 def shape(word: str) -> str:
@@ -136,7 +146,7 @@ def nodes(texts: Sequence[str]) -> Nodes:
             continue
         marks = sorted(looks(text), key=lambda m: (not m[3], m[1]))
         covers: list[tuple[int, int, int]] = [(a, b, KINDS.index(k) + 1 if passed else -1) for k, a, b, passed in marks]
-        last: dict[tuple[str, str], int] = {}
+        kinds: dict[tuple[str, str], list[int]] = {}
         before, previous, waiting = "", -1, -1
         for m in WORD.finditer(text):
             word = m[0]
@@ -150,17 +160,32 @@ def nodes(texts: Sequence[str]) -> Nodes:
                 out.labels.append(next((l for a, b, l in covers if a < m.end() and m.start() < b), 0) if covers else 0)
                 if previous >= 0:
                     out.chain.append((previous, node))
-                for key, edges in ((("same", word.strip(".,;:!?\"'")), out.same), (("alike", shape(word)), out.alike)):
-                    if key in last:
-                        edges.append((last[key], node))
-                    last[key] = node
+                kinds.setdefault(("same", word.strip(".,;:!?\"'")), []).append(node)
+                kinds.setdefault(("alike", shape(word)), []).append(node)
                 previous = waiting = node
             else:
                 previous = -1
             before = shape(word)
+        for (tie, _), members in kinds.items():
+            if len(members) == 2:
+                (out.same if tie == "same" else out.alike).append((members[0], members[1]))
+            elif len(members) > 2:
+                (out.same_hub if tie == "same" else out.alike_hub).extend((node, len(out.hubs)) for node in members)
+                out.hubs.append(document)
     return out
 
 
+def in_pairs(pairs: list[tuple[int, int]], hubs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The pairs, and each node of a hub with the next one."""
+    last: dict[int, int] = {}
+    found = list(pairs)
+    for node, hub in hubs:
+        if hub in last:
+            found.append((last[hub], node))
+        last[hub] = node
+    return found
+
+
 def hashed(feature: str) -> int:
     return zlib.crc32(feature.encode()) % FEATURES
 
@@ -192,7 +217,8 @@ def fit(sample: Nodes, steps: int = 200, rate: float = 0.5, decay: float = 1e-4)
     one = np.eye(LABELS)
     labelled = (y >= 0).astype(float)[:, None]
     target = np.where(labelled > 0, one[np.maximum(y, 0)], 0)
-    known = [np.array([(a, b) for a, b in e if y[a] >= 0 and y[b] >= 0], dtype=np.int64).reshape(-1, 2) for e in (sample.chain, sample.same, sample.alike)]
+    ties = (sample.chain, in_pairs(sample.same, sample.same_hub), in_pairs(sample.alike, sample.alike_hub))
+    known = [np.array([(a, b) for a, b in e if y[a] >= 0 and y[b] >= 0], dtype=np.int64).reshape(-1, 2) for e in ties]
     squares = [np.full(w.shape, 1e-6) for w in (field.unary, field.chain, field.skip)]
     for _ in range(steps):
         score = np.zeros((len(y), LABELS))
@@ -223,28 +249,61 @@ def fit(sample: Nodes, steps: int = 200, rate: float = 0.5, decay: float = 1e-4)
     return field
 
 
+def to_hub(skip: np.ndarray) -> np.ndarray:
+    """Weights of an edge to a hub: through the hub, two nodes are tied just as by an edge of the weights ``skip``.
+
+    That is the logarithm of the square root of the edge's matrix, which is all ones and more on the diagonal;
+    its root has positive entries.
+    """
+    value, vector = np.linalg.eigh(np.exp(np.diag(skip)))
+    root = (vector * np.sqrt(np.maximum(value, 0))) @ vector.T
+    return np.log(np.maximum(root, 1e-9))
+
+
 def marginals(field: Field, found: Nodes) -> np.ndarray:
-    """Probabilities of each node's labels after rounds of messages along chain and skip edges."""
+    """Probabilities of each node's labels when the messages along chain, skip and hub edges rest.
+
+    A document's messages do not depend on the others of the batch.
+    """
     n = len(found.spans)
     rows, columns = flat(found.features)
-    unary = np.zeros((n, LABELS))
+    unary = np.zeros((n + len(found.hubs), LABELS))
     np.add.at(unary, rows, field.unary[columns])
+    hubs = [[(a, n + h) for a, h in edges] for edges in (found.same_hub, found.alike_hub)]
     kinds = [(found.chain, field.chain), (found.same, np.diag(field.skip[0])), (found.alike, np.diag(field.skip[1]))]
+    kinds += [(edges, to_hub(field.skip[k])) for k, edges in enumerate(hubs)]
     ends = np.array([e for edges, _ in kinds for e in edges], dtype=np.int64).reshape(-1, 2)
     if len(ends):
-        pair = np.concatenate([np.broadcast_to(w, (len(edges), LABELS, LABELS)) for edges, w in kinds])
-        # Each edge both ways; a message's opposite is the one half the list away.
-        source, target = np.concatenate((ends[:, 0], ends[:, 1])), np.concatenate((ends[:, 1], ends[:, 0]))
-        pair = np.concatenate((pair, pair.transpose(0, 2, 1)))
-        message = np.zeros((len(source), LABELS))
-        half = len(ends)
-        for _ in range(ROUNDS):
+        document = np.array([d for d, _, _ in found.spans], dtype=np.int64)[ends[:, 0]]
+        kind = np.repeat(np.arange(len(kinds)), [len(edges) for edges, _ in kinds])
+        weights = np.stack([w for _, w in kinds])
+        message = np.zeros((2, len(ends), LABELS))  # each edge both ways
+        moving = np.arange(len(ends))
+        step = 1 - DAMPING
+        for past in itertools.count():
+            a, b = ends[moving].T
+            old = message[:, moving]
+            pair = weights[kind[moving]]
             belief = unary.copy()
-            np.add.at(belief, target, message)
-            sent = belief[source] - np.roll(message, half, axis=0)
-            new = np.logaddexp.reduce(sent[:, :, None] + pair, axis=1)
-            message = DAMPING * message + (1 - DAMPING) * (new - new.max(axis=1, keepdims=True))
-        np.add.at(unary, target, message)
+            np.add.at(belief, b, old[0])
+            np.add.at(belief, a, old[1])
+            new = np.stack(
+                (
+                    np.logaddexp.reduce((belief[a] - old[1])[:, :, None] + pair, axis=1),
+                    np.logaddexp.reduce((belief[b] - old[0])[:, :, None] + pair.transpose(0, 2, 1), axis=1),
+                )
+            )
+            part = step * SLOWER ** max(0, past - EASY)
+            change = part * (new - new.max(axis=2, keepdims=True) - old)
+            message[:, moving] = old + change
+            most = np.zeros(int(document.max()) + 1)
+            np.maximum.at(most, document[moving], np.abs(change).max(axis=(0, 2)))
+            moving = moving[most[document[moving]] > CLOSE]
+            if not len(moving):
+                break
+        np.add.at(unary, ends[:, 1], message[0])
+        np.add.at(unary, ends[:, 0], message[1])
+    unary = unary[:n]
     p = np.exp(unary - unary.max(axis=1, keepdims=True))
     return p / p.sum(axis=1, keepdims=True)
 

@@ -128,3 +128,41 @@ def test_nulls_repeats_empty_and_redaction(spark):
     )
     assert pii.personal_data(docs.limit(0)).collect() == [] and pii.redacted(docs.limit(0)).collect() == []
     assert pii.masked("abcdef", [("email", 0, 3), ("ip", 2, 4)]) == "[EMAIL]ef"
+
+
+def told_once(occurrences, at):
+    """Probabilities of the places of a number of which only one place says what it is."""
+    field = pii.Field(np.zeros((pii.FEATURES, pii.LABELS)), np.zeros((pii.LABELS, pii.LABELS)), np.full((2, pii.LABELS), 3.0))
+    found = pii.nodes([" ".join(f"w{'x' * (i % 7)} 77x5" if i != at else "sure! 77x5" for i in range(occurrences)).replace("w", "word ")])
+    field.unary[pii.hashed("before a!")] = [0, 0, 0, 6, 0]
+    return pii.marginals(field, found)
+
+
+@pytest.mark.parametrize("at", [0, 25])
+def test_evidence_reaches_all_of_fifty_occurrences(at):
+    p = told_once(50, at)
+    assert len(p) == 50 and p[:, 3].min() > 0.8
+    others = np.delete(p[:, 3], at)
+    assert others.max() - others.min() < 0.01
+
+
+def test_two_nodes_at_a_hub_are_tied_as_by_an_edge():
+    rng = np.random.default_rng(3)
+    field = pii.Field(rng.normal(size=(pii.FEATURES, pii.LABELS)), rng.normal(size=(pii.LABELS, pii.LABELS)), rng.random((2, pii.LABELS)) * 3)
+    edge = pii.Nodes([[1], [2]], [(0, 0, 1), (0, 2, 3)], [0, 0], [], [(0, 1)], [])
+    hub = pii.Nodes([[1], [2]], [(0, 0, 1), (0, 2, 3)], [0, 0], [], [], [], [(0, 0), (1, 0)], [], [0])
+    assert np.allclose(pii.marginals(field, edge), pii.marginals(field, hub), atol=1e-3)
+
+
+def test_a_document_does_not_depend_on_its_batch(field):
+    texts = ["see 999.1.2.3 or 999.1.2.3, 999.1.2.3 and 1.2.3.4", "no 17 of 17 and 17 by 12", "it was 1232810148878565 there, 4111111111111111 1232810148878565"]
+    together = pii.marginals(field, pii.nodes(texts))
+    assert np.array_equal(together, np.concatenate([pii.marginals(field, pii.nodes([t])) for t in texts]))
+
+
+def test_messages_of_a_wild_field_come_to_rest():
+    rng = np.random.default_rng(0)
+    text = " ".join(rng.choice(["1", "2 x", "33", "a4", "5b", "6@"], 300))
+    for _ in range(4):
+        field = pii.Field(rng.normal(size=(pii.FEATURES, pii.LABELS)) * 3, rng.normal(size=(pii.LABELS, pii.LABELS)) * 4, rng.random((2, pii.LABELS)) * 8)
+        assert np.allclose(pii.marginals(field, pii.nodes([text])).sum(axis=1), 1)
