@@ -2,7 +2,7 @@
 
 A classifier fitted on a labelled table gives every document a probability for each domain. A document with
 rate r counts r times. The expected tokens of a domain are the sum over documents of rate, tokens and
-probability. Rates between 0 and ``most`` are sought that bring these totals to the targets, by least
+probability. Rates from 0 up, or to ``most`` if the caller sets a bound, are sought that bring these totals to the targets, by least
 squares with a small pull towards 1:
 
     minimise  error' M error  +  pull * sum_d tokens_d / T * (rate_d - 1)^2,   error_k = (total_k - target_k) / T
@@ -16,7 +16,8 @@ steps.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import warnings
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,9 +33,11 @@ from ledgerlake.llm.common import SPACES, keyed_texts, map_rows, record, span_ha
 TRAINED_ON = 20_000
 # Its vocabulary: so many words at most, each in at least so many of these documents.
 VOCABULARY, LEAST_DOCUMENTS = 20_000, 5
-PULL, MOST = 0.01, 4.0
-# Steps end when twice no total moves by more than this part of all tokens, or after so many.
+PULL, MOST = 0.01, float("inf")
+# Steps end when twice no total moves by more than this part of all tokens. After so many there is a warning.
 CLOSE, STEPS = 1e-4, 200
+# A target counts as missed by more than this part of all tokens.
+MISSED = 0.01
 
 
 # Small letters, digits and all bytes of longer characters make words; other visible bytes make marks.
@@ -135,6 +138,27 @@ def posteriors(docs: DataFrame, model: Classifier, domains: list[str]) -> DataFr
     return map_rows(rows, batch, "doc_id long, row long, tokens long, p array<float>")
 
 
+class MixWarning(UserWarning):
+    """A mix that is not what was asked for."""
+
+
+@dataclass(frozen=True)
+class Share:
+    """Expected tokens of a domain in the mix: what it should have, and what its rates give."""
+
+    domain: str
+    target: float
+    reached: float
+
+
+def warned(shares: list[Share], whole: float) -> None:
+    """A warning that names each domain whose target is missed."""
+    missed = [s for s in shares if abs(s.reached - s.target) > MISSED * whole]
+    if missed:
+        said = "; ".join(f"{s.domain}: {s.reached:.0f} of {s.target:.0f} expected tokens" for s in missed)
+        warnings.warn(f"the mix misses its targets: {said}", MixWarning, stacklevel=3)
+
+
 Steps = list[tuple[float, tuple[float, ...]]]
 
 
@@ -204,6 +228,8 @@ def fitted_steps(scores: DataFrame, target: np.ndarray, whole: float, pull: floa
         momentum = (pace - 1) / following if steps else 0.0
         steps.append((float(momentum), tuple((weigh @ (at_point - target) / whole).tolist())))
         pace, before = following, at_rate
+    if calm < 2:
+        warnings.warn(f"the rates still moved after {STEPS} steps", MixWarning, stacklevel=2)
     return steps
 
 
@@ -213,7 +239,7 @@ def objective(total: np.ndarray, target: np.ndarray, weigh: np.ndarray) -> float
 
 def mixed(
     docs: DataFrame, labelled: DataFrame, weights: Mapping[str, float], tokens: float | None = None,
-    pull: float = PULL, most: float = MOST, trained_on: int = TRAINED_ON,
+    pull: float = PULL, most: float = MOST, trained_on: int = TRAINED_ON, report: Callable[[list[Share], float], None] = warned,
 ) -> DataFrame:
     """(doc_id, tokens, p_<domain>..., rate, copies) for every row.
 
@@ -221,7 +247,8 @@ def mixed(
     the documents if not given). ``copies`` is the rate rounded up or down, by a hash of doc_id and row, so
     that it is right on average. NULL and empty texts have no tokens and take part with the classifier's
     prior. Rows without a doc_id and repeated rows have a rate each; other columns are ignored. An empty
-    table gives no rows.
+    table gives no rows. ``report`` is given each domain's target and reached tokens, and the tokens of all
+    documents; by default it warns of targets that the documents cannot meet.
     """
     domains = sorted(weights)
     if docs.isEmpty():
@@ -231,7 +258,10 @@ def mixed(
     whole = float(scores.agg(F.sum("tokens")).first()[0] or 0) or 1.0
     share = np.array([weights[d] for d in domains], dtype=float)
     target = share / share.sum() * (whole if tokens is None else tokens)
-    return rated(scores, domains, fitted_steps(scores, target, whole, pull, most), pull, most)
+    steps = fitted_steps(scores, target, whole, pull, most)
+    reached, _ = totals(scores, len(domains), steps, pull, most)
+    report([Share(*s) for s in zip(domains, target.tolist(), reached.tolist(), strict=True)], whole)
+    return rated(scores, domains, steps, pull, most)
 
 
 def rated(scores: DataFrame, domains: list[str], steps: Steps, pull: float, most: float) -> DataFrame:

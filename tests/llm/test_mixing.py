@@ -99,3 +99,29 @@ def test_nulls_repeats_and_empty_tables(spark):
     assert mixing.mixed(docs.limit(0), labels, {"good": 1.0}).collect() == []
     with pytest.raises(ValueError, match="label"):
         mixing.mixed(docs, labels.limit(0), {"good": 1.0, "poor": 1.0}).collect()
+
+
+@pytest.fixture(scope="module")
+def rare(spark):
+    """400 documents of one length, one in fifty of them poor."""
+    docs = spark.createDataFrame([(i, "bad stuff over there" if i % 50 == 0 else "fine good words here") for i in range(400)], "doc_id long, text string").cache()
+    return docs, docs.selectExpr("doc_id", "if(doc_id % 50 = 0, 'poor', 'good') AS domain")
+
+
+def test_a_rare_domain_reaches_its_target(rare, recwarn):
+    seen = []
+    got = mixing.mixed(*rare, {"good": 0.8, "poor": 0.2}, report=lambda shares, whole: seen.append((shares, whole))).collect()
+    (shares, whole), = seen
+    assert whole == 1600 and [s.domain for s in shares] == ["good", "poor"]
+    for s in shares:
+        assert s.reached == pytest.approx(sum(r.rate * r.tokens * r[f"p_{s.domain}"] for r in got), rel=1e-3)
+        assert abs(s.reached - s.target) < mixing.MISSED * whole
+    assert max(r.rate for r in got) > 5 and not [w for w in recwarn if w.category is mixing.MixWarning]
+
+
+def test_a_missed_target_and_steps_without_end_are_said(rare, monkeypatch):
+    with pytest.warns(mixing.MixWarning, match="poor: .* of 320"):
+        mixing.mixed(*rare, {"good": 0.8, "poor": 0.2}, most=4.0)
+    monkeypatch.setattr(mixing, "STEPS", 1)
+    with pytest.warns(mixing.MixWarning, match="after 1 steps"):
+        mixing.mixed(*rare, {"good": 0.8, "poor": 0.2})
