@@ -47,8 +47,12 @@ def ingest(
     load_id: str,
     only: Collection[str] | None = None,
     event_glob: str = "*.json",
+    multi_line: bool = True,
 ) -> dict[str, DataFrame]:
-    """Full refresh of the named sources (all in ``paths`` by default); returns the stored tables."""
+    """Full refresh of the named sources (all in ``paths`` by default); returns the stored tables.
+
+    Without ``multi_line`` prices hold no line breaks in quotes, and one huge file of them is split over tasks.
+    """
     wanted = [name for name in paths if not only or name in only]
     unknown = set(only or ()) - set(paths) | {n for n in paths if n not in EVENT_SOURCES and n not in TABLE_SOURCES}
     if unknown:
@@ -60,6 +64,7 @@ def ingest(
             write_quarantine(validated_stream(spark, paths[name], name, load_id, event_glob), folder)
             tables |= read_quarantine(spark, folder, name)
         else:
-            TABLE_SOURCES[name](spark, paths[name], load_id).write.mode("overwrite").parquet(folder)
+            options = {"multi_line": multi_line} if name == "nadac" else {}
+            TABLE_SOURCES[name](spark, paths[name], load_id, **options).write.mode("overwrite").parquet(folder)
             tables[name] = spark.read.parquet(folder)
     return tables

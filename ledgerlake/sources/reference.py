@@ -60,9 +60,12 @@ def partners(spark: SparkSession, path: str, load_id: str) -> DataFrame:
     )
 
 
-def prices(spark: SparkSession, path: str, load_id: str) -> DataFrame:
-    """The price series. Rows without a usable cost are dropped (see price_losses); an unreadable date is NULL."""
-    return typed_prices(spark, path, load_id).filter("nadac_per_unit IS NOT NULL")
+def prices(spark: SparkSession, path: str, load_id: str, multi_line: bool = True) -> DataFrame:
+    """The price series. Rows without a usable cost are dropped (see price_losses); an unreadable date is NULL.
+
+    Without ``multi_line`` no text may hold a line break, and one huge file is split over tasks.
+    """
+    return typed_prices(spark, path, load_id, multi_line).filter("nadac_per_unit IS NOT NULL")
 
 
 def price_losses(spark: SparkSession, path: str) -> DataFrame:
@@ -75,8 +78,8 @@ def price_losses(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def typed_prices(spark: SparkSession, path: str, load_id: str) -> DataFrame:
-    rows = read_csv_dir(spark, path)
+def typed_prices(spark: SparkSession, path: str, load_id: str, multi_line: bool = True) -> DataFrame:
+    rows = read_csv_dir(spark, path, multi_line=multi_line)
     text = {ours: _text(rows, theirs) for theirs, ours in PRICE_COLUMNS.items()}
     typed = text | {
         "nadac_per_unit": parse_number(text["nadac_per_unit"]),

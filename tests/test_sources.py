@@ -75,3 +75,21 @@ def test_s6_subset_and_k1_refresh(spark, tmp_path):
 def test_s6_unknown_source(spark, tmp_path):
     with pytest.raises(ValueError, match="no such source"):
         landing.ingest(spark, {"pharmacies": str(tmp_path)}, str(tmp_path / "out"), "1", only={"pharmacy"})
+
+
+def test_s5_one_price_file_is_split_over_tasks_on_request(spark, tmp_path):
+    folder = tmp_path / "nadac"
+    folder.mkdir()
+    (folder / "p.csv").write_text("NDC,NADAC Per Unit\n" + "".join(f"{i},2.0\n" for i in range(2000)))
+    held = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in held:
+            spark.conf.set(k, "2048")
+        assert reference.prices(spark, str(folder), "l").rdd.getNumPartitions() == 1
+        split = reference.prices(spark, str(folder), "l", multi_line=False)
+        assert split.rdd.getNumPartitions() > 1 and split.count() == 2000
+        landed = landing.ingest(spark, {"nadac": str(folder)}, str(tmp_path / "out"), "1", multi_line=False)
+        assert landed["nadac"].count() == 2000
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
