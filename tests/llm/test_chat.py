@@ -78,3 +78,13 @@ def test_empty_table_and_native_plan(spark):
     assert chat.windows(empty).collect() == []
     plan = plan_of(chat.digests(chat.read_back(chat.windows(empty.withColumn("role", F.lit("user"))))))
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_cautious_tokens_hold_the_budget_for_digits_marks_and_scripts(spark):
+    said = ["世界" * 40, "1234567890" * 8, "{}[]();" * 10, "plain words " * 8]
+    rows = [(1, i, "user" if i % 2 else "assistant", said[i % 4], 0) for i in range(24)]
+    made = chat.windows(spark.createDataFrame(rows, SCHEMA), tokens=chat.cautious_tokens).collect()
+    assert sum(len(r.loss) for r in made) == 12
+    for r in made:
+        dense = sum(len(c.encode()) for c in r.text if not (c.isascii() and (c.isalpha() or c in " \n")))
+        assert dense <= r.tokens and (r.tokens <= chat.BUDGET or r.over_budget)
