@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import chat, chunks, licenses, mixing, packing, pii, quality, simhash, substrings, tokens
+from ledgerlake.llm import chat, chunks, divergence, licenses, mixing, packing, pii, quality, simhash, substrings, tokens
 from ledgerlake.llm.common import table
 from ledgerlake.session import tune
 
@@ -89,3 +89,11 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op2_license_scan"] = licenses.oracle()
+
+
+@query
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audited(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_divergence"] = divergence.oracle()
