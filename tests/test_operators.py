@@ -64,7 +64,44 @@ def test_w2_numbers_equal_a_window_over_the_key(hot):
 def test_w2_no_task_holds_all_rows_of_a_key(hot):
     plan = plan_of(ranks.number_rows(hot[1], "key", "at", ["id"], "n", "size"))
     row_windows = [line for line in plan.splitlines() if "Window [row_number()" in line]
-    assert row_windows and all("windowspecdefinition(key#" in w and "_chunk#" in w for w in row_windows)
+    assert row_windows and all("windowspecdefinition(key#" in w and "_range#" in w for w in row_windows)
+
+
+def test_w2_one_key_at_one_instant_is_spread_over_ranges(spark):
+    """Half of all rows are one key at one instant: its rows fall into many ranges, and the numbers stay right."""
+    data = [("hot", 7 if i % 2 else None, f"{i * 7919 % 20_000:05d}") for i in range(10_000)] + [(f"k{i % 4000}", i % 3, f"{i:05d}") for i in range(10_000)]
+    df = spark.createDataFrame(data, "key string, at int, id string").repartition(6)
+    ranged = ranks.with_ranges(df, "key", ["at", "id"], "part", rows_per_range=200)
+    sizes = {(r.key, r.part): r.n for r in ranged.groupBy("key", "part").agg(F.count("*").alias("n")).collect()}
+    hot_sizes = [n for (key, _), n in sizes.items() if key == "hot"]
+    assert len(hot_sizes) > 25 and max(hot_sizes) < 2000 and sum(hot_sizes) == 10_000
+    numbered = ranks.number_rows(df, "key", "at", ["id"], "n", "size", rows_per_range=200).collect()
+    groups = defaultdict(list)
+    for key, at, id_ in data:
+        groups[key].append((at is not None, at or 0, id_))
+    expected = {(key, r[2]): (n, len(group)) for key, group in groups.items() for n, r in enumerate(sorted(group), 1)}
+    assert {(r.key, r.id): (r.n, r["size"]) for r in numbered} == expected
+
+
+def test_w2_tasks_of_one_instant(spark):
+    """The rows of one key at one instant reach many tasks of the numbering stage."""
+    df = spark.range(20_000).selectExpr("'one' AS key", "0 AS at", "lpad(string(id), 6, '0') AS id")
+    numbered = ranks.number_rows(df, "key", "at", ["id"], "n", "size", rows_per_range=500)
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    try:
+        per_task = [r.n for r in numbered.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.set(coalesce, "true")
+    assert len(per_task) > 4 and max(per_task) < 10_000
+
+
+def test_w2_cuts_are_found_by_halving(spark):
+    df = spark.range(60).selectExpr("int(id) AS x", "transform(sequence(0, int(id % 9)), i -> int(i * 7)) AS cuts")
+    found = df.select("x", "cuts", ranks.cuts_below(F.col("cuts"), F.col("x")).alias("n")).collect()
+    assert all(r.n == sum(c <= r.x for c in r.cuts) for r in found)
+    none = spark.range(1).selectExpr("1 AS x", "CAST(NULL AS array<int>) AS cuts", "CAST(array() AS array<int>) AS none")
+    assert none.select(ranks.cuts_below(F.col("cuts"), F.col("x")), ranks.cuts_below(F.col("none"), F.col("x"))).first() == (0, 0)
 
 
 def test_w3_top_one_is_cut_before_the_shuffle(hot):
