@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import chat, chunks, divergence, licenses, mixing, packing, pii, quality, simhash, substrings, tokens
+from ledgerlake.llm import chat, chunks, divergence, licenses, minhash, mixing, packing, pii, prefixes, quality, simhash, substrings, tokens
 from ledgerlake.llm.common import table
 from ledgerlake.session import tune
 
@@ -91,6 +91,22 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op2_license_scan"] = licenses.oracle()
 
 
+@query
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_minhash"] = minhash.oracle()
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.trie(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op12_prefix_trie"] = prefixes.oracle()
+
+
 @query
 def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audited(table(spark, sf_dir, "documents"))
