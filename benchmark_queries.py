@@ -18,7 +18,7 @@ from ledgerlake.functions import dates, money, parsing
 from ledgerlake.operators import asof, checks, profile, scd2
 from ledgerlake.operators.quarantine import CONTRACTS, bad_timestamp, clean_rows, missing_fields, non_numeric
 from ledgerlake.operators.ranks import group_sizes, number_rows, top_one
-from ledgerlake.plans import assertions, gold, incremental, marts, metrics, reports, silver, suite, warehouse
+from ledgerlake.plans import assertions, gold, incremental, marts, metrics, publication, reports, silver, storage, suite, warehouse
 from ledgerlake.session import scratch_dir, stage, tune
 from ledgerlake.sources import events, landing, reference
 from ledgerlake.streaming.quarantine_stream import start_quarantine
@@ -272,6 +272,42 @@ add(
     ),
 )
 
+
+def stored_claims(b: Bench) -> DataFrame:
+    """The claim fact by month and in buckets, in a database of its own."""
+    database = f"k4_{uuid.uuid4().hex}"
+    b.spark.sql(f"CREATE DATABASE {database} LOCATION '{b.scratch('stored')}'")
+    incremental.store_fct_claim(b.fct_claim, f"{database}.fct_claim", "month", buckets=8)
+    return b.spark.table(f"{database}.fct_claim")
+
+
+add(
+    "k4_lookup_fact_by_bucket",
+    lambda b: gold.fct_lookup_by_bucket(b.slv_lookups, stored_claims(b)),
+    "select * from fct_lookup",
+)
+
+
+def k4_release(b: Bench) -> DataFrame:
+    """Two releases in one folder; the first is removed, and the second is read as its manifest has it."""
+    folder, prefix = b.scratch("releases"), f"r_{uuid.uuid4().hex}_"
+    for _ in range(2):
+        again = Bench(b.spark, b.sf_dir)
+        warehouse.materialize(b.spark, again, folder, prefix=prefix, keep=1)
+    found = publication.open_release(b.spark, folder, prefix)
+    fact = found["gold.fct_claim"]
+    months = fact.groupBy(storage.PERIOD).agg(rows("fills"), F.sum("net_fills").cast("bigint").alias("net_fills"))
+    return months.withColumn("releases", F.lit(len(publication.releases(b.spark, folder))).cast("bigint"))
+
+
+add(
+    "k4_published_release",
+    k4_release,
+    """select cast(date_trunc('month', date_day) as date) as period_start, count(*) as fills,
+              cast(sum(net_fills) as bigint) as net_fills, cast(1 as bigint) as releases
+       from fct_claim group by all""",
+)
+
 # --- V: record validation ---------------------------------------------------------------------
 
 
@@ -1218,7 +1254,7 @@ add(
 CUTOFF = "2000-01-01"
 
 
-def p4(b: Bench) -> tuple[DataFrame, DataFrame]:
+def p4(b: Bench, buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Build the facts from what came before the cutoff, then bring them up to date with the rest."""
     known, fresh = dict(b.landing), dict(b.landing)
     for stream, time in (("claims", "filled_at"), ("reverts", "reverted_at"), ("lookups", "looked_up_at")):
@@ -1228,14 +1264,15 @@ def p4(b: Bench) -> tuple[DataFrame, DataFrame]:
     b.spark.sql(f"CREATE DATABASE {database} LOCATION '{b.scratch('database')}'")
     claims, lookups = f"{database}.fct_claim", f"{database}.fct_lookup"
     before = warehouse.Warehouse(known)
-    incremental.store_fct_claim(before.fct_claim, claims, "month")
-    incremental.store_fct_claim(before.fct_lookup, lookups, "month")
+    incremental.store_fct_claim(before.fct_claim, claims, "month", buckets)
+    incremental.store_fct_claim(before.fct_lookup, lookups, "month", buckets)
     incremental.refresh_fct_claim(b.spark, claims, known, fresh, "month", lookup_table=lookups)
     return b.spark.table(claims).select(*b.fct_claim.columns), b.spark.table(lookups).select(*b.fct_lookup.columns)
 
 
 add("p4_incremental_fct_claim", lambda b: p4(b)[0], "select * from fct_claim")
 add("p4_incremental_fct_lookup", lambda b: p4(b)[1], "select * from fct_lookup")
+add("p4_incremental_by_bucket", lambda b: p4(b, 8)[1], "select * from fct_lookup")
 add(
     "p4_lookback_suffices",
     lambda b: incremental.lookback_suffices(b.fct_claim, 72),

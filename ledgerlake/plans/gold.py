@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions.dates import calendar_parts, minutes_between
 from ledgerlake.functions.money import net_measures
-from ledgerlake.operators.joins import left_join_spread
-from ledgerlake.operators.ranks import top_one
+from ledgerlake.operators.joins import HOT_ROWS, hot_keys, left_join_spread
+from ledgerlake.operators.ranks import group_sizes, top_one
 
 FEE_PAIRS = {
     "net_revenue": "price",
@@ -142,13 +142,37 @@ def _with_fee_nets(claims: DataFrame) -> DataFrame:
     )
 
 
+CLAIM_CONTEXT = ["chain", "is_reverted", "net_revenue", "net_pbm_fee", "net_retained_margin", "filled_at"]
+
+
 def fct_lookup(lookups: DataFrame, claims: DataFrame) -> DataFrame:
     """One row per lookup with what became of it; most lookups name no claim.
 
     ``claims`` is the claim fact or the ``fee_fact``; no cost is shown here.
     """
-    context = ["chain", "is_reverted", "net_revenue", "net_pbm_fee", "net_retained_margin", "filled_at"]
-    return left_join_spread(lookups, claims, "claim_id", context).select(
+    return _outcomes(left_join_spread(lookups, claims, "claim_id", CLAIM_CONTEXT))
+
+
+def fct_lookup_by_bucket(lookups: DataFrame, claims: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """fct_lookup() for a claim fact that is stored in buckets of claim_id: its rows are not moved.
+
+    Lookups without a claim take no part in the join. Those of the few hot claims, which one bucket's task would
+    have to bear, take their claims by a broadcast of at most HOT_KEYS rows. All others go to the buckets.
+    """
+    named = lookups.filter("claim_id IS NOT NULL")
+    sizes = group_sizes(named.select("claim_id"), ["claim_id"])
+    hot = F.broadcast(hot_keys(sizes, sizes.agg(F.sum("_n")).scalar(), hot_rows).select(F.col("claim_id").alias("_hot")))
+    context = claims.select("claim_id", *CLAIM_CONTEXT, F.lit(True).alias("_matched"))
+    rest = named.join(hot, F.col("claim_id") == F.col("_hot"), "left_anti").join(context, "claim_id", "left")
+    few = F.broadcast(context.join(hot, F.col("claim_id") == F.col("_hot"), "left_semi"))
+    heavy = named.join(hot, F.col("claim_id") == F.col("_hot"), "left_semi").join(few, "claim_id", "left")
+    none = lookups.filter("claim_id IS NULL")
+    joined = rest.unionByName(heavy).unionByName(none, allowMissingColumns=True)
+    return _outcomes(joined.withColumn("_matched", F.col("_matched").isNotNull()))
+
+
+def _outcomes(joined: DataFrame) -> DataFrame:
+    return joined.select(
         "lookup_id",
         "claim_id",
         "ndc",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from contextlib import contextmanager
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,23 +14,28 @@ from ledgerlake.operators.collisions import QUARANTINE_ALL
 from ledgerlake.operators.joins import semi_join_spread
 from ledgerlake.operators.ranks import group_sizes
 from ledgerlake.plans import gold, silver, warehouse
+from ledgerlake.plans.storage import FACTS, PERIOD, Layout, arranged, buckets_of, period_of, save
 from ledgerlake.session import stage
 
 EVENTS = ("claims", "reverts", "lookups")
-# The stored fact is partitioned by this column, the first day of its day, month or year.
-PERIOD = "period_start"
 # Fixed value: the part of the lookback that observed delays may use up.
 LOOKBACK_SHARE = 0.8
 
 
-def period_of(day: Column, grain: str) -> Column:
-    return day if grain == "day" else F.trunc(day, grain)
+def store_fct_claim(fct_claim: DataFrame, table: str, grain: str = "day", buckets: int | None = None) -> None:
+    """Store a full build of a fact, partitioned by period; a crowded period is split over several writers.
+
+    With ``buckets`` it also lies in buckets of claim_id, and a refresh joins it without moving it.
+    """
+    if buckets:
+        save(fct_claim, table, layout=layout_of(fct_claim, grain, buckets), mode="overwrite")
+    else:
+        staged = fct_claim.withColumn(PERIOD, period_of(F.col("date_day"), grain))
+        staged.hint("rebalance", PERIOD).write.mode("overwrite").partitionBy(PERIOD).saveAsTable(table)
 
 
-def store_fct_claim(fct_claim: DataFrame, table: str, grain: str = "day") -> None:
-    """Store a full build, partitioned by period; a crowded period is split over several writers."""
-    staged = fct_claim.withColumn(PERIOD, period_of(F.col("date_day"), grain))
-    staged.hint("rebalance", PERIOD).write.mode("overwrite").partitionBy(PERIOD).saveAsTable(table)
+def layout_of(fact: DataFrame, grain: str, buckets: int) -> Layout:
+    return replace(FACTS["fct_lookup" if "lookup_id" in fact.columns else "fct_claim"], grain=grain, buckets=buckets)
 
 
 def affected_periods(
@@ -104,15 +110,20 @@ def replace_periods(spark: SparkSession, table: str, rows: DataFrame, periods: D
 
     The rows are computed once, into the scratch folder, and put in place from there, partition by
     partition. A period that lost its last row would keep its old ones, so its partition is dropped;
-    only such periods, a handful of dates, reach the driver. A rerun after a failure gives the same
+    only such periods, a handful of dates, reach the driver and go in one statement. A rerun after a failure gives the same
     table.
     """
     staged = stage(rows.withColumn(PERIOD, period_of(F.col("date_day"), grain)), "fct-claim")
+    columns, buckets = spark.table(table).columns, buckets_of(spark, table)
+    if buckets:
+        placed = arranged(staged.drop(PERIOD), layout_of(staged, grain, buckets))
+    else:
+        placed = staged.hint("rebalance", PERIOD)
     with _dynamic_overwrite(spark):
-        staged.select(*spark.table(table).columns).hint("rebalance", PERIOD).write.insertInto(table, overwrite=True)
+        placed.select(*columns).write.insertInto(table, overwrite=True)
     emptied = periods.join(staged.select(PERIOD).distinct(), PERIOD, "left_anti")
-    for (start,) in emptied.collect():
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({PERIOD} = DATE'{start}')")
+    if gone := ", ".join(f"PARTITION ({PERIOD} = DATE'{start}')" for (start,) in emptied.collect()):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {gone}")
 
 
 def refresh_fct_claim(
@@ -134,7 +145,8 @@ def refresh_fct_claim(
     if lookup_table is not None:
         days = affected_lookup_periods(merged, fresh, periods, grain)
         lookup_periods = stage(days, "lookup-periods")
-        rows = fct_lookup_of_periods(merged, lookup_periods, spark.table(table).drop(PERIOD), grain, policies)
+        stored = spark.table(table).drop(PERIOD)
+        rows = fct_lookup_of_periods(merged, lookup_periods, stored, grain, policies, bool(buckets_of(spark, table)))
         replace_periods(spark, lookup_table, rows, lookup_periods, grain)
 
 
@@ -155,11 +167,17 @@ def fct_lookup_of_periods(
     fct_claim: DataFrame,
     grain: str = "day",
     policies: warehouse.Policies = warehouse.Policies(),
+    bucketed: bool = False,
 ) -> DataFrame:
-    """The lookup fact for some periods, equal to those of a full build, from a claim fact that is up to date."""
+    """The lookup fact for some periods, equal to those of a full build, from a claim fact that is up to date.
+
+    ``bucketed`` says that the claim fact is stored in buckets of claim_id; it is not moved then.
+    """
     period = period_of(F.to_date("looked_up_at"), grain)
     lookups = landing["lookups"].withColumn(PERIOD, period).join(periods, PERIOD, "left_semi").drop(PERIOD)
     w = warehouse.Warehouse(dict(landing) | {"lookups": lookups}, policies)
+    if bucketed:
+        return gold.fct_lookup_by_bucket(w.slv_lookups, fct_claim)
     claims = semi_join_spread(fct_claim, lookups.select("claim_id").filter("claim_id IS NOT NULL").distinct(), "claim_id")
     return gold.fct_lookup(w.slv_lookups, claims)
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import cached_property
@@ -11,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.collisions import POLICIES, QUARANTINE_ALL
-from ledgerlake.plans import bronze, gold, marts, silver, suite
+from ledgerlake.plans import bronze, gold, marts, silver, storage, suite
+from ledgerlake.plans.publication import Draft, retire
 from ledgerlake.sources.landing import EVENT_SOURCES
 
 LAYERS = {
@@ -74,6 +74,8 @@ class Warehouse:
     def __init__(self, landing: Mapping[str, DataFrame], policies: Policies = Policies()) -> None:
         self.landing = landing
         self.policies = policies
+        # Whether the claim fact is stored in buckets of claim_id.
+        self.bucketed = False
 
     def tables(self, *layers: str) -> dict[str, DataFrame]:
         """The tables of the given layers, of all by default, by name."""
@@ -86,11 +88,15 @@ class Warehouse:
             return "claims" in self._rejects
         return name != "brz_rejects" or bool(self._rejects)
 
-    def replace(self, name: str, stored: DataFrame) -> None:
-        """Let all tables not made yet build on a stored table; facts also serve the dimensions."""
+    def replace(self, name: str, stored: DataFrame, bucketed: bool = False) -> None:
+        """Let all tables not made yet build on a stored table; facts also serve the dimensions.
+
+        ``bucketed`` says that the stored table lies in buckets of claim_id, see plans.storage.
+        """
         setattr(self, name, stored)
         if name == "fct_claim":
             self.fee_fact = stored
+            self.bucketed = bucketed
             self.claim_days = stored.select("ndc", F.col("date_day").alias("filled_date"))
         elif name == "fct_lookup":
             self.lookup_days = stored.select("ndc", F.col("date_day").alias("looked_up_date"))
@@ -230,7 +236,8 @@ class Warehouse:
 
     @cached_property
     def fct_lookup(self) -> DataFrame:
-        return gold.fct_lookup(self.slv_lookups, self.fee_fact)
+        build = gold.fct_lookup_by_bucket if self.bucketed else gold.fct_lookup
+        return build(self.slv_lookups, self.fee_fact)
 
     @cached_property
     def gld_partner_performance(self) -> DataFrame:
@@ -260,34 +267,39 @@ def materialize(
     store: tuple[str, ...] = ("gold",),
     prefix: str = "",
     test: bool = False,
+    layouts: Mapping[str, storage.Layout] = storage.FACTS,
+    keep: int | None = None,
 ) -> dict[str, DataFrame]:
     """Full refresh. Tables of the layers in ``store`` are written, all others stay views.
 
-    Every table can be queried by its name, a stored one also as ``layer.name`` (the layer's database
-    may get a prefix). What is stored is read back by whatever builds on it: with gold stored, the
-    claims are priced once, and the dimensions come from two columns of the facts. A refresh that fails
-    while it computes a table leaves the old one in place; files of earlier refreshes stay until the
-    caller removes them. With ``test`` the declared tests run afterwards and a violation is an error. A fact that is kept up to date by parts is stored by ``plans.incremental``.
+    The stored tables make a release, see plans.publication: they are written beside those in use, tested if
+    ``test`` is set, and published together; a refresh that fails before, or breaks a declared test, leaves the
+    old release in use. Facts are stored by period and in buckets, as ``layouts`` says, and have the column
+    ``period_start`` besides their own. With ``keep`` older releases are removed afterwards but for so many.
+
+    Every table can be queried by its name, a stored one also as ``layer.name`` (the layer's database may get a
+    prefix). What is stored is read back by whatever builds on it: with gold stored, the claims are priced once, the
+    dimensions come from two columns of the facts, and the lookup fact meets the stored claims bucket by bucket. A
+    fact that is kept up to date by parts is stored by ``plans.incremental``.
     """
     tables: dict[str, DataFrame] = {}
+    draft = Draft(spark, folder, prefix)
     for layer, names in LAYERS.items():
-        if layer in store:
-            spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{layer}")
         # Facts first: the dimensions are read off them.
         for name in sorted(names, key=lambda n: not n.startswith("fct_")):
             if not warehouse.has(name):
                 continue
             frame = getattr(warehouse, name)
             if layer in store:
-                # The new rows are written beside the old ones; then the name moves to them.
-                path, table = f"{folder}/{layer}/{name}/{uuid.uuid4().hex}", f"{prefix}{layer}.{name}"
-                frame.write.parquet(path)
-                spark.sql(f"DROP TABLE IF EXISTS {table}")
-                spark.catalog.createTable(table, path, "parquet")
-                frame = spark.table(table)
-                warehouse.replace(name, frame)
+                layout = layouts.get(name)
+                frame = draft.write(layer, name, frame, layout)
+                warehouse.replace(name, frame, bucketed=bool(layout) and layout.key == "claim_id")
             tables[name] = frame
-    register(tables)
     if test and (broken := suite.failures(suite.run_tests(warehouse))):
         raise ValueError(f"violations by test: {broken}")
+    if draft.release.tables:
+        draft.publish()
+    register(tables)
+    if keep is not None:
+        retire(spark, folder, keep)
     return tables
