@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +17,8 @@ from ledgerlake.session import scratch_dir
 SPACES = b" \t\n\x0b\x0c\r"
 # Hashing works on stretches of about this many bytes, so a very long text needs no large buffer.
 STRETCH = 1 << 20
+# Bytes of an Arrow batch that a function is given at once.
+BATCH = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,16 +47,61 @@ def parts(spark: SparkSession) -> int:
 
 
 def map_rows(df: DataFrame, batch: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """Each Arrow batch through a function; nothing is kept between batches."""
+    """Each Arrow batch through a function, in parts of about BATCH bytes; nothing is kept between them."""
+    owner = batch.__qualname__
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        taken_over(owner)
         for b in batches:
-            if b.num_rows and (out := batch(b)) is not None:
-                yield out
+            for some in sliced(b):
+                if (out := batch(some)) is not None:
+                    yield out
 
     return df.mapInArrow(run, schema)
 
 
+def sliced(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in parts of about BATCH bytes, none empty."""
+    rows = max(1, int(BATCH * b.num_rows / max(1, b.nbytes)))
+    for at in range(0, b.num_rows, rows):
+        yield b.slice(at, rows)
+
+
+# What a worker process keeps from one task to the next: one operator's things, gone when another's task begins.
+_HELD: dict[str, object] = {}
+_OWNER: list[str] = []
+
+
+def taken_over(owner: str) -> None:
+    """Begin a task of an operator; what another one has kept goes, and its memory back to the system."""
+    if _OWNER == [owner]:
+        return
+    _OWNER[:] = [owner]
+    _HELD.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # not every C library has it
+        pass
+
+
+def held(name: str, make: Callable[[], object]):
+    """A thing that is made once for a worker process and kept while its operator's tasks follow each other."""
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = make()
+    return _HELD[name]
+
+
+def fresh_name(columns: Sequence[str], name: str) -> str:
+    """A column name that a caller's table does not have, whatever its case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def record(schema: list[tuple[str, pa.DataType]], *columns) -> pa.RecordBatch:
     arrays = [c if isinstance(c, pa.Array) else pa.array(c, type=t) for (_, t), c in zip(schema, columns, strict=True)]
     return pa.RecordBatch.from_arrays(arrays, names=[n for n, _ in schema])

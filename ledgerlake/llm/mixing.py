@@ -24,10 +24,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import SPACES, keyed_texts, map_rows, record, span_hashes, staged, stretches, text_or_empty
+from ledgerlake.llm.common import SPACES, fresh_name, keyed_texts, map_rows, record, span_hashes, staged, stretches, text_or_empty
 
 # Labelled documents the classifier is fitted on, at most; chosen by a hash of their doc_id.
 TRAINED_ON = 20_000
@@ -89,16 +89,20 @@ class Classifier:
 def classifier(docs: DataFrame, labelled: DataFrame, domains: list[str], trained_on: int = TRAINED_ON) -> Classifier:
     """Fitted on ``labelled`` (doc_id, domain) and the documents' words.
 
-    Labels without a doc_id, without a domain or of an unknown one are left out. Of several labels of a
-    document, or rows with its doc_id, one is used. There must be at least one usable label. A domain
-    without labels has the probability 0.
+    Labels without a doc_id, without a domain or of an unknown one are left out, as are those of documents that
+    are not in ``docs``. Of several labels of a document the first domain counts, of several rows with its doc_id the
+    least text. A domain without labels has the probability 0; without any usable label, or with only one that
+    counts, all are equally likely or that one is certain, and the former is warned of.
     """
     place = F.array_position(F.array(*(F.lit(d) for d in domains)), F.col("domain"))
+    known = docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     labels = (
         labelled.select(F.col("doc_id").cast("long").alias("doc_id"), (place - 1).cast("double").alias("label"))
         .filter((F.col("label") >= 0) & F.col("doc_id").isNotNull())
         .groupBy("doc_id")
         .agg(F.min("label").alias("label"))
+        # Labels of documents that are not there take no place in the sample.
+        .join(known, "doc_id", "left_semi")
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(trained_on)
     )
@@ -107,12 +111,19 @@ def classifier(docs: DataFrame, labelled: DataFrame, domains: list[str], trained
     def split(b: pa.RecordBatch) -> pa.RecordBatch:
         return record(fields, b.column("doc_id"), b.column("label"), [sorted(words(t)) for t in b.column("text").to_pylist()])
 
-    # At most ``trained_on`` pairs of numbers are broadcast.
-    chosen = keyed_texts(docs).join(F.broadcast(labels), "doc_id").select("doc_id", "label", "text")
-    sample = staged(map_rows(chosen, split, "doc_id long, label double, words array<string>"), "labelled").dropDuplicates(["doc_id"])
+    # At most ``trained_on`` pairs of numbers are broadcast. Of rows with one doc_id the least text is taken.
+    chosen = keyed_texts(docs).join(F.broadcast(labels), "doc_id").groupBy("doc_id").agg(F.min("label").alias("label"), F.min("text").alias("text"))
+    sample = staged(map_rows(chosen.select("doc_id", "label", "text"), split, "doc_id long, label double, words array<string>"), "labelled")
     if sample.isEmpty():
-        raise ValueError("no document has a label of the domains")
+        warnings.warn("no document has a label of the domains: every domain is taken to be as likely", MixWarning, stacklevel=3)
+        return Classifier(np.zeros(0, np.uint64), np.zeros((0, len(domains))), np.zeros(len(domains)))
     least = min(LEAST_DOCUMENTS, sample.count())
+    if sample.filter(F.size("words") > 0).isEmpty() or sample.select("label").distinct().count() < 2:
+        # Nothing to tell domains apart by: their shares in the sample are all there is to know.
+        n = {int(r["label"]): r["count"] for r in sample.groupBy("label").count().collect()}
+        with np.errstate(divide="ignore"):
+            bias = np.log(np.array([n.get(k, 0) for k in range(len(domains))], dtype=float))
+        return Classifier(np.zeros(0, np.uint64), np.zeros((0, len(domains))), bias)
     counter = CountVectorizer(inputCol="words", outputCol="features", vocabSize=VOCABULARY, minDF=least, binary=True).fit(sample)
     model = LogisticRegression(family="multinomial", regParam=0.003, elasticNetParam=0.5, maxIter=60).fit(counter.transform(sample))
     keys = np.array([hashes(w.encode())[0] for w in counter.vocabulary], dtype=np.uint64)
@@ -254,14 +265,40 @@ def mixed(
     if docs.isEmpty():
         model_rows = docs.sparkSession.createDataFrame([], "doc_id long, row long, tokens long, p array<float>")
         return rated(model_rows, domains, [], pull, most)
-    scores = staged(posteriors(docs, classifier(docs, labelled, domains, trained_on), domains), "posteriors")
+    fit = fitted_mix(docs, labelled, weights, tokens, pull, most, trained_on, report)
+    return rated(fit.scores, domains, fit.steps, pull, most)
+
+
+@dataclass
+class Mix:
+    """A fitted mix: the classifier, every row's posteriors as a stored table, and the steps that lead to its rate."""
+
+    model: Classifier
+    scores: DataFrame
+    steps: Steps
+    pull: float
+    most: float
+
+
+def fitted_mix(
+    docs: DataFrame, labelled: DataFrame, weights: Mapping[str, float], tokens: float | None = None,
+    pull: float = PULL, most: float = MOST, trained_on: int = TRAINED_ON, report: Callable[[list[Share], float], None] = warned,
+) -> Mix:
+    domains = sorted(weights)
+    model = classifier(docs, labelled, domains, trained_on)
+    scores = staged(posteriors(docs, model, domains), "posteriors")
     whole = float(scores.agg(F.sum("tokens")).first()[0] or 0) or 1.0
     share = np.array([weights[d] for d in domains], dtype=float)
     target = share / share.sum() * (whole if tokens is None else tokens)
     steps = fitted_steps(scores, target, whole, pull, most)
     reached, _ = totals(scores, len(domains), steps, pull, most)
     report([Share(*s) for s in zip(domains, target.tolist(), reached.tolist(), strict=True)], whole)
-    return rated(scores, domains, steps, pull, most)
+    return Mix(model, scores, steps, pull, most)
+
+
+def tossed(doc_id: Column, row: Column) -> Column:
+    """A number from 0 to 1 for a row, which rounds its rate up or down."""
+    return (F.xxhash64(doc_id, row).bitwiseAND(F.lit((1 << 53) - 1)) / F.lit(float(1 << 53))).cast("double")
 
 
 def rated(scores: DataFrame, domains: list[str], steps: Steps, pull: float, most: float) -> DataFrame:
@@ -274,20 +311,33 @@ def rated(scores: DataFrame, domains: list[str], steps: Steps, pull: float, most
             yield record(fields, b.column("doc_id"), b.column("row"), b.column("tokens"), *p.T, followed(p, steps, pull, most)[0])
 
     made = scores.mapInArrow(run, "doc_id long, row long, tokens long, " + ", ".join(f"{n} double" for n in names) + ", rate double")
-    toss = F.expr("(xxhash64(doc_id, row) & 9007199254740991L) / 9007199254740992D")
-    return made.withColumn("copies", F.floor(F.col("rate") + toss).cast("long")).select("doc_id", "row", "tokens", *names, "rate", "copies")
+    copies = F.floor(F.col("rate") + tossed(F.col("doc_id"), F.col("row"))).cast("long")
+    return made.withColumn("copies", copies).select("doc_id", "row", "tokens", *names, "rate", "copies")
 
 
 def drawn(docs: DataFrame, labelled: DataFrame, weights: Mapping[str, float], **options) -> DataFrame:
-    """The documents of the mix: each row as often as its copies say, with the columns it has.
+    """The documents of the mix: each row as often as its copies in mixed() say, with the columns it has.
 
-    ``docs`` must be a stored table or another frame that gives its rows in the same order each time.
+    A last pass works each row's rate out again and lets it through as many times, so nothing has to find a row again.
+    The toss that rounds a rate is by doc_id and the row's place in that pass; a task that is run again tosses alike.
     """
-    columns = docs.columns
-    copies = mixed(docs, labelled, weights, **options).select(F.col("row").alias("_row"), "copies").filter("copies > 0")
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    # The copies are few bytes a row; Spark shuffles both sides by row number.
-    return numbered.join(copies, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*columns)
+    domains, columns, schema = sorted(weights), docs.columns, docs.schema
+    if docs.isEmpty():
+        return docs
+    fit = fitted_mix(docs, labelled, weights, **options)
+    shared = docs.sparkSession.sparkContext.broadcast(fit.model)
+    steps, pull, most = fit.steps, fit.pull, fit.most
+
+    def batch(b: pa.RecordBatch) -> pa.RecordBatch:
+        texts, tosses = b.column(len(columns)).to_pylist(), b.column(len(columns) + 1).to_numpy()
+        p = np.stack([shared.value.probabilities(hashes(t)) for t in texts]).astype(np.float32).astype(np.float64)
+        rate = followed(p, steps, pull, most)[0]
+        copies = np.floor(rate + tosses).astype(np.int64)
+        return b.select(list(range(len(columns)))).take(pa.array(np.repeat(np.arange(len(copies)), copies)))
+
+    whole, toss = fresh_name(columns, "whole_text"), fresh_name(columns, "toss")
+    rows = docs.select(*columns, text_or_empty().alias(whole), tossed(F.col("doc_id").cast("long"), F.monotonically_increasing_id()).alias(toss))
+    return map_rows(rows, batch, schema)
 
 
 def domains_of(labels: DataFrame) -> DataFrame:

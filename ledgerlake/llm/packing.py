@@ -22,13 +22,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import map_rows, parts, record, span_hashes, staged, stretches, text_or_empty, word_spans
+from ledgerlake.llm.common import held, map_rows, parts, record, span_hashes, staged, stretches, text_or_empty, word_spans
 
 LENGTH = 2048
 END_ID = 1
 DIMENSIONS, BITS = 4, 12
 # Words whose ids a worker process remembers at most, between batches.
-REMEMBERED = 800_000
+REMEMBERED = 300_000
 # Bytes of text whose words are looked up together.
 AT_ONCE = 4 << 20
 # Marks that no character combines with and no letter pattern of the tokenizer starts with.
@@ -196,15 +196,9 @@ class WordIds:
         return [np.concatenate((ids[a:b], end)) for a, b in zip([0, *stop], stop, strict=False)]
 
 
-_WORDS: dict[int, WordIds] = {}
-
-
 def word_ids(tokenizer: str) -> WordIds:
     """One for a worker process, so that later tasks know the words of earlier ones."""
-    if (key := hash(tokenizer)) not in _WORDS:
-        _WORDS.clear()
-        _WORDS[key] = WordIds(tokenizer)
-    return _WORDS[key]
+    return held(f"words-{hash(tokenizer)}", lambda: WordIds(tokenizer))
 
 
 def groups(texts: list[bytes]) -> Iterator[list[bytes]]:

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import keyed_texts, map_rows, parts, record, staged
+from ledgerlake.llm.common import fresh_name, keyed_texts, map_rows, parts, record, staged, text_or_empty
 from ledgerlake.operators.joins import left_join_spread
 
 SHINGLE = 3
@@ -265,26 +265,43 @@ def near_duplicates(
     """
     if not 0 <= budget <= 7:
         raise ValueError("the budget must leave blocks of 8 bits or more")
-    spark = docs.sparkSession
     found = staged(fingerprints(docs, shingle), "fingerprints")
+    return with_components(found, budget, node_rows).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def with_components(found: DataFrame, budget: int = BUDGET, node_rows: int = NODE_ROWS) -> DataFrame:
+    """``found`` (doc_id, fp, ...), a stored table, with the component of each row: its root and its smallest doc_id."""
     firsts = staged(found.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
-    edges = stars(units(firsts.select("fp"), budget, node_rows), budget, parts(spark))
+    edges = stars(units(firsts.select("fp"), budget, node_rows), budget, parts(found.sparkSession))
     roots = components(edges)
     member = firsts.join(roots, firsts.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     member = staged(member, "members")
     ids = member.groupBy("root").agg(F.min("first").alias("component_id"))
-    by_fp = staged(left_join_spread(member, ids, "root", ["component_id"]).select("fp", "component_id"), "components")
-    return left_join_spread(found, by_fp, "fp", ["component_id"]).select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
-    )
+    by_fp = staged(left_join_spread(member, ids, "root", ["component_id"]).select("fp", "root", "component_id"), "components")
+    return left_join_spread(found, by_fp, "fp", ["root", "component_id"]).drop("_matched")
 
 
-def keep_one(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay when one document of each component does: the one with the smallest doc_id.
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, budget: int = BUDGET) -> DataFrame:
+    """The rows of ``docs`` that stay when one document of each component does: one with the smallest doc_id.
 
-    Of repeated rows with that doc_id one stays. Rows without a doc_id stay.
+    Rows are told apart by two hashes of all their columns, so a document stays whatever others share its doc_id; of
+    rows that are equal in every column one stays. Rows without a doc_id stay. Columns that Spark can't hash (maps)
+    don't count.
     """
-    ids = found.filter((F.col("doc_id") == F.col("component_id")) | F.col("component_id").isNull()).select(F.col("doc_id").alias("_keep")).distinct()
     columns = docs.columns
-    named = docs.filter(F.col("doc_id").isNotNull()).join(ids, F.col("doc_id") == F.col("_keep"), "left_semi")
-    return named.dropDuplicates(["doc_id"]).select(*columns).unionByName(docs.filter(F.col("doc_id").isNull()))
+    one, two = fresh_name(columns, "hash_one"), fresh_name(columns, "hash_two")
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    keyed = docs.withColumns({one: F.xxhash64(*hashed), two: F.xxhash64(F.lit(1), *hashed)})
+    fields = [("doc_id", pa.int64()), ("one", pa.int64()), ("two", pa.int64()), ("fp", pa.int64())]
+
+    def batch(b: pa.RecordBatch) -> pa.RecordBatch:
+        fps = np.array([fingerprint(t, shingle) for t in b.column("text").to_pylist()], dtype=np.uint64)
+        return record(fields, b.column("doc_id"), b.column("one"), b.column("two"), fps.view(np.int64))
+
+    rows = keyed.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col(one).alias("one"), F.col(two).alias("two"), text_or_empty().alias("text"))
+    found = staged(map_rows(rows, batch, "doc_id long, one long, two long, fp long"), "fingerprints")
+    # Of rows with the smallest doc_id those with the smallest hashes; a component's rows need not come together.
+    stays = with_components(found, budget).groupBy("root").agg(F.min(F.struct("doc_id", "one", "two")).alias("kept"))
+    keys = stays.select(F.col("kept.one").alias(one), F.col("kept.two").alias(two))
+    named = keyed.filter(F.col("doc_id").isNotNull()).join(keys, [one, two], "left_semi").dropDuplicates([one, two])
+    return named.select(*columns).unionByName(docs.filter(F.col("doc_id").isNull()))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import parts, record, staged, text_or_empty, window_hashes, word_hashes
+from ledgerlake.llm.common import parts, record, staged, taken_over, text_or_empty, window_hashes, word_hashes
 from ledgerlake.operators.joins import left_join_spread
 
 LENGTH, GRAIN = 13, 10
@@ -71,6 +71,7 @@ def steps(ascending: np.ndarray) -> np.ndarray:
 
 def gathered(batches, length: int, grain: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(anchor, key) pairs of many documents at a time, each pair once, in order."""
+    taken_over("gathered")
     found: list[np.ndarray] = []
     keys: list[np.ndarray] = []
     size = 0
@@ -113,25 +114,39 @@ def repeated_anchors(rows: DataFrame, ranges: int, length: int, grain: int, comm
                 yield record([("shard", pa.int32()), ("body", pa.binary())], [shard], [body])
 
     def merge(batches):
-        got: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
-        for b in batches:
-            for shard, body in zip(b.column("shard").to_pylist(), b.column("body").to_pylist(), strict=True):
-                n = int.from_bytes(body[:4], "little")
-                step, at = unplaned(body, n, 4)
-                got.setdefault(shard, []).append((np.cumsum(step, dtype=np.uint64), unplaned(body, n, at)[0]))
-        for shard in list(got):
-            some = got.pop(shard)
-            anchor, count = (np.concatenate(x) for x in zip(*some, strict=True))
-            rank = np.argsort(anchor, kind="stable")
-            anchor, count = anchor[rank], count[rank]
-            first = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
-            total = np.add.reduceat(count, first)
-            kept = anchor[first][total > 1] << np.uint64(1) | (total[total > 1] > common).astype(np.uint64)
+        """One range at a time, its anchors added up list by list."""
+        taken_over("repeated_anchors")
+        at, anchor, count = None, np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+
+        def finished():
+            kept = anchor[count > 1] << np.uint64(1) | (count[count > 1] > common).astype(np.uint64)
             if len(kept):
                 body = len(kept).to_bytes(4, "little") + planes(steps(kept))
-                yield record([("shard", pa.int32()), ("anchors", pa.binary())], [shard], [body])
+                yield record([("shard", pa.int32()), ("anchors", pa.binary())], [at], [body])
+
+        for b in batches:
+            shards, bodies = b.column("shard"), b.column("body")
+            for i in range(b.num_rows):
+                shard, body = shards[i].as_py(), bodies[i].as_py()
+                if shard != at:
+                    yield from finished()
+                    at, anchor, count = shard, np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+                n = int.from_bytes(body[:4], "little")
+                step, place = unplaned(body, n, 4)
+                anchor, count = added(anchor, count, np.cumsum(step, dtype=np.uint64), unplaned(body, n, place)[0])
+        yield from finished()
 
-    return rows.mapInArrow(send, "shard int, body binary").repartition(ranges, "shard").mapInArrow(merge, "shard int, anchors binary")
+    sent = rows.mapInArrow(send, "shard int, body binary")
+    return sent.repartition(ranges, "shard").sortWithinPartitions("shard").mapInArrow(merge, "shard int, anchors binary")
+
+
+def added(anchor: np.ndarray, count: np.ndarray, more: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted anchors and their counts after another sorted list."""
+    anchor, count = np.concatenate((anchor, more)), np.concatenate((count, times))
+    rank = np.argsort(anchor, kind="stable")
+    anchor, count = anchor[rank], count[rank]
+    first = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1]))) if len(anchor) else np.zeros(0, int)
+    return anchor[first], np.add.reduceat(count, first) if len(first) else count
 
 
 def own_repeats(rows: DataFrame, repeats: DataFrame, ranges: int, length: int, grain: int) -> DataFrame:
@@ -151,15 +166,24 @@ def own_repeats(rows: DataFrame, repeats: DataFrame, ranges: int, length: int, g
     fields = [("key", pa.int64()), ("anchors", pa.binary())]
 
     def meet(batches):
+        """A range's anchors come first, then the lists that are compared with them, one at a time."""
+        taken_over("own_repeats")
+        open_shard, repeats = None, np.zeros(0, np.uint64)
         for b in batches:
-            for body, known in zip(b.column("body").to_pylist(), b.column("anchors").to_pylist(), strict=True):
+            shards, bodies, first = b.column("shard"), b.column("body"), b.column("first").to_pylist()
+            for i in range(b.num_rows):
+                shard, body = shards[i].as_py(), bodies[i].as_py()
+                if first[i]:
+                    open_shard, repeats = shard, np.cumsum(unplaned(body, int.from_bytes(body[:4], "little"), 4)[0], dtype=np.uint64)
+                    continue
+                if shard != open_shard:  # no anchor of the range repeats
+                    continue
                 n, m, base = int.from_bytes(body[:4], "little"), int.from_bytes(body[4:8], "little"), int.from_bytes(body[8:16], "little", signed=True)
                 step, at = unplaned(body, n, 16)
                 count, at = unplaned(body, n, at)
                 gaps, at = unplaned(body, m, at)
                 place, _ = unplaned(body, int(count.sum()), at)
                 kinds = np.cumsum(step, dtype=np.uint64)
-                repeats = np.cumsum(unplaned(known, int.from_bytes(known[:4], "little"), 4)[0], dtype=np.uint64)
                 found = np.minimum(np.searchsorted(repeats >> np.uint64(1), kinds), len(repeats) - 1)
                 hit = np.repeat(repeats[found] >> np.uint64(1) == kinds, count.astype(np.int64))
                 if not hit.any():
@@ -171,8 +195,10 @@ def own_repeats(rows: DataFrame, repeats: DataFrame, ranges: int, length: int, g
                 keys = np.int64(base) + np.cumsum(gaps.view(np.int64))
                 yield record(fields, keys[place[edge].astype(np.int64)], [x.tobytes() for x in np.split(anchor, edge[1:])])
 
-    sent = rows.mapInArrow(send, "shard int, body binary")
-    return sent.hint("merge").join(repeats, "shard").select("body", "anchors").mapInArrow(meet, "key long, anchors binary")
+    sent = rows.mapInArrow(send, "shard int, body binary").withColumn("first", F.lit(False))
+    known = repeats.select("shard", F.col("anchors").alias("body"), F.lit(True).alias("first"))
+    together = known.unionByName(sent).repartition(ranges, "shard").sortWithinPartitions("shard", F.col("first").desc())
+    return together.mapInArrow(meet, "key long, anchors binary")
 
 
 def passages(words: list[bytes], repeats: np.ndarray, length: int, grain: int) -> Iterator[tuple[int, int, int]]:
@@ -346,9 +372,11 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, grain: int = GRAIN, comm
                 yield record(fields, *zip(*made, strict=True))
 
     sorted_out = rows.join(lists, "key", "left").select("doc_id", "text", "anchors", "copied")
-    table = staged(sorted_out.mapInArrow(sort_out, f"{RESULT}, text binary, anchors binary"), "with-repeats")
+    # Numbered as it is written, and read from there: however it is cut into tasks later, a row keeps its number.
+    numbered = sorted_out.mapInArrow(sort_out, f"{RESULT}, text binary, anchors binary").withColumn("row", F.monotonically_increasing_id())
+    table = staged(numbered, "with-repeats")
     clear = table.filter(F.col("text").isNull()).select("doc_id", "n_words", "n_removed", "kept_sha256")
-    open_rows = table.filter(F.col("text").isNotNull()).withColumn("row", F.monotonically_increasing_id())
+    open_rows = table.filter(F.col("text").isNotNull())
 
     def cut(batches):
         fields = [("row", pa.int64()), ("document", pa.int64()), ("start", pa.int64()), ("route", pa.int64()), ("passage", pa.binary())]

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import map_rows, record
+from ledgerlake.llm.common import held, map_rows, record
 
 MARK = "▁"
 CONTEXT = 4096
@@ -154,15 +154,9 @@ class PieceCounter:
         return total
 
 
-_COUNTERS: dict[int, PieceCounter] = {}
-
-
 def counter(model: bytes) -> PieceCounter:
     """One counter for a worker process, so that later tasks profit from its memory."""
-    if (key := hash(model)) not in _COUNTERS:
-        _COUNTERS.clear()
-        _COUNTERS[key] = PieceCounter(model)
-    return _COUNTERS[key]
+    return held(f"pieces-{hash(model)}", lambda: PieceCounter(model))
 
 
 def token_counts(docs: DataFrame, model_path: str, limit: int = CONTEXT) -> DataFrame:

@@ -97,8 +97,49 @@ def test_nulls_repeats_and_empty_tables(spark):
     assert len(got) == 23 and all(0 <= r.rate <= 4 for r in got)
     assert {r.tokens for r in got} == {0, 4}
     assert mixing.mixed(docs.limit(0), labels, {"good": 1.0}).collect() == []
-    with pytest.raises(ValueError, match="label"):
-        mixing.mixed(docs, labels.limit(0), {"good": 1.0, "poor": 1.0}).collect()
+
+
+def test_labels_that_say_nothing(spark):
+    """No labels, labels of other documents, of one domain, or of empty texts: defined posteriors, and no crash."""
+    docs = spark.createDataFrame([(i, f"word w{i} here") for i in range(20)] + [(90, ""), (91, None)], "doc_id long, text string")
+    for labels in ([], [(777, "good")], [(1, None)]):
+        with pytest.warns(mixing.MixWarning, match="as likely"):
+            got = mixing.mixed(docs, spark.createDataFrame(labels, "doc_id long, domain string"), {"good": 1.0, "poor": 1.0}).collect()
+        assert len(got) == 22 and {(r.p_good, r.p_poor) for r in got} == {(0.5, 0.5)}
+    with pytest.warns(mixing.MixWarning, match="misses"):
+        got = mixing.mixed(docs, spark.createDataFrame([(1, "good"), (2, "good")], "doc_id long, domain string"), {"good": 1.0, "poor": 1.0}).collect()
+    assert {(r.p_good, r.p_poor) for r in got} == {(1.0, 0.0)}
+    got = mixing.mixed(docs, spark.createDataFrame([(90, "good"), (91, "poor")], "doc_id long, domain string"), {"good": 1.0, "poor": 1.0}).collect()
+    assert {(r.p_good, r.p_poor) for r in got} == {(0.5, 0.5)}
+
+
+def test_labels_of_absent_documents_take_no_place(spark):
+    docs = spark.createDataFrame([(i, "fine good words" if i % 2 else "bad awful stuff") for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, "good" if i % 2 else "poor") for i in [*range(40), *range(1000, 3000)]], "doc_id long, domain string")
+    got = mixing.mixed(docs, labels, {"good": 1.0, "poor": 1.0}, trained_on=30).collect()
+    assert all((r.p_good > 0.5) == (r.doc_id % 2 == 1) for r in got)
+
+
+def test_drawn_rows_whatever_the_cores_and_columns(spark, tmp_path):
+    """Planned with six tasks, collected with two; a caller's columns may have any names."""
+    rows = [(None if i % 3 == 0 else i, "fine good words here" if i % 2 else "bad bad stuff there", i, i, "x") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row int, _copy int, toss string").repartition(6)
+    docs.write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    labels = spark.createDataFrame([(i, "good" if i % 2 else "poor") for i in range(300)], "doc_id long, domain string")
+    name = "spark.sql.leafNodeDefaultParallelism"
+    spark.conf.set(name, 6)
+    try:
+        drawn = mixing.drawn(docs, labels, {"good": 0.9, "poor": 0.1})
+        spark.conf.set(name, 2)
+        got = drawn.collect()
+    finally:
+        spark.conf.unset(name)
+    assert drawn.columns == docs.columns
+    good = sum(r.text.startswith("fine") for r in got)
+    assert 0.87 * len(got) < good < 0.93 * len(got) and 250 < len(got) < 350
+    assert len({r._row for r in got if r.text.startswith("fine")}) == 150  # each good row is drawn
+    assert all(r._copy == r._row and (r.doc_id is None) == (r._row % 3 == 0) for r in got)
 
 
 @pytest.fixture(scope="module")

@@ -5,6 +5,7 @@ import re
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from ledgerlake.llm import simhash
 from ledgerlake.llm.common import table
@@ -81,11 +82,19 @@ def test_nulls_ties_repeated_rows_and_other_columns(spark):
     z = f"{plain_fingerprint('z'):016x}"
     zero = "0" * 16
     assert got == sorted([(5, fp, 2), (5, fp, 2), (2, fp, 2), (None, fp, 2), (7, zero, 7), (9, zero, 7), (None, z, None)], key=str)
-    kept = simhash.keep_one(docs, simhash.near_duplicates(docs))
+    kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
     assert sorted((r.doc_id for r in kept.collect()), key=str) == [2, 7, None, None]
 
 
+def test_a_shared_doc_id_loses_no_document(spark):
+    """B of doc_id 5 goes, because 3 has B; A of the same doc_id is like no other and stays, in any order of rows."""
+    rows = [(3, "b c d e f"), (5, "a x y z q r s t"), (5, "k l m n o p u v w"), (5, "b c d e f")]
+    for order in ((0, 1, 2, 3), (3, 2, 1, 0), (1, 3, 2, 0)):
+        docs = spark.createDataFrame([rows[i] for i in order], "doc_id long, text string").withColumn("hash_one", F.lit(1)).withColumn("HASH_TWO", F.lit("x"))
+        assert sorted((r.doc_id, r.text) for r in simhash.keep_one(docs).collect()) == rows[:3]
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(docs).collect() == []

@@ -3,8 +3,10 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerlake.llm import substrings
@@ -75,10 +77,43 @@ def test_random_documents(spark, length, grain, common):
     assert got(substrings.deduplicated(docs, length, grain, common)) == brute(rows, length)
 
 
-def test_small_gathering_changes_nothing(spark, sf_dir, monkeypatch):
-    docs = table(spark, sf_dir, "documents")
+def test_small_gathering_changes_nothing(monkeypatch):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices("abcdef", k=60)).encode() for _ in range(30)]
+    batch = pa.record_batch([pa.array(range(30), pa.int64()), pa.array(texts)], ["key", "text"])
+
+    def pairs():
+        made = list(substrings.gathered([batch], 5, 3))
+        return len(made), {(int(a), int(k)) for anchor, key in made for a, k in zip(anchor, key, strict=True)}
+
+    parts, want = pairs()
+    monkeypatch.setattr(substrings, "GATHERED", 20)
+    assert parts == 1 and pairs()[0] > 10 and pairs()[1] == want
+
+
+def test_lists_are_added_up():
+    rng = np.random.default_rng(3)
+    lists = [np.unique(rng.integers(0, 50, 20)).astype(np.uint64) for _ in range(5)]
+    anchor, count = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    for x in lists:
+        anchor, count = substrings.added(anchor, count, x, np.ones(len(x), np.uint64))
+    assert dict(zip(anchor.tolist(), count.tolist(), strict=True)) == Counter(np.concatenate(lists).tolist())
+
+
+def test_another_number_of_cores_changes_nothing(spark, tmp_path):
+    """The result is planned with eight tasks and collected with two."""
+    docs = table(spark, "/root/testdata/sf0.01", "documents").filter("doc_id < 400")
+    docs.repartition(6).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
     want = brute([(r.doc_id, r.text) for r in docs.collect()])
-    assert got(substrings.deduplicated(docs)) == want
+    name = "spark.sql.leafNodeDefaultParallelism"
+    spark.conf.set(name, 6)
+    try:
+        found = substrings.deduplicated(docs)
+        spark.conf.set(name, 2)
+        assert got(found) == want
+    finally:
+        spark.conf.unset(name)
 
 
 def test_empty_table(spark):
