@@ -20,8 +20,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component, the one with the smallest doc_id; rows without a doc_id stay."""
-    return simhash.keep_one(docs, simhash.near_duplicates(docs))
+    """One document of each SimHash component, one with the smallest doc_id; rows without a doc_id stay."""
+    return simhash.keep_one(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
