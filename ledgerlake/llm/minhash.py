@@ -8,30 +8,35 @@ costs one mixing of a scattered position, and no hash functions of its own.
 confirmed on the two full sets. At the threshold of 0.8 a pair shares none of 40 bands of 5 with a chance of about
 one in ten million, as independent coordinates have it; those of one shifted permutation vary less.
 
-Pairs of a bucket are not listed. Its members have an order by a hash. Leaders are taken from its front, first one, then
-about eight times as many in each round, and the members behind a leader are compared with it, unless both are in one
-component already or their sizes rule a link out. A bucket is done when all its members are in one component. A group
-of copies is so settled by its first leaders, and where no links are found every pair of the bucket has been compared
-in the end: no link between candidates is lost, whatever the bucket's size.
+Pairs of a bucket are not listed. First every member is compared with the bucket's leader, the member with the least hash,
+and what is linked is put together; a group of copies is mostly settled by that. Buckets that still hold two components
+are cut into tiles of bounded size, one kind for the leader's component and one for the rest, and pairs of tiles (not
+of the leader's component among itself) go to tasks. There long signatures are compared, 1024 coordinates of one byte
+from the same two permutations, in the first bucket that two sets share. What agrees as often as sets of the wanted
+similarity do, but for a chance of one in ten million, is verified on the full sets. So every pair of candidates is
+verified, of one component, ruled out by sizes, or ruled out by its signatures, whatever the bucket's size.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import map_rows, mix, record, staged, text_or_empty, word_hashes
+from ledgerlake.llm.common import map_rows, mix, parts, record, staged, taken_over, text_or_empty, word_hashes
 from ledgerlake.llm.simhash import components
 from ledgerlake.operators.joins import left_join_spread
 
 SHINGLE, SIMILARITY = 2, 80  # words, percent
 BANDS, ROWS = 40, 5
-# Times as many leaders in each round.
-GROWTH = 8
+# Members of a tile, about; coordinates of a long signature; pairs whose signatures are compared at once.
+TILE, LONG, PAIRS = 1024, 1024, 4096
+# Deviations of the share of equal coordinates below which a pair is ruled out.
+SURE = 5.2
 # Positions that are mixed for all shifts at once.
 AT_ONCE = 256
 
@@ -133,34 +138,103 @@ def linked(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
 
 
 def members_of(sets: DataFrame) -> DataFrame:
-    """(bucket, node, size, place, level, label): the sets of each bucket that has two or more.
-
-    ``place`` orders the members of a bucket, and ``level`` is the round in which one leads: the first in round 0, the
-    others by about how many stand before them.
-    """
+    """(bucket, node, size, lead, label): the sets of each bucket that has two or more, and the one that leads it."""
     # Ids may be consecutive, their hashes are not.
     rows = sets.select(F.explode("buckets").alias("bucket"), "node", "size", F.xxhash64("node").alias("place"))
-    large = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("place").alias("least")).filter("n > 1")
-    # The place as a part of all places, times the members.
-    before = F.expr("shiftrightunsigned(place ^ CAST('-9223372036854775808' AS BIGINT), 11) / 9007199254740992D") * F.col("n")
-    later = 1 + F.floor(F.log(F.greatest(before, F.lit(1.0))) / F.log(F.lit(float(GROWTH)))).cast("int")
-    level = F.when(F.col("place") == F.col("least"), 0).otherwise(later)
-    return rows.join(large, "bucket").select("bucket", "node", "size", "place", level.alias("level"), F.col("node").alias("label"))
+    large = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.struct("place", "node", "size")).alias("first")).filter("n > 1")
+    named = large.select("bucket", F.col("first.node").alias("lead"), F.col("first.size").alias("lead_size"))
+    return rows.join(named, "bucket").select("bucket", "node", "size", "lead", "lead_size", F.col("node").alias("label"))
+
+
+def led(members: DataFrame, similarity: int) -> DataFrame:
+    """(a, b, label_a, label_b): every member with the leaders of its buckets, each pair once."""
+    fits = 100 * F.least("size", "lead_size") >= similarity * F.greatest("size", "lead_size")
+    met = members.filter((F.col("node") != F.col("lead")) & fits)
+    pairs = met.select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
+    return pairs.withColumns({"label_a": F.col("a"), "label_b": F.col("b")})
+
 
+def long_signatures(full: DataFrame) -> DataFrame:
+    """(node, signature): a byte of each of LONG coordinates."""
+    fields = [("node", pa.int64()), ("signature", pa.binary())]
+
+    def batch(b: pa.RecordBatch) -> pa.RecordBatch:
+        found = [np.asarray(x, dtype=np.int64).view(np.uint64) for x in b.column("shingles").to_numpy(zero_copy_only=False)]
+        return record(fields, b.column("node"), [signature(x, LONG).astype(np.uint8).tobytes() for x in found])
+
+    return map_rows(full, batch, "node long, signature binary")
 
-def compared(members: DataFrame, level: int, similarity: int) -> DataFrame:
-    """(a, b, label_a, label_b): members with the leaders of this round that stand before them, each pair once."""
-    leaders = members.filter(F.col("level") == level).select("bucket", *(F.col(c).alias(f"_{c}") for c in ("node", "size", "place", "label")))
-    behind = F.struct("place", "node") > F.struct("_place", "_node")
-    met = members.join(leaders, "bucket").filter(behind & (F.col("label") != F.col("_label")))
-    met = met.filter(100 * F.least("size", "_size") >= similarity * F.greatest("size", "_size"))
-    swapped = F.col("node") > F.col("_node")
 
-    def pair(x: str) -> tuple[Column, Column]:
-        return F.when(swapped, F.col(f"_{x}")).otherwise(F.col(x)), F.when(swapped, F.col(x)).otherwise(F.col(f"_{x}"))
+def tiled(members: DataFrame) -> DataFrame:
+    """``members`` of buckets with two components, once for each unit (bucket, left, right) of two tiles that meet.
 
-    (a, b), (label_a, label_b) = pair("node"), pair("label")
-    return met.select(a.alias("a"), b.alias("b"), label_a.alias("label_a"), label_b.alias("label_b")).distinct()
+    Tiles of the leader's component have numbers below 0, others from 0 up. No unit has two of the former.
+    """
+    lead = members.filter("node = lead").select("bucket", F.col("label").alias("main"))
+    rows = members.join(lead, "bucket").withColumn("rest", F.col("label") != F.col("main"))
+    sizes = rows.groupBy("bucket").agg(F.count_if("rest").alias("rest_n"), F.count_if(~F.col("rest")).alias("main_n")).filter("rest_n > 0")
+    tiles = {f"{x}_tiles": F.ceil(F.col(f"{x}_n") / TILE).cast("int") for x in ("rest", "main")}
+    rows = rows.join(sizes, "bucket").withColumns(tiles)
+    hashed = F.xxhash64("node", F.lit(2))
+    own = F.when(F.col("rest"), F.pmod(hashed, "rest_tiles")).otherwise(-1 - F.pmod(hashed, "main_tiles")).cast("int")
+    others = F.sequence(F.when(F.col("rest"), -F.col("main_tiles")).otherwise(F.lit(0)), F.col("rest_tiles") - 1)
+    met = rows.withColumn("own", own).withColumn("other", F.explode(others))
+    return met.select("bucket", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right"), "own", "node", "label", "size")
+
+
+def alike(units: DataFrame, known: DataFrame, similarity: int, partitions: int) -> DataFrame:
+    """(a, b, label_a, label_b): pairs of a unit that sizes and signatures do not rule out, in their first common bucket.
+
+    ``known`` has (node, signature, buckets).
+    """
+    least = similarity / 100 + (1 - similarity / 100) / 256
+    enough = int(np.floor(LONG * (least - SURE * np.sqrt(least * (1 - least) / LONG))))
+    fields = [("a", pa.int64()), ("b", pa.int64()), ("label_a", pa.int64()), ("label_b", pa.int64())]
+
+    def pairs(unit: pa.Table) -> Iterator[pa.RecordBatch]:
+        node, label, size, own = (unit.column(c).to_numpy() for c in ("node", "label", "size", "own"))
+        signatures = np.stack([np.frombuffer(x, np.uint8) for x in unit.column("signature").to_pylist()])
+        buckets = np.stack([np.asarray(x, np.int64) for x in unit.column("buckets").to_pylist()])
+        here = buckets == unit.column("bucket")[0].as_py()
+        band = here.argmax(axis=1)
+        within = unit.column("left")[0].as_py() == unit.column("right")[0].as_py()
+        for i in range(len(node)):
+            if not within and own[i] != own.min():
+                continue
+            other = np.arange(i + 1, len(node)) if within else np.flatnonzero(own != own[i])
+            fits = 100 * np.minimum(size[i], size[other]) >= similarity * np.maximum(size[i], size[other])
+            other = other[(label[other] != label[i]) & fits]
+            # Equal bands before this one: the pair is another bucket's.
+            other = other[~(buckets[other, : band[i]] == buckets[i, : band[i]]).any(axis=1)]
+            found = [x[(signatures[x] == signatures[i]).sum(axis=1) >= enough] for x in np.split(other, range(PAIRS, len(other), PAIRS))]
+            if len(other := np.concatenate(found)):
+                swap = node[other] < node[i]
+                a, b = np.where(swap, node[other], node[i]), np.where(swap, node[i], node[other])
+                yield record(fields, a, b, np.where(swap, label[other], label[i]), np.where(swap, label[i], label[other]))
+
+    def run(batches):
+        """A unit at a time; it has some two tiles of members."""
+        taken_over("alike")
+        key, rows = None, []
+        for b in batches:
+            keys = list(zip(*(b.column(c).to_pylist() for c in ("bucket", "left", "right")), strict=True))
+            at = 0
+            while at < len(keys):
+                end = at
+                while end < len(keys) and keys[end] == keys[at]:
+                    end += 1
+                if keys[at] != key:
+                    if rows:
+                        yield from pairs(pa.Table.from_batches(rows))
+                    key, rows = keys[at], []
+                rows.append(b.slice(at, end - at))
+                at = end
+        if rows:
+            yield from pairs(pa.Table.from_batches(rows))
+
+    unit = ["bucket", "left", "right"]
+    ready = units.join(known, "node").repartition(partitions, *unit).sortWithinPartitions(*unit, "node")
+    return ready.mapInArrow(run, "a long, b long, label_a long, label_b long")
 
 
 def relabelled(df: DataFrame, roots: DataFrame) -> DataFrame:
@@ -174,21 +248,19 @@ def labels(docs: DataFrame, sets: DataFrame, shingle: int, similarity: int) -> D
     members = staged(members_of(sets), "bucket-members")
     known = members.select("node").distinct().join(sets, "node")
     full = staged(full_sets(docs, known, shingle), "full-sets")
-    found = staged(full.select("node", F.col("node").alias("label")), "labels")
-    level = 0
-    while not members.isEmpty():
-        pairs = staged(compared(members, level, similarity), "pairs")
-        links = staged(linked(pairs, full, similarity).select("label_a", "label_b").distinct(), "links")
-        if not links.isEmpty():
-            roots = components(links.select(F.col("label_a").alias("u"), F.col("label_b").alias("v")))
-            found = staged(relabelled(found, roots), "labels")
-            members = relabelled(members, roots)
-        # Buckets stay open while they have two components and a leader to come.
-        parted = members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max("level").alias("last"))
-        parted = parted.filter((F.col("low") < F.col("high")) & (F.col("last") > level)).select("bucket")
-        members = staged(members.join(parted, "bucket", "left_semi"), "bucket-members")
-        level += 1
-    return found
+    found = full.select("node", F.col("node").alias("label"))
+    links = staged(linked(led(members, similarity), full, similarity).select("label_a", "label_b").distinct(), "links")
+    if not links.isEmpty():
+        roots = components(links.select(F.col("label_a").alias("u"), F.col("label_b").alias("v")))
+        found, members = staged(relabelled(found, roots), "labels"), relabelled(members, roots)
+    units = staged(tiled(members), "units")
+    if units.isEmpty():
+        return found
+    inside = units.select("node").distinct()
+    signatures = long_signatures(full.join(inside, "node", "left_semi")).join(sets.select("node", "buckets"), "node")
+    pairs = staged(alike(units, signatures, similarity, parts(docs.sparkSession)), "pairs")
+    links = staged(linked(pairs, full, similarity).select("label_a", "label_b").distinct(), "links")
+    return found if links.isEmpty() else relabelled(found, components(links.select(F.col("label_a").alias("u"), F.col("label_b").alias("v"))))
 
 
 def near_duplicates(

@@ -114,15 +114,47 @@ def test_families_near_the_threshold(spark):
     assert got(spark, docs) == plain_rows(docs)
 
 
-def test_every_pair_of_a_bucket_is_compared_or_in_one_component(spark):
-    """Buckets of one coordinate hold nearly everything, and few pairs link: leaders of all rounds are needed."""
+@pytest.mark.parametrize("tile", [1024, 16])
+def test_every_pair_of_a_bucket_is_compared_or_in_one_component(spark, monkeypatch, tile):
+    """Buckets of one coordinate hold nearly everything, and few pairs link: pairs of tiles must find them."""
+    monkeypatch.setattr(minhash, "TILE", tile)
     rng = random.Random(12)
     docs = []
     for i in range(150):
         common = [f"c{j}" for j in range(40)]
         docs.append((i, " ".join(common + [f"u{rng.randrange(30)}x{j}" for j in range(rng.randrange(8, 16))])))
-    docs.append((999, docs[140][1] + " tail"))
-    assert got(spark, docs, bands=60, rows=1) == plain_rows(docs)
+    docs += [(900 + i, docs[140 - 7 * i][1] + " tail") for i in range(9)]
+    want = plain_rows(docs)
+    assert sum(not r[3] for r in want) >= 9
+    assert got(spark, docs, bands=60, rows=1) == want
+
+
+def test_tiles_hold_every_pair_of_two_components_once(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "TILE", 8)
+    rows = [(1, n, 10, 0, 10, 0 if n < 30 else n) for n in range(60)] + [(2, n, 10, 0, 10, 0) for n in range(9)] + [(3, n, 10, 5, 10, n) for n in (5, 6)]
+    members = spark.createDataFrame(rows, "bucket long, node long, size long, lead long, lead_size long, label long")
+    units = {}
+    for r in minhash.tiled(members).collect():
+        units.setdefault((r.bucket, r.left, r.right), []).append((r.node, r.own, r.label))
+    assert all(len(u) < 60 for u in units.values()) and len(units) > 10
+    met = []
+    for (bucket, left, right), unit in units.items():
+        met += [(bucket, *sorted((a[0], b[0]))) for i, a in enumerate(unit) for b in unit[:i] if a[2] != b[2] and (left == right or a[1] != b[1])]
+    want = {(1, a, b) for a in range(60) for b in range(max(30, a + 1), 60)} | {(3, 5, 6)}
+    assert len(met) == len(want) and set(met) == want
+
+
+def test_signatures_rule_out_no_link():
+    """At the threshold the share of equal coordinates stays above the limit; far below it does not reach it."""
+    rng = np.random.default_rng(8)
+    limit = 0.8 + 0.2 / 256 - minhash.SURE * np.sqrt(0.16 / minhash.LONG)
+    for shared, extra, linked in ((80, 10, True), (800, 100, True), (8, 1, True), (400, 200, False)):
+        shares = []
+        for _ in range(60):
+            h = rng.integers(0, 2**64, shared + 2 * extra, dtype=np.uint64)
+            one, other = (minhash.signature(x, minhash.LONG).astype(np.uint8) for x in (h[: shared + extra], np.concatenate((h[:shared], h[shared + extra :]))))
+            shares.append((one == other).mean())
+        assert min(shares) > limit if linked else max(shares) < limit
 
 
 def test_exact_threshold_and_small_sets(spark):
@@ -151,5 +183,5 @@ def test_a_large_group_needs_few_comparisons(spark):
     assert {r[2] for r in rows} == {0}
     signed = staged(minhash.signed(df, 2, 40, 5), "test-signed")
     sets = signed.select("doc_id", "buckets", signed.doc_id.alias("node"), signed.n_shingles.alias("size"))
-    pairs = minhash.compared(minhash.members_of(sets), 0, 80).count()
+    pairs = minhash.led(minhash.members_of(sets), 80).count()
     assert 399 <= pairs < 400 * 40
