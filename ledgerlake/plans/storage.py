@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 # A stored fact is partitioned by this column, the first day of its day, month or year.
 PERIOD = "period_start"
-# Parameter: a bucket of the whole table goes through one task of a join, so grow it with the table. It should
-# not be below spark.sql.shuffle.partitions, or Spark prefers to shuffle both sides.
-BUCKETS = 32
+# Parameter: a bucket of the whole table goes through one task of a join, so grow it with the table, and choose the
+# grain so that a period's bucket is a file of good size. With fewer buckets than spark.sql.shuffle.partitions Spark
+# prefers to shuffle both sides.
+BUCKETS = 8
 
 
 @dataclass(frozen=True)
@@ -27,7 +28,7 @@ class Layout:
     row: str
     day: str = "date_day"
     key: str = "claim_id"
-    grain: str = "month"
+    grain: str = "year"
     buckets: int = BUCKETS
 
     def clauses(self) -> str:

@@ -1,0 +1,131 @@
+"""S1, X1: array files read by many tasks, and files whose names Spark's readers pass over."""
+
+import json
+import random
+
+import pytest
+from conftest import rows
+
+from ledgerlake.session import stage
+from ledgerlake.sources import arrays, events
+
+SPLITS = {"spark.sql.files.maxPartitionBytes": "700", "spark.sql.files.openCostInBytes": "1"}
+
+
+@pytest.fixture
+def small_ranges(spark):
+    for name, value in SPLITS.items():
+        spark.conf.set(name, value)
+    yield
+    for name in SPLITS:
+        spark.conf.unset(name)
+
+
+def records(n, seed=1):
+    """Objects with braces, brackets, commas, quotes and backslashes in strings, nested values, and scalars between."""
+    rng = random.Random(seed)
+    texts = ["}", "{", '"', "\\", '\\"', "],[", "é", "日本", "\n", ",", "plain", '{"a": "}"}', "\\\\", ""]
+    for i in range(n):
+        value = {"id": i, "text": "".join(rng.choices(texts, k=rng.randrange(12))), "deep": {"list": [1, {"x": rng.choice(texts)}, []]}, rng.choice(texts): None}
+        yield rng.choice([value, value, value, i, "}", [1, {"a": 2}], None, True]) if i % 5 == 0 else value
+    yield {"id": "long", "text": "x, {}" * 900}  # longer than several ranges
+    yield {"id": "last"}
+
+
+def found(df):
+    return sorted((r.source_file, r.reject_reason or "", json.dumps(json.loads(r.raw_payload), sort_keys=True) if not r.reject_reason else "") for r in df.collect())
+
+
+@pytest.mark.parametrize("indent", [None, 1])
+def test_ranges_give_the_records_of_the_whole_file(spark, tmp_path, small_ranges, indent):
+    for k in range(3):
+        (tmp_path / f"f{k}.json").write_text("\n " * k + json.dumps(list(records(120, k)), indent=indent, ensure_ascii=k == 1) + " \n" * k, encoding="utf-8")
+    want = sorted((f"f{k}.json", "", json.dumps(r, sort_keys=True)) for k in range(3) for r in records(120, k) if isinstance(r, dict))
+    split = events.read_json_dir(spark, str(tmp_path), split_above=100)
+    assert found(split) == want
+    whole = events.read_json_dir(spark, str(tmp_path))
+    # The payload is the very text that the whole file's reader gives.
+    assert rows(split.select("source_file", "raw_payload")) == rows(whole.select("source_file", "raw_payload"))
+
+
+def test_many_tasks_read_one_file(spark, tmp_path, small_ranges):
+    (tmp_path / "one.json").write_text(json.dumps(list(records(200))))
+    pieces = arrays._pieces(spark, [str(tmp_path / "one.json")])
+    assert pieces.rdd.getNumPartitions() > 20
+    found = stage(arrays.chunks(pieces), "test-chunks")
+    begun = arrays.starts(found).collect()
+    assert len(begun) > 20 and any(s.starts_inside for s in begun) and max(s.depth for s in begun) > 2
+    assert sum(s.bare for s in begun) == 1
+
+
+def test_chunks_of_any_size(spark, tmp_path, monkeypatch):
+    """Chunks far smaller than ranges: strings, elements and brackets lie across many borders."""
+    monkeypatch.setattr(arrays, "CHUNK", 50)
+    (tmp_path / "one.json").write_text(json.dumps(list(records(60))))
+    want = sorted(("one.json", "", json.dumps(r, sort_keys=True)) for r in records(60) if isinstance(r, dict))
+    assert found(events.read_json_dir(spark, str(tmp_path), split_above=100)) == want
+
+
+BROKEN = {
+    "cut.json": '[{"a": 1}, {"b": ',
+    "comma.json": '[{"a": 1},]',
+    "twice.json": '[{"a": 1}][{"b": 2}]',
+    "behind.json": '[{"a": 1}] x',
+    "before.json": 'x [{"a": 1}]',
+    "string.json": '[{"a": "1}]',
+    "closer.json": '[{"a": 1}}',
+    "inner.json": '[{"a": [1}]]',
+    "missing.json": '[{"a": 1} {"b": 2}]',
+    "word.json": '[{"a": nothing}]',
+    "below.json": ']{"a": 1}[',
+    "lead.json": '[,{"a": 1}]',
+}
+SOUND = {
+    "empty.json": ("[ \n ]", []),
+    "object.json": ('{"a": "long' + "g" * 900 + '"}', [{"a": "long" + "g" * 900}]),
+    "one.json": ('[{"a": 1}]', [{"a": 1}]),
+    "scalar.json": ("  12 ", []),
+    "scalars.json": ('[1, "}", null, [{"a": 1}]]', []),
+    "brace.json": ('[{"a": "]}"}, {}]', [{"a": "]}"}, {}]),
+}
+
+
+def test_sound_and_broken_files(spark, tmp_path, small_ranges):
+    """Every file is above the size; what the whole file's reader refuses is refused, and counted once."""
+    padding = '{"pad": "' + "p" * 300 + '"}'
+    for name, text in BROKEN.items():
+        (tmp_path / name).write_text(text.replace('{"a": 1}', padding, 1) if "pad" not in text else text)
+    for name, (text, _) in SOUND.items():
+        (tmp_path / name).write_text(text)
+    want = [(name, "unreadable_file", "") for name in BROKEN]
+    want += [(name, "", json.dumps(r, sort_keys=True)) for name, (_, kept) in SOUND.items() for r in kept]
+    assert found(events.read_json_dir(spark, str(tmp_path), split_above=1)) == sorted(want)
+    assert found(events.read_json_dir(spark, str(tmp_path))) == sorted(want)
+
+
+@pytest.mark.parametrize("split_above", [1 << 20, 10])
+def test_hidden_names_are_read(spark, tmp_path, split_above):
+    names = ["_x.json", ".y.json", "z.json", "_other.txt", "seen.json"]
+    for i, name in enumerate(names):
+        (tmp_path / name).write_text(json.dumps([{"id": i, "more": "text"}]))
+    (tmp_path / "sub.json").mkdir()
+    df = events.read_json_dir(spark, str(tmp_path), split_above=split_above)
+    assert found(df) == sorted((n, "", json.dumps({"id": i, "more": "text"}, sort_keys=True)) for i, n in enumerate(names) if n.endswith(".json"))
+    one = events.read_json_dir(spark, str(tmp_path / ".y.json"))
+    assert [r.source_file for r in one.collect()] == [".y.json"]
+
+
+def test_escapes_decide_what_a_quote_is():
+    import numpy as np
+
+    text = rb'"a\"b" "\\" "\\\"" \\"'
+    expected, inside, escaped = [], False, False
+    for i, c in enumerate(text):
+        if escaped:
+            escaped = False
+        elif c == 92:
+            escaped = True
+        elif c == 34:
+            expected.append(i)
+            inside = not inside
+    assert arrays.quotes_of(np.frombuffer(text, np.uint8)).tolist() == expected

@@ -193,7 +193,7 @@ def test_another_session_reads_the_release_by_its_manifest(spark, landed, tmp_pa
     assert rows(fact.drop("period_start")) == want
     name = publication.releases(spark, folder)[0].tables["gold.fct_claim"]["table"]
     assert storage.buckets_of(spark, name) == storage.BUCKETS
-    assert fact.filter(F.col("period_start") == F.lit(date(2026, 3, 1))).count() == sum(r[4].month == 3 for r in want)
+    assert fact.filter(F.col("period_start") == F.lit(date(2026, 1, 1))).count() == sum(r[4].year == 2026 for r in want) > 0
     cleared(spark, "other_")
 
 
