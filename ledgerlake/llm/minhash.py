@@ -11,7 +11,7 @@ one in ten million, as independent coordinates have it; those of one shifted per
 Pairs of a bucket are not listed. First every member is compared with the bucket's leader, the member with the least hash,
 and what is linked is put together; a group of copies is mostly settled by that. Buckets that still hold two components
 are cut into tiles of bounded size, one kind for the leader's component and one for the rest, and pairs of tiles (not
-of the leader's component among itself) go to tasks. There long signatures are compared, 1024 coordinates of one byte
+of the leader's component among itself) go to tasks. There long signatures are compared, 2048 coordinates of one byte
 from the same two permutations, in the first bucket that two sets share. What agrees as often as sets of the wanted
 similarity do, but for a chance of one in ten million, is verified on the full sets. So every pair of candidates is
 verified, of one component, ruled out by sizes, or ruled out by its signatures, whatever the bucket's size.
@@ -34,7 +34,7 @@ from ledgerlake.operators.joins import left_join_spread
 SHINGLE, SIMILARITY = 2, 80  # words, percent
 BANDS, ROWS = 40, 5
 # Members of a tile, about; coordinates of a long signature; pairs whose signatures are compared at once.
-TILE, LONG, PAIRS = 1024, 1024, 4096
+TILE, LONG, PAIRS = 1024, 2048, 4096
 # Deviations of the share of equal coordinates below which a pair is ruled out.
 SURE = 5.2
 # Positions that are mixed for all shifts at once.
