@@ -87,6 +87,7 @@ class Draft:
 
     def write(self, layer: str, name: str, frame: DataFrame, layout: Layout | None = None) -> DataFrame:
         """Write a table into the release and return it as stored, with the columns it was given."""
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}{layer}")
         path = f"{self.folder}/{RELEASES}/{self.release.name}/{layer}/{name}"
         table = f"{self.prefix}releases.{layer}_{name}_{self.release.name}"
         save(frame, table, path, layout)
