@@ -35,10 +35,17 @@ def keyed_texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """The frame as a table in the cluster's shared folder: computed once, and read again after a lost executor."""
+def staged(df: DataFrame, name: str, free: bool = False) -> DataFrame:
+    """The frame as a table in the cluster's shared folder: computed once, and read again after a lost executor.
+
+    With ``free`` the driver collects its garbage afterwards, upon which Spark removes the shuffle files behind the
+    table; else they stay until the driver happens to.
+    """
     path = scratch_dir(df.sparkSession, f"llm-{name}")
     df.write.option("compression", "zstd").parquet(path)
+    if free:
+        gc.collect()
+        df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -351,7 +351,7 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, grain: int = GRAIN, comm
     light = rows.select("key", "text")
     # Ranges of anchors hold hashes alone, so fewer than the partitions do, and documents get fewer lists.
     ranges = max(LEAST_RANGES, shards // 4)
-    repeats = staged(repeated_anchors(light, ranges, length, grain, common), "repeated-anchors")
+    repeats = staged(repeated_anchors(light, ranges, length, grain, common), "repeated-anchors", free=True)
     lists = own_repeats(light, repeats, ranges, length, grain).groupBy("key").agg(F.collect_list("anchors").alias("anchors"))
     lists = lists.join(later_copies(rows), "key", "full")
 
@@ -374,7 +374,7 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, grain: int = GRAIN, comm
     sorted_out = rows.join(lists, "key", "left").select("doc_id", "text", "anchors", "copied")
     # Numbered as it is written, and read from there: however it is cut into tasks later, a row keeps its number.
     numbered = sorted_out.mapInArrow(sort_out, f"{RESULT}, text binary, anchors binary").withColumn("row", F.monotonically_increasing_id())
-    table = staged(numbered, "with-repeats")
+    table = staged(numbered, "with-repeats", free=True)
     clear = table.filter(F.col("text").isNull()).select("doc_id", "n_words", "n_removed", "kept_sha256")
     open_rows = table.filter(F.col("text").isNotNull())
 
@@ -390,9 +390,9 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, grain: int = GRAIN, comm
                     yield record(fields, *zip(*made, strict=True))
 
     cuts = open_rows.mapInArrow(cut, "row long, document long, start long, route long, passage binary").withColumn("name", F.xxhash64("passage"))
-    cuts = staged(cuts, "passages")  # used twice
+    cuts = staged(cuts, "passages", free=True)  # used twice
     distinct = cuts.groupBy("route", "name", "passage").agg(F.min("document").alias("document"))
-    verdicts = staged(judged(distinct, shards, length), "verdicts")
+    verdicts = staged(judged(distinct, shards, length), "verdicts", free=True)
     # The verdicts meet the places by route and name; Spark splits a hot one.
     removed = (
         cuts.select("row", "document", "start", "route", "name").hint("merge").join(verdicts, ["route", "name"])
