@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import fnmatch
-from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.quarantine import CONTRACTS, UNREADABLE_FILE, validate
-from ledgerlake.session import scratch_dir
 from ledgerlake.sources.arrays import array_records
+from ledgerlake.sources.files import SEEN, is_hidden, listed, visible
 
 # Fixed value: what becomes of a record's origin.
 LINEAGE = ("source_file", "load_id")
@@ -63,27 +61,6 @@ def json_records(files: DataFrame) -> DataFrame:
 
 # Parameter: files with more bytes that hold an array are read by many tasks.
 SPLIT_ABOVE = 256 << 20
-# What stands before the names of copies of files that Spark would not see.
-SEEN = "seen"
-
-
-def _listed(spark: SparkSession, path: str, glob: str) -> list[tuple[str, str, int]]:
-    """(path, name, bytes) of the files of a folder, or of one file, that the pattern takes, whatever their first letter."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = [(s.getPath(), s.getLen()) for s in files.globStatus(at) or [] for s in (files.listStatus(s.getPath()) if s.isDirectory() else [s]) if s.isFile()]
-    return [(p.toString(), p.getName(), size) for p, size in found if fnmatch.fnmatchcase(p.getName(), glob)]
-
-
-def _visible(spark: SparkSession, hidden: Sequence[tuple[str, str, int]]) -> list[str]:
-    """Copies, in the scratch folder and by the file system, of files whose names Spark's readers pass over."""
-    folder, copies = scratch_dir(spark, "hidden"), []
-    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
-    for path, name, _ in hidden:
-        source, target = hadoop.Path(path), hadoop.Path(f"{folder}/{SEEN}{name}")
-        hadoop.FileUtil.copy(source.getFileSystem(conf), source, target.getFileSystem(conf), target, False, conf)
-        copies.append(target.toString())
-    return copies
 
 
 def read_json_dir(spark: SparkSession, path: str, glob: str = "*.json", split_above: int = SPLIT_ABOVE) -> DataFrame:
@@ -92,23 +69,22 @@ def read_json_dir(spark: SparkSession, path: str, glob: str = "*.json", split_ab
     Files whose names start with ``_`` or ``.`` are read like others. An array in a file of more than ``split_above``
     bytes is read by many tasks; such files are scanned when the frame is made, see sources.arrays.
     """
-    listed = _listed(spark, path, glob)
-    hidden = [f for f in listed if f[1].startswith(("_", "."))]
-    large = [f for f in listed if f[2] > split_above and f not in hidden]
-    if not hidden and not large:
+    found = listed(spark, path, glob)
+    hidden = [f for f in found if is_hidden(f)]
+    if not hidden and not any(size > split_above for _, _, size in found):
         return json_records(json_files(spark, path, glob))
-    copies = dict(zip(_visible(spark, hidden), hidden, strict=True)) if hidden else {}
-    sizes = {p: size for p, _, size in listed if not p.rsplit("/", 1)[1].startswith(("_", "."))} | {c: f[2] for c, f in copies.items()}
-    parts, whole = [], [p for p, size in sizes.items() if size <= split_above]
-    if len(whole) < len(sizes):
-        records, others = array_records(spark, [p for p in sizes if sizes[p] > split_above])
+    copies = visible(spark, hidden)
+    readable = [f for f in found if not is_hidden(f)] + copies
+    whole, parts = [p for p, _, size in readable if size <= split_above], []
+    if large := [p for p, _, size in readable if size > split_above]:
+        records, others = array_records(spark, large)
         parts.append(records)
         whole += others
     if whole:
         files = spark.read.format("text").option("wholetext", True).load(whole)
         parts.append(json_records(files.select("value", F.col("_metadata.file_name").alias("source_file"))))
-    name = F.col("source_file")
-    shown = F.when(name.isin([c.rsplit("/", 1)[1] for c in copies] or [""]), F.substring(name, len(SEEN) + 1, 1 << 20)).otherwise(name)
+    name, copied = F.col("source_file"), [n for _, n, _ in copies]
+    shown = F.when(name.isin(copied), F.expr(f"substring(source_file, {len(SEEN) + 1})")).otherwise(name) if copied else name
     return reduce(DataFrame.unionByName, parts).withColumn("source_file", shown)
 
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.parsing import parse_number, parse_us_date, strip
+from ledgerlake.sources.files import SEEN, first_line, is_hidden, listed, visible
 
 # Published column names of the price series and ours.
 PRICE_COLUMNS = {
@@ -21,19 +24,35 @@ PRICE_COLUMNS = {
 
 
 def read_csv_dir(spark: SparkSession, path: str, glob: str = "*.csv", multi_line: bool = True) -> DataFrame:
-    """Every column as text, named by the header. A file whose header differs is an error, not misread.
+    """Every column as text, named by each file's own header: files may have their columns in any order.
 
-    Quoted text may hold line breaks. Without ``multi_line`` it must not, and one huge file can be split.
+    Files are grouped by their first line, which the driver reads, and a group is read at once. A column that a
+    file lacks is NULL in its rows. Quoted text may hold line breaks. Without ``multi_line`` it must not, and one huge
+    file can be split. Files whose names start with ``_`` or ``.`` are read like others.
     """
-    return (
-        spark.read.option("header", True)
-        .option("enforceSchema", False)
-        .option("pathGlobFilter", glob)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .csv(path)
-    )
+
+    def read(*paths: str) -> DataFrame:
+        return (
+            spark.read.option("header", True)
+            .option("enforceSchema", False)
+            .option("pathGlobFilter", glob if paths == (path,) else f"{{{SEEN},}}{glob}")
+            .option("quote", '"')
+            .option("escape", '"')
+            .option("multiLine", multi_line)
+            .csv(list(paths))
+        )
+
+    found = listed(spark, path, glob)
+    hidden = [f for f in found if is_hidden(f)]
+    groups: dict[str, list[str]] = {}
+    for name, _, _ in [f for f in found if not is_hidden(f)] + visible(spark, hidden):
+        header = first_line(spark, name)
+        if header is not None:
+            groups.setdefault(header.removeprefix("\ufeff").rstrip("\r"), []).append(name)
+    if not hidden and len(groups) < 2:
+        return read(path)
+    same = [read(*paths) for paths in groups.values()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), same) if same else read(path)
 
 
 def _text(df: DataFrame, name: str) -> Column:

@@ -15,11 +15,24 @@ def test_s2_all_text_and_quotes(spark, tmp_path):
     assert rows(reference.read_csv_dir(spark, str(tmp_path))) == [("002", None), ("1", 'a "b", c')]
 
 
-def test_s2_a_different_header_is_not_misread(spark, tmp_path):
+def test_s2_columns_go_by_each_files_header(spark, tmp_path):
+    """Files with reordered, missing or further columns, a byte order mark or a hidden name are read by name."""
     (tmp_path / "a.csv").write_text("x,y\n1,2\n")
-    (tmp_path / "b.csv").write_text("y,x\n1,2\n")
-    with pytest.raises(Exception, match="(?i)header"):
-        reference.read_csv_dir(spark, str(tmp_path)).collect()
+    (tmp_path / "b.csv").write_text("y,x\r\n4,3\r\n")
+    (tmp_path / "c.csv").write_text("\ufeffx,y\n5,6\n", encoding="utf-8")
+    (tmp_path / "d.csv").write_text("x,z\n7,8\n")
+    (tmp_path / "_e.csv").write_text("y,x\n10,9\n")
+    (tmp_path / "f.csv").write_text("")
+    df = reference.read_csv_dir(spark, str(tmp_path))
+    assert rows(df.select("x", "y", "z")) == [("1", "2", None), ("3", "4", None), ("5", "6", None), ("7", None, "8"), ("9", "10", None)]
+    assert rows(reference.read_csv_dir(spark, str(tmp_path), "[ab].csv").select("x", "y")) == [("1", "2"), ("3", "4")]
+
+
+def test_s5_prices_of_two_layouts(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("NDC,NADAC Per Unit,As of Date\n1,2.0,01/14/2026\n")
+    (tmp_path / "b.csv").write_text("As of Date,NDC,OTC,NADAC Per Unit\n01/21/2026,1,Y,3.0\n")
+    got = reference.prices(spark, str(tmp_path), "l").select("ndc", "nadac_per_unit", "as_of_date", "is_otc")
+    assert rows(got) == [("1", 2.0, date(2026, 1, 14), False), ("1", 3.0, date(2026, 1, 21), True)]
 
 
 def test_s3_pharmacies(spark, tmp_path):
