@@ -22,7 +22,7 @@ from ledgerlake.plans import assertions, gold, incremental, marts, metrics, publ
 from ledgerlake.session import scratch_dir, stage, tune
 from ledgerlake.sources import events, landing, reference
 from ledgerlake.streaming.quarantine_stream import start_quarantine
-from ledgerlake.streaming.revert_join import claims_with_reverts
+from ledgerlake.streaming.revert_join import claims_with_earliest_revert, claims_with_reverts
 from oracle_queries import NUMBER, ratio, statement, total
 
 CHAIN = "asia"
@@ -1363,7 +1363,7 @@ add(
 FAR_FUTURE = "2100-01-01"
 
 
-def st2(b: Bench) -> DataFrame:
+def streamed(b: Bench, join: Callable[..., DataFrame]) -> DataFrame:
     """Claims and reverts as two streams of files; one late row on each side moves the watermark past all others."""
     late = F.lit(FAR_FUTURE).cast("timestamp_ntz")
     sides = {
@@ -1380,7 +1380,7 @@ def st2(b: Bench) -> DataFrame:
         folder = b.scratch(f"stream-{name}")
         side.unionByName(ends[name].withColumn("claim_id", F.lit("end"))).write.parquet(folder)
         streams[name] = b.spark.readStream.schema(side.schema).parquet(folder)
-    joined = claims_with_reverts(streams["claims"], streams["reverts"], "48 HOURS", "1 hour")
+    joined = join(streams["claims"], streams["reverts"], "48 HOURS", "1 hour")
     target = b.scratch("stream-joined")
     (
         joined.writeStream.format("parquet")
@@ -1391,15 +1391,27 @@ def st2(b: Bench) -> DataFrame:
         .start()
         .awaitTermination()
     )
-    # Which of several reverts comes first is up to their arrival; whether there is one is not.
-    return b.spark.read.parquet(target).filter("claim_id <> 'end'").select("claim_id", "price", "filled_at", "is_reverted")
+    return b.spark.read.schema(joined.schema).parquet(target).filter("claim_id <> 'end'")
 
 
 add(
     "st2_claims_with_reverts",
-    st2,
+    # Which of several reverts comes first is up to their arrival; whether there is one is not.
+    lambda b: streamed(b, claims_with_reverts).select("claim_id", "price", "filled_at", "is_reverted"),
     """select claim_id, price, filled_at, exists (
               select 1 from brz_reverts r where r.claim_id = c.claim_id and r.reverted_at >= c.filled_at
                      and r.reverted_at <= c.filled_at + interval 48 hour) as is_reverted
        from slv_claims c""",
 )
+add(
+    "st2_earliest_revert",
+    lambda b: streamed(b, claims_with_earliest_revert),
+    """select c.claim_id, c.price, c.filled_at, r.revert_id, r.reverted_at, r.claim_id is not null as is_reverted
+       from slv_claims c left join (
+              select s.claim_id, b.revert_id, b.reverted_at,
+                     row_number() over (partition by s.claim_id order by b.reverted_at, b.revert_id) as place
+              from slv_claims s join brz_reverts b
+                   on b.claim_id = s.claim_id and b.reverted_at >= s.filled_at
+                      and b.reverted_at <= s.filled_at + interval 48 hour
+            ) r on r.claim_id = c.claim_id and r.place = 1""",
+)

@@ -10,7 +10,7 @@ from ledgerlake import adapters
 from ledgerlake.operators import checks
 from ledgerlake.plans import assertions, incremental, marts, metrics, reports, warehouse
 from ledgerlake.session import scratch_dir
-from ledgerlake.streaming.revert_join import claims_with_reverts
+from ledgerlake.streaming.revert_join import claims_with_earliest_revert, claims_with_reverts
 
 
 def ts(text):
@@ -426,6 +426,31 @@ def test_st2_one_row_per_claim(spark, tmp_path):
     assert rows(found) == [("early", "valid", True), ("twice", "first", True)]
 
 
+def test_st2_earliest_revert_whatever_the_arrival(spark, tmp_path):
+    """Reverts come in reverse order over three runs, some at one instant; claims wait for the end of their lookback."""
+    claims = [("late", ts("2026-05-01T00:00:00")), ("tied", ts("2026-05-02T00:00:00")), ("none", ts("2026-05-02T00:00:00"))]
+    early, last = ("late", "a", ts("2026-05-01T01:00:00")), ("late", "b", ts("2026-05-01T10:00:00"))
+    reverts = [
+        [last, ("tied", "y", ts("2026-05-02T02:00:00")), ("none", "outside", ts("2026-05-04T00:00:01"))],
+        [early, early, ("tied", "x", ts("2026-05-02T02:00:00")), ("tied", "before", ts("2026-05-01T23:59:59"))],
+        [("end", "end", ts("2030-01-01T00:00:00"))],
+    ]
+    ends = [("end", ts("2030-01-01T00:00:00"))]
+    schemas = {"claims": "claim_id string, filled_at timestamp_ntz", "reverts": "claim_id string, revert_id string, reverted_at timestamp_ntz"}
+    paths = {name: str(tmp_path / name) for name in (*schemas, "out", "checkpoint")}
+    seen = []
+    for step, some in enumerate(reverts):
+        spark.createDataFrame([claims, claims[:1], ends][step], schemas["claims"]).write.mode("append").parquet(paths["claims"])
+        spark.createDataFrame(some, schemas["reverts"]).write.mode("append").parquet(paths["reverts"])
+        streams = [spark.readStream.schema(schema).parquet(paths[name]) for name, schema in schemas.items()]
+        joined = claims_with_earliest_revert(*streams, "48 HOURS", "60 hours")
+        sink = joined.writeStream.format("parquet").option("path", paths["out"]).option("checkpointLocation", paths["checkpoint"])
+        sink.trigger(availableNow=True).start().awaitTermination()
+        seen.append(rows(spark.read.schema(joined.schema).parquet(paths["out"]).filter("claim_id <> 'end'").drop("filled_at")))
+    settled = [("late", "a", early[2], True), ("none", None, None, False), ("tied", "x", ts("2026-05-02T02:00:00"), True)]
+    assert seen == [[], [], settled]
+
+
 @pytest.mark.parametrize("name", ["slv_claims", "fct_claim", "fct_lookup", "dim_drug"])
 def test_making_a_table_starts_no_job(spark, sf_dir, name):
     landing = adapters.Landing(spark, sf_dir)
