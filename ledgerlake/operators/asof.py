@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
-from ledgerlake.operators.joins import fresh, tagged
+from ledgerlake.operators.joins import fresh, spread, tagged
 
 # Steps of the periods that validity intervals are cut into.
 PERIOD_STEPS = {
@@ -50,16 +50,20 @@ def validity_intervals(right: DataFrame, by: str, time: str) -> DataFrame:
 def join_validity(
     left: DataFrame, intervals: DataFrame, by: str, at: str, start: str, until: str, columns: Sequence[str]
 ) -> DataFrame:
-    """Left join each row to the interval of its key that holds ``at``; intervals must not overlap."""
+    """Left join each row to the interval of its key that holds ``at``; intervals must not overlap.
+
+    A key that holds much of the left side, or none in most rows, is spread over tasks.
+    """
     right = intervals.select(
         tagged(F.col(by)).alias("_by"), F.col(start).alias("_from"), F.col(until).alias("_until"), *fresh(columns)
     )
     matches = (
-        (tagged(F.col(by)) == F.col("_by"))
+        (F.col("_key") == F.col("_by"))
         & (F.col(at) >= F.col("_from"))
         & (F.col("_until").isNull() | (F.col(at) < F.col("_until")))
     )
-    return left.join(right, matches, "left").drop("_by", "_from", "_until")
+    keyed = left.withColumn("_key", spread(F.col(by)))
+    return keyed.join(right, matches, "left").drop("_key", "_by", "_from", "_until")
 
 
 def asof_join(

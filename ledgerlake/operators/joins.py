@@ -25,17 +25,25 @@ def tagged(key: Column) -> Column:
     return F.concat(F.lit("k"), key.cast("string"))
 
 
-def left_join_spread(
-    left: DataFrame, right: DataFrame, key: str, columns: Sequence[str], matched: str = "_matched"
-) -> DataFrame:
-    """Left join to a table with one row per key; adds ``columns`` and whether there was a match.
+def spread(key: Column) -> Column:
+    """The tagged key, or a stand-in for a NULL, for the left side of a left join.
 
     Hot keys are split by AQE. NULL keys, which a plain left join hashes to one task, go to all tasks
     under stand-ins that no tagged key equals. A stand-in depends on the number of the map task only,
     so a rerun of a lost task sends the same rows to the same place.
     """
     stand_in = F.concat(F.lit("n"), F.pmod(F.spark_partition_id(), F.lit(SPREAD)).cast("string"))
-    keyed = left.withColumn("_join_key", F.coalesce(tagged(F.col(key)), stand_in))
+    return F.coalesce(tagged(key), stand_in)
+
+
+def left_join_spread(
+    left: DataFrame, right: DataFrame, key: str, columns: Sequence[str], matched: str = "_matched"
+) -> DataFrame:
+    """Left join to a table with one row per key; adds ``columns`` and whether there was a match.
+
+    Hot and NULL keys are spread, see spread().
+    """
+    keyed = left.withColumn("_join_key", spread(F.col(key)))
     other = right.select(tagged(F.col(key)).alias("_join_key"), *fresh(columns), F.lit(True).alias(matched))
     return (
         keyed.join(other, "_join_key", "left")

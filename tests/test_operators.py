@@ -251,6 +251,27 @@ def test_p3_history(spark):
     assert rows(joined) == [("a", date(2026, 2, 28), 50.0), ("a", date(2026, 3, 1), 80.0), ("z", days[0], None), (None, days[0], None)]
 
 
+def test_p3_absent_and_hot_keys_are_spread(spark, small_sizes):
+    """Nine rows in ten have no key: no task gets most of them, and every row keeps its answer."""
+    asked = spark.range(0, 40000, 1, 8).select(
+        "id",
+        F.when(F.col("id") % 10 == 0, F.concat(F.lit("p"), (F.col("id") % 4).cast("string"))).alias("k"),
+        F.expr("date'2026-01-01' + cast(id % 80 as int)").alias("at"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+    )
+    turn = date(2026, 2, 1)
+    terms = [("p0", date(2025, 1, 1), turn, 1.0), ("p0", turn, None, 2.0), ("p1", turn, None, 3.0), (None, turn, None, 9.0)]
+    history = spark.createDataFrame(terms, "k string, valid_from date, valid_to date, v double")
+    joined = asof.join_validity(asked, history, "k", "at", "valid_from", "valid_to", ["v"])
+    sizes = [r["count"] for r in joined.select("payload", "v", F.spark_partition_id().alias("task")).groupBy("task").count().collect()]
+    assert sum(sizes) == 40000 and max(sizes) < 20000
+    assert joined.columns == [*asked.columns, "v"]
+    for r in joined.collect():
+        assert r.v == ((1.0 if r.at < turn else 2.0) if r.k == "p0" else None)
+    hot = asked.withColumn("k", F.when(F.col("id") % 3 == 0, "p0").otherwise(F.col("id").cast("string")))
+    assert "skew=true" in final_plan(asof.join_validity(hot, history, "k", "at", "valid_from", "valid_to", ["v"]))
+
+
 def test_a8_quintiles_of_a_crowded_column(spark):
     rng = random.Random(7)
     data = [(5.0 if i % 3 == 0 else rng.choice([-2.5, 4.999, rng.random() * 1e6]), rng.random()) for i in range(900)]
