@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions.money import count_true, percent
 from ledgerlake.operators import checks
+from ledgerlake.operators.joins import left_join_spread
 from ledgerlake.plans.gold import COST_PAIRS, FEE_PAIRS
 
 # Tolerances.
@@ -44,12 +45,18 @@ def reconciliation(brz_claims: DataFrame, resolved: DataFrame, slv_claims: DataF
     Holds under either policy: duplicates are the rows the policy removed, and scope is judged on the
     rows it left. ``resolved`` is bronze after the collision policy.
     """
-    foreign = resolved.join(pharmacies.select("npi"), "npi", "left_anti")
-    return brz_claims.agg(_rows().alias("bronze_rows")).select(
-        "bronze_rows",
-        _count(slv_claims).alias("silver_rows"),
-        (F.col("bronze_rows") - _count(resolved)).alias("duplicate_rows"),
-        _count(foreign).alias("out_of_scope_rows"),
+    in_scope = left_join_spread(resolved, pharmacies.select("npi").distinct(), "npi", [], "_in_scope")
+    # One pass counts what the policy left and what of it is out of scope.
+    left = in_scope.agg(F.struct(_rows().alias("rows"), F.count_if(~F.col("_in_scope")).alias("foreign")))
+    return (
+        brz_claims.agg(_rows().alias("bronze_rows"))
+        .select("bronze_rows", _count(slv_claims).alias("silver_rows"), left.scalar().alias("_left"))
+        .select(
+            "bronze_rows",
+            "silver_rows",
+            (F.col("bronze_rows") - F.col("_left.rows")).alias("duplicate_rows"),
+            F.col("_left.foreign").alias("out_of_scope_rows"),
+        )
     )
 
 

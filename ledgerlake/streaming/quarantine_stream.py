@@ -22,8 +22,8 @@ def start_quarantine(
 ) -> StreamingQuery:
     """Validate every file not seen before and store clean and refused records; ends when caught up.
 
-    A large backlog is taken in batches of ``files_per_batch``. The batch number is the load id. A batch that is run again after a failure overwrites its own
-    partitions, so records are stored once.
+    A large backlog is taken in batches of ``files_per_batch``. The batch number is the load id. A batch that is run
+    again after a failure overwrites its own partitions, so records are stored once.
     """
     validated = validate(json_records(json_files(spark, path, glob, True, files_per_batch)), CONTRACTS[stream])
 
