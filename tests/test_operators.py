@@ -303,3 +303,11 @@ def test_t1_to_t5(spark):
     assert rows(checks.relationships(df, "k", parent, "id")) == [("b", 1)]
     assert rows(checks.accepted_values(df, "k", ["a"])) == [("b", 1)]
     assert rows(checks.unique_combination(df, ["k", "v"])) == [(None, 1, 2)]
+
+
+def test_j5_prices_are_not_broadcast(spark):
+    """The size that Spark guesses for the right side knows nothing of the ranges that are made of its rows."""
+    days = spark.range(3).select(F.lit("a").alias("k"), F.expr("date_add(date'2026-01-01', cast(id as int))").alias("d"), "id")
+    got = asof.asof_join(days.select("k", "d"), days, "k", "d", "d", ["id"], "quarter")
+    assert "BroadcastExchange" not in plan_of(got)
+    assert rows(got.select("id")) == [(0,), (1,), (2,)]
