@@ -7,7 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.quarantine import CLAIMS, CONTRACTS, LOOKUPS, REVERTS, clean_rows, reject_rows, validate
-from ledgerlake.sources import events, landing
+from ledgerlake.sources import events, files, landing
 from ledgerlake.streaming.quarantine_stream import start_quarantine
 
 CLAIM = {
@@ -182,3 +182,14 @@ def test_st1_in_small_batches(spark, folder, tmp_path):
 
 def test_contracts_name_every_stream():
     assert set(CONTRACTS) == set(landing.EVENT_SOURCES)
+
+
+def test_a_folder_is_not_listed_by_the_driver(spark, tmp_path, monkeypatch):
+    """Only a folder with a hidden or a large file is gone through name by name."""
+    (tmp_path / "a.json").write_text('[{"id":"1"}]')
+    (tmp_path / "_b.txt").write_text("no record")
+    listed = []
+    monkeypatch.setattr(events, "listed", lambda *a: listed.append(a) or files.listed(*a))
+    assert events.read_json_dir(spark, str(tmp_path)).count() == 1 and not listed
+    (tmp_path / "_c.json").write_text('{"id":"2"}')
+    assert events.read_json_dir(spark, str(tmp_path)).count() == 2 and listed
