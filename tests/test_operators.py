@@ -311,3 +311,10 @@ def test_j5_prices_are_not_broadcast(spark):
     got = asof.asof_join(days.select("k", "d"), days, "k", "d", "d", ["id"], "quarter")
     assert "BroadcastExchange" not in plan_of(got)
     assert rows(got.select("id")) == [(0,), (1,), (2,)]
+
+
+def test_l1_sizes_are_not_made_for_their_sum(spark, tmp_path):
+    spark.range(100).select((F.col("id") % 90).alias("key"), "id").write.parquet(str(tmp_path / "rows"))
+    unique = collisions.rows_with_unique_key(spark.read.parquet(str(tmp_path / "rows")), "key", hot_rows=1)
+    assert len(rows(unique)) == 80
+    assert "sum(_n" not in plan_of(unique)
