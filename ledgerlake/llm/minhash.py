@@ -8,8 +8,9 @@ costs one mixing of a scattered position, and no hash functions of its own.
 confirmed on the two full sets. At the threshold of 0.8 a pair shares none of 40 bands of 5 with a chance of about
 one in ten million, as independent coordinates have it; those of one shifted permutation vary less.
 
-Pairs of a bucket are not listed. First every member is compared with the bucket's leader, the member with the least hash,
-and what is linked is put together; a group of copies is mostly settled by that. Buckets that still hold two components
+Pairs of a bucket are not listed. A bucket's leader is the member with the least hash. First every member is compared with
+one of its leaders, and what is linked is put together; a group of copies is mostly settled by that. Then members are
+compared with all their leaders of other components. Buckets that still hold two components
 are cut into tiles of bounded size, one kind for the leader's component and one for the rest, and pairs of tiles (not
 of the leader's component among itself) go to tasks. There long signatures are compared, 2048 coordinates of one byte
 from the same two permutations, in the first bucket that two sets share. What agrees as often as sets of the wanted
@@ -154,6 +155,27 @@ def led(members: DataFrame, similarity: int) -> DataFrame:
     return pairs.withColumns({"label_a": F.col("a"), "label_b": F.col("b")})
 
 
+def led_first(members: DataFrame, similarity: int) -> DataFrame:
+    """(a, b, label_a, label_b): every member with one of its buckets' leaders, the one of the least hash.
+
+    Near copies of a large group share buckets with the same leader, so a comparison each settles most of them.
+    """
+    fits = 100 * F.least("size", "lead_size") >= similarity * F.greatest("size", "lead_size")
+    met = members.filter((F.col("node") != F.col("lead")) & fits).select("node", F.struct(F.xxhash64("lead").alias("place"), "lead").alias("led"))
+    one = met.groupBy("node").agg(F.min("led").alias("led")).select("node", F.col("led.lead").alias("lead"))
+    pairs = one.select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
+    return pairs.withColumns({"label_a": F.col("a"), "label_b": F.col("b")})
+
+
+def apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """The pairs (a, b) of two components, with their labels."""
+    pairs = pairs.select("a", "b")
+    for side in "ab":
+        named = found.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}"))
+        pairs = left_join_spread(pairs, named, side, [f"label_{side}"]).drop("_matched")
+    return pairs.filter("label_a <> label_b")
+
+
 def long_signatures(full: DataFrame) -> DataFrame:
     """(node, signature): a byte of each of LONG coordinates."""
     fields = [("node", pa.int64()), ("signature", pa.binary())]
@@ -183,13 +205,14 @@ def tiled(members: DataFrame) -> DataFrame:
 
 
 def alike(units: DataFrame, known: DataFrame, similarity: int, partitions: int) -> DataFrame:
-    """(a, b, label_a, label_b): pairs of a unit that sizes and signatures do not rule out, in their first common bucket.
+    """(a, b, label_a, label_b, equal): pairs of a unit that sizes and signatures do not rule out, in their first common
+    bucket, and how many coordinates agree.
 
     ``known`` has (node, signature, buckets).
     """
     least = similarity / 100 + (1 - similarity / 100) / 256
     enough = int(np.floor(LONG * (least - SURE * np.sqrt(least * (1 - least) / LONG))))
-    fields = [("a", pa.int64()), ("b", pa.int64()), ("label_a", pa.int64()), ("label_b", pa.int64())]
+    fields = [("a", pa.int64()), ("b", pa.int64()), ("label_a", pa.int64()), ("label_b", pa.int64()), ("equal", pa.int64())]
 
     def pairs(unit: pa.Table) -> Iterator[pa.RecordBatch]:
         node, label, size, own = (unit.column(c).to_numpy() for c in ("node", "label", "size", "own"))
@@ -206,11 +229,12 @@ def alike(units: DataFrame, known: DataFrame, similarity: int, partitions: int)
             other = other[(label[other] != label[i]) & fits]
             # Equal bands before this one: the pair is another bucket's.
             other = other[~(buckets[other, : band[i]] == buckets[i, : band[i]]).any(axis=1)]
-            found = [x[(signatures[x] == signatures[i]).sum(axis=1) >= enough] for x in np.split(other, range(PAIRS, len(other), PAIRS))]
-            if len(other := np.concatenate(found)):
+            equal = np.concatenate([(signatures[x] == signatures[i]).sum(axis=1) for x in np.split(other, range(PAIRS, len(other), PAIRS))])
+            other, equal = other[equal >= enough], equal[equal >= enough]
+            if len(other):
                 swap = node[other] < node[i]
                 a, b = np.where(swap, node[other], node[i]), np.where(swap, node[i], node[other])
-                yield record(fields, a, b, np.where(swap, label[other], label[i]), np.where(swap, label[i], label[other]))
+                yield record(fields, a, b, np.where(swap, label[other], label[i]), np.where(swap, label[i], label[other]), equal)
 
     def run(batches):
         """A unit at a time; it has some two tiles of members."""
@@ -234,7 +258,22 @@ def alike(units: DataFrame, known: DataFrame, similarity: int, partitions: int)
 
     unit = ["bucket", "left", "right"]
     ready = units.join(known, "node").repartition(partitions, *unit).sortWithinPartitions(*unit, "node")
-    return ready.mapInArrow(run, "a long, b long, label_a long, label_b long")
+    return ready.mapInArrow(run, "a long, b long, label_a long, label_b long, equal long")
+
+
+def likeliest(pairs: DataFrame) -> DataFrame:
+    """Of the pairs of any two components the one whose signatures agree most."""
+    best = pairs.groupBy(F.least("label_a", "label_b").alias("u"), F.greatest("label_a", "label_b").alias("v"))
+    return best.agg(F.max(F.struct("equal", "a", "b", "label_a", "label_b")).alias("best")).select("best.a", "best.b", "best.label_a", "best.label_b")
+
+
+def still_apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """(label_a, label_b) of pairs whose components the roots do not put together."""
+    kinds = pairs.select("label_a", "label_b").distinct()
+    for side in "ab":
+        named = kinds.withColumn("label", F.col(f"label_{side}"))
+        kinds = relabelled(named, roots).withColumnRenamed("label", f"root_{side}")
+    return kinds.filter("root_a <> root_b").select("label_a", "label_b")
 
 
 def relabelled(df: DataFrame, roots: DataFrame) -> DataFrame:
@@ -249,17 +288,23 @@ def labels(docs: DataFrame, sets: DataFrame, shingle: int, similarity: int) -> D
     known = members.select("node").distinct().join(sets, "node")
     full = staged(full_sets(docs, known, shingle), "full-sets")
     found = full.select("node", F.col("node").alias("label"))
-    links = staged(linked(led(members, similarity), full, similarity).select("label_a", "label_b").distinct(), "links")
-    if not links.isEmpty():
-        roots = components(links.select(F.col("label_a").alias("u"), F.col("label_b").alias("v")))
-        found, members = staged(relabelled(found, roots), "labels"), relabelled(members, roots)
+    for pairs in (led_first, lambda *x: apart(led(*x), found)):
+        links = staged(linked(pairs(members, similarity), full, similarity).select("label_a", "label_b").distinct(), "links")
+        if not links.isEmpty():
+            roots = components(links.select(F.col("label_a").alias("u"), F.col("label_b").alias("v")))
+            found, members = staged(relabelled(found, roots), "labels"), relabelled(members, roots)
     units = staged(tiled(members), "units")
     if units.isEmpty():
         return found
     inside = units.select("node").distinct()
     signatures = long_signatures(full.join(inside, "node", "left_semi")).join(sets.select("node", "buckets"), "node")
     pairs = staged(alike(units, signatures, similarity, parts(docs.sparkSession)), "pairs")
-    links = staged(linked(pairs, full, similarity).select("label_a", "label_b").distinct(), "links")
+    # One pair of any two components first: most are linked by it, and their other pairs need no more.
+    links = staged(linked(likeliest(pairs), full, similarity).select("label_a", "label_b").distinct(), "links")
+    if not links.isEmpty():
+        roots = components(links.select(F.col("label_a").alias("u"), F.col("label_b").alias("v")))
+        pairs = pairs.join(still_apart(pairs, roots), ["label_a", "label_b"], "left_semi")
+    links = staged(linked(pairs, full, similarity).select("label_a", "label_b").distinct().unionByName(links), "links")
     return found if links.isEmpty() else relabelled(found, components(links.select(F.col("label_a").alias("u"), F.col("label_b").alias("v"))))
 
 

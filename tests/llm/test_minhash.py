@@ -185,3 +185,30 @@ def test_a_large_group_needs_few_comparisons(spark):
     sets = signed.select("doc_id", "buckets", signed.doc_id.alias("node"), signed.n_shingles.alias("size"))
     pairs = minhash.led(minhash.members_of(sets), 80).count()
     assert 399 <= pairs < 400 * 40
+
+
+def test_a_large_group_is_verified_by_few_pairs(spark, monkeypatch):
+    """Near copies of one text, and of another near the threshold to it: pairs on full sets grow with the rows, not with their square."""
+    rng = random.Random(14)
+    base = [f"b{i}" for i in range(100)]
+    far = [*base[:60], *(f"f{i}" for i in range(5)), *base[66:]]
+    docs = [(i, " ".join([*half[:k], f"n{i}", *half[k:]])) for i, k in enumerate(rng.choices(range(90), k=300)) for half in ((base, far)[i % 2],)]
+    seen, linked = [], minhash.linked
+
+    def counted(pairs, sets, similarity):
+        pairs = staged(pairs, "test-pairs")
+        seen.append(pairs.count())
+        return linked(pairs, sets, similarity)
+
+    monkeypatch.setattr(minhash, "linked", counted)
+    assert got(spark, docs) == plain_rows(docs)
+    assert sum(seen) < 4 * len(docs)
+
+
+def test_one_pair_for_two_components(spark):
+    """The likeliest pair of two components, whichever way round; the pairs of components that roots join fall away."""
+    rows = [(1, 5, 10, 20, 7), (2, 6, 10, 20, 9), (3, 7, 20, 10, 8), (1, 8, 10, 30, 1)]
+    pairs = spark.createDataFrame(rows, "a long, b long, label_a long, label_b long, equal long")
+    assert sorted(map(tuple, minhash.likeliest(pairs).collect())) == [(1, 8, 10, 30), (2, 6, 10, 20)]
+    roots = spark.createDataFrame([(20, 10)], "node long, root long")
+    assert [tuple(r) for r in minhash.still_apart(pairs, roots).collect()] == [(10, 30)]
