@@ -118,3 +118,12 @@ def test_another_number_of_cores_changes_nothing(spark, tmp_path):
 
 def test_empty_table(spark):
     assert got(substrings.deduplicated(spark.createDataFrame([], "doc_id long, text string"))) == []
+
+
+def test_passages_are_done_with_when_texts_move(spark):
+    """The shuffles of passages and of texts do not lie on disk together: what is removed is written between."""
+    line = " ".join(f"w{i}" for i in range(20))
+    docs = spark.createDataFrame([(1, line), (2, f"x {line} y")], "doc_id long, text string")
+    got = substrings.deduplicated(docs)
+    assert not any("llm-passages" in f or "llm-verdicts" in f for f in got.inputFiles())
+    assert sorted((r.doc_id, r.n_removed) for r in got.collect()) == [(1, 0), (2, 20)]
