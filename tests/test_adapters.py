@@ -2,7 +2,7 @@
 
 from datetime import datetime
 
-from conftest import rows
+from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
 import benchmark_queries
@@ -47,3 +47,10 @@ def test_a_stream_builds_each_side_once(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(benchmark_queries.Bench, "slv_reverts", property(lambda self: 1 / 0))
     got = benchmark_queries.QUERIES["st2_earliest_revert"](spark, sf_dir)
     assert rows(got.select("claim_id")) == want
+
+
+def test_customers_of_lookups_are_not_broadcast(spark, sf_dir):
+    """The size that Spark guesses from compressed files is far below that of the rows."""
+    lookups = adapters.lookups(spark, sf_dir)
+    assert "BroadcastExchange" not in plan_of(lookups)
+    assert lookups.count() == adapters.table(spark, sf_dir, "orders").count()
