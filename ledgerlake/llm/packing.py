@@ -27,8 +27,8 @@ from ledgerlake.llm.common import held, map_rows, parts, record, span_hashes, st
 LENGTH = 2048
 END_ID = 1
 DIMENSIONS, BITS = 4, 12
-# Words whose ids a worker process remembers at most, between batches.
-REMEMBERED = 300_000
+# Words whose ids a worker process remembers at most, between batches: some 40 bytes each.
+REMEMBERED = 1_000_000
 # Bytes of text whose words are looked up together.
 AT_ONCE = 4 << 20
 # Marks that no character combines with and no letter pattern of the tokenizer starts with.
@@ -91,8 +91,8 @@ class WordIds:
 
     The tokenizer drops white space and never looks across it. Nor does it look from a letter or digit to a
     mark after it, so a word that ends in such marks is the word without them and the marks. Capital ASCII
-    letters have the ids of small ones. Words are known by their 64-bit hash; a batch's ids are copied from
-    the learned ones by array operations.
+    letters have the ids of small ones. Words are known by their 64-bit hash, in order; a batch's ids are copied
+    from the learned ones by array operations.
     """
 
     def __init__(self, tokenizer: str) -> None:
@@ -107,7 +107,6 @@ class WordIds:
         # Ids that end a word; letters alone have one, at their end.
         self.ending = np.zeros(n, dtype=bool)
         self.ending[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.place: dict[int, int] = {}
         self.hashes = np.zeros(0, dtype=np.uint64)
         self.ids = np.zeros(0, dtype=self.dtype)
         self.start, self.size, self.met = (np.zeros(0, dtype=np.int64) for _ in range(3))
@@ -119,7 +118,13 @@ class WordIds:
         self.ids = self.ids[ranges(start, self.size)]
         self.start = np.cumsum(self.size) - self.size
         self.met = np.ones(len(self.size), dtype=np.int64)
-        self.place = dict(zip(self.hashes.tolist(), range(len(self.size)), strict=True))
+
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """Where words are, by their hashes; -1 for those not learned."""
+        at = np.searchsorted(self.hashes, hashes)
+        known = at < len(self.hashes)
+        known[known] = self.hashes[at[known]] == hashes[known]
+        return np.where(known, at, -1)
 
     def encoded(self, parts: list[str]) -> dict[str, bytes]:
         """The ids of parts of words, by the tokenizer. Letters go many words to a call, split where a word ends."""
@@ -152,24 +157,22 @@ class WordIds:
         key = core.lower() if core.isascii() else core
         return (key, word[len(core) :]) if len(core) < len(word) else (key,)
 
-    def learn(self, hashes: np.ndarray, words: list[str]) -> np.ndarray:
-        """The places of new words."""
+    def learn(self, hashes: np.ndarray, words: list[str]) -> None:
+        """Put new words among the known ones; both are in the order of their hashes."""
         parts = [self.parted(w) for w in words]
         ids = self.encoded(list(set(chain.from_iterable(parts))))
         made = [ids[ps[0]] if len(ps) == 1 else ids[ps[0]] + ids[ps[1]] for ps in parts]
         size = np.fromiter(map(len, made), dtype=np.int64, count=len(made)) // self.dtype.itemsize
-        places = np.arange(len(self.size), len(self.size) + len(words))
-        self.hashes = np.concatenate((self.hashes, hashes))
-        self.start = np.concatenate((self.start, len(self.ids) + np.cumsum(size) - size))
-        self.size = np.concatenate((self.size, size))
-        self.met = np.concatenate((self.met, np.zeros(len(words), dtype=np.int64)))
+        at = np.searchsorted(self.hashes, hashes)
+        self.hashes = np.insert(self.hashes, at, hashes)
+        self.start = np.insert(self.start, at, len(self.ids) + np.cumsum(size) - size)
+        self.size = np.insert(self.size, at, size)
+        self.met = np.insert(self.met, at, 0)
         self.ids = np.concatenate((self.ids, np.frombuffer(b"".join(made), dtype=self.dtype)))
-        self.place.update(zip(hashes.tolist(), places.tolist(), strict=True))
-        return places
 
     def ids_of(self, texts: list[bytes], end_id: int) -> list[np.ndarray]:
         """Each text's ids and the end id."""
-        if len(self.place) > REMEMBERED:
+        if len(self.hashes) > REMEMBERED:
             self.forget()
         joined, at = b"\n".join(texts), 0
         hashes, starts, ends = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -181,11 +184,12 @@ class WordIds:
             at += len(data)
         starts, ends = np.concatenate(starts), np.concatenate(ends)
         kinds, first, which = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
-        places = np.fromiter((self.place.get(k, -1) for k in kinds.tolist()), dtype=np.int64, count=len(kinds))
+        places = self.places(kinds)
         new = np.flatnonzero(places < 0)
         if len(new):
             spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)
-            places[new] = self.learn(kinds[new], [joined[a:b].decode() for a, b in spans])
+            self.learn(kinds[new], [joined[a:b].decode() for a, b in spans])
+            places = self.places(kinds)
         self.met[places] += 1
         word = places[which]
         size = self.size[word]

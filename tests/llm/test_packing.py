@@ -73,3 +73,24 @@ def test_similar_documents_are_neighbours():
     keys = packing.hilbert(packing.cells(np.stack([packing.projection(d, table) for t in topics for d in t])), packing.BITS)
     topic = np.repeat(np.arange(10), 30)[np.argsort(keys)]
     assert (topic[1:] == topic[:-1]).mean() > 0.5  # 0.1 by chance
+
+
+def test_many_words_are_learned_once(monkeypatch):
+    """Words of a batch are known in the next, and words that were forgotten are learned again, with the same ids."""
+    with open(PATH, encoding="utf-8") as f:
+        source = f.read()
+    texts = [" ".join(f"w{i}" for i in range(n, n + 1000)).encode() for n in range(0, 310_000, 1000)]
+    known, learned = packing.WordIds(source), []
+    learn = known.learn
+    monkeypatch.setattr(known, "learn", lambda hashes, words: (learned.append(len(words)), learn(hashes, words))[1])
+    first, again = known.ids_of(texts, 1), known.ids_of(texts, 1)
+    assert learned == [310_000]
+    monkeypatch.setattr(packing, "REMEMBERED", 10)
+    some = [texts[5] + b" new", b"w1 w309999 other", b""]
+    known.forget()
+    known.met[:] = np.arange(len(known.met)) % 3  # two thirds are dropped
+    got = known.ids_of(some, 1)
+    assert len(known.hashes) < 150_000 and (np.diff(known.hashes.astype(float)) >= 0).all()
+    tokenizer = Tokenizer.from_str(source)
+    assert [g.tolist() for g in got] == [tokenizer.encode(t.decode(), add_special_tokens=False).ids + [1] for t in some]
+    assert all((a == b).all() for a, b in zip(first, again, strict=True))
