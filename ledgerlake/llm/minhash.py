@@ -14,14 +14,16 @@ compared with all their leaders of other components. Buckets that still hold two
 are cut into tiles of bounded size, one kind for the leader's component and one for the rest, and pairs of tiles (not
 of the leader's component among itself) go to tasks. There long signatures are compared, 2048 coordinates of one byte
 from the same two permutations, in the first bucket that two sets share. What agrees as often as sets of the wanted
-similarity do, but for a chance of one in ten million, is verified on the full sets. So every pair of candidates is
-verified, of one component, ruled out by sizes, or ruled out by its signatures, whatever the bucket's size.
+similarity do, but for a chance of one in ten million, is a candidate. A task returns only pairs that put its candidates
+together, the likeliest ones, and these are verified on the full sets. Where that leaves some of a pair of tiles apart,
+they go to a task once more with their full sets, which verifies their candidates until they are together. So every
+pair of candidates is verified, of one component, ruled out by sizes, or ruled out by its signatures, whatever the
+bucket's size, and what a task returns grows with its members, not with their square.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +36,8 @@ from ledgerlake.operators.joins import left_join_spread
 
 SHINGLE, SIMILARITY = 2, 80  # words, percent
 BANDS, ROWS = 40, 5
-# Members of a tile, about; coordinates of a long signature; pairs whose signatures are compared at once.
-TILE, LONG, PAIRS = 1024, 2048, 4096
+# Members of a tile, and their shingles, about; coordinates of a long signature; pairs whose signatures are compared at once.
+TILE, TILE_SHINGLES, LONG, PAIRS = 1024, 1 << 21, 2048, 4096
 # Deviations of the share of equal coordinates below which a pair is ruled out.
 SURE = 5.2
 # Positions that are mixed for all shifts at once.
@@ -194,8 +196,10 @@ def tiled(members: DataFrame) -> DataFrame:
     """
     lead = members.filter("node = lead").select("bucket", F.col("label").alias("main"))
     rows = members.join(lead, "bucket").withColumn("rest", F.col("label") != F.col("main"))
-    sizes = rows.groupBy("bucket").agg(F.count_if("rest").alias("rest_n"), F.count_if(~F.col("rest")).alias("main_n")).filter("rest_n > 0")
-    tiles = {f"{x}_tiles": F.ceil(F.col(f"{x}_n") / TILE).cast("int") for x in ("rest", "main")}
+    kinds = {"rest": F.col("rest"), "main": ~F.col("rest")}
+    counts = [f(F.when(of, F.col("size"))).alias(f"{x}_{n}") for x, of in kinds.items() for n, f in (("n", F.count), ("shingles", F.sum))]
+    sizes = rows.groupBy("bucket").agg(*counts).filter("rest_n > 0")
+    tiles = {f"{x}_tiles": F.ceil(F.greatest(F.col(f"{x}_n") / TILE, F.col(f"{x}_shingles") / TILE_SHINGLES)).cast("int") for x in kinds}
     rows = rows.join(sizes, "bucket").withColumns(tiles)
     hashed = F.xxhash64("node", F.lit(2))
     own = F.when(F.col("rest"), F.pmod(hashed, "rest_tiles")).otherwise(-1 - F.pmod(hashed, "main_tiles")).cast("int")
@@ -205,60 +209,92 @@ def tiled(members: DataFrame) -> DataFrame:
 
 
 def alike(units: DataFrame, known: DataFrame, similarity: int, partitions: int) -> DataFrame:
-    """(a, b, label_a, label_b, equal): pairs of a unit that sizes and signatures do not rule out, in their first common
-    bucket, and how many coordinates agree.
+    """(bucket, left, right, a, b, label_a, label_b, equal): pairs that put together what a unit's candidates put together.
 
-    ``known`` has (node, signature, buckets).
+    Candidates are pairs of two labels that sizes and signatures do not rule out, in their first common bucket; ``equal``
+    is how many coordinates agree. Of the candidates that would put the same two parts of a unit together the likeliest
+    one is returned, so a unit has fewer pairs than labels.
+
+    ``known`` has (node, signature, buckets). If it has ``shingles`` too, candidates are confirmed on these sets, each
+    until its two labels are together: the pairs are links then, and no link of the unit is missed by them.
     """
     least = similarity / 100 + (1 - similarity / 100) / 256
     enough = int(np.floor(LONG * (least - SURE * np.sqrt(least * (1 - least) / LONG))))
-    fields = [("a", pa.int64()), ("b", pa.int64()), ("label_a", pa.int64()), ("label_b", pa.int64()), ("equal", pa.int64())]
-
-    def pairs(unit: pa.Table) -> Iterator[pa.RecordBatch]:
-        node, label, size, own = (unit.column(c).to_numpy() for c in ("node", "label", "size", "own"))
-        signatures = np.stack([np.frombuffer(x, np.uint8) for x in unit.column("signature").to_pylist()])
-        buckets = np.stack([np.asarray(x, np.int64) for x in unit.column("buckets").to_pylist()])
-        here = buckets == unit.column("bucket")[0].as_py()
-        band = here.argmax(axis=1)
-        within = unit.column("left")[0].as_py() == unit.column("right")[0].as_py()
+    confirmed = "shingles" in known.columns
+    unit = ["bucket", "left", "right"]
+    fields = [
+        ("bucket", pa.int64()), ("left", pa.int32()), ("right", pa.int32()),
+        *((n, pa.int64()) for n in ("a", "b", "label_a", "label_b", "equal")),
+    ]
+
+    def pairs(rows: pa.Table) -> pa.RecordBatch | None:
+        node, label, size, own = (rows.column(c).to_numpy() for c in ("node", "label", "size", "own"))
+        signatures = np.stack([np.frombuffer(x, np.uint8) for x in rows.column("signature").to_pylist()])
+        buckets = np.stack([np.asarray(x, np.int64) for x in rows.column("buckets").to_pylist()])
+        sets = [x.view(np.uint64) for x in rows.column("shingles").to_numpy()] if confirmed else []
+        at = [rows.column(c)[0].as_py() for c in unit]
+        band = (buckets == at[0]).argmax(axis=1)
+        within = at[1] == at[2]
+        root = np.unique(label, return_inverse=True)[1]
+        made: list[tuple[int, int, int]] = []
         for i in range(len(node)):
             if not within and own[i] != own.min():
                 continue
             other = np.arange(i + 1, len(node)) if within else np.flatnonzero(own != own[i])
             fits = 100 * np.minimum(size[i], size[other]) >= similarity * np.maximum(size[i], size[other])
-            other = other[(label[other] != label[i]) & fits]
+            other = other[(root[other] != root[i]) & fits]
             # Equal bands before this one: the pair is another bucket's.
             other = other[~(buckets[other, : band[i]] == buckets[i, : band[i]]).any(axis=1)]
             equal = np.concatenate([(signatures[x] == signatures[i]).sum(axis=1) for x in np.split(other, range(PAIRS, len(other), PAIRS))])
-            other, equal = other[equal >= enough], equal[equal >= enough]
-            if len(other):
-                swap = node[other] < node[i]
-                a, b = np.where(swap, node[other], node[i]), np.where(swap, node[i], node[other])
-                yield record(fields, a, b, np.where(swap, label[other], label[i]), np.where(swap, label[i], label[other]), equal)
+            order = np.argsort(-equal, kind="stable")
+            order = order[equal[order] >= enough]
+            other, equal = other[order], equal[order]
+            while len(other):
+                first = np.unique(root[other], return_index=True)[1]  # the likeliest of each part
+                met = first[common(sets[i], [sets[j] for j in other[first]], similarity)] if confirmed else first
+                made += [(i, j, n) for j, n in zip(other[met].tolist(), equal[met].tolist(), strict=True)]
+                root[np.isin(root, root[other[met]])] = root[i]
+                left = root[other] != root[i]
+                left[first] = False
+                other, equal = other[left], equal[left]
+        if not made:
+            return None
+        i, j, equal = (np.array(x) for x in zip(*made, strict=True))
+        swap = node[j] < node[i]
+        i, j = np.where(swap, j, i), np.where(swap, i, j)
+        return record(fields, *(np.full(len(i), x) for x in at), node[i], node[j], label[i], label[j], equal)
 
     def run(batches):
         """A unit at a time; it has some two tiles of members."""
         taken_over("alike")
         key, rows = None, []
         for b in batches:
-            keys = list(zip(*(b.column(c).to_pylist() for c in ("bucket", "left", "right")), strict=True))
+            keys = list(zip(*(b.column(c).to_pylist() for c in unit), strict=True))
             at = 0
             while at < len(keys):
                 end = at
                 while end < len(keys) and keys[end] == keys[at]:
                     end += 1
                 if keys[at] != key:
-                    if rows:
-                        yield from pairs(pa.Table.from_batches(rows))
+                    if rows and (out := pairs(pa.Table.from_batches(rows))):
+                        yield out
                     key, rows = keys[at], []
                 rows.append(b.slice(at, end - at))
                 at = end
-        if rows:
-            yield from pairs(pa.Table.from_batches(rows))
+        if rows and (out := pairs(pa.Table.from_batches(rows))):
+            yield out
 
-    unit = ["bucket", "left", "right"]
     ready = units.join(known, "node").repartition(partitions, *unit).sortWithinPartitions(*unit, "node")
-    return ready.mapInArrow(run, "a long, b long, label_a long, label_b long, equal long")
+    return ready.mapInArrow(run, "bucket long, left int, right int, a long, b long, label_a long, label_b long, equal long")
+
+
+def common(one: np.ndarray, others: list[np.ndarray], similarity: int) -> np.ndarray:
+    """Whether sets, in order, have so many percent of their shingles in common with one."""
+    sizes = np.array([len(x) for x in others])
+    every = np.concatenate(others)
+    hit = one[np.minimum(np.searchsorted(one, every), len(one) - 1)] == every
+    both = np.add.reduceat(hit, np.cumsum(sizes) - sizes, dtype=np.int64)
+    return 100 * both >= similarity * (len(one) + sizes - both)
 
 
 def likeliest(pairs: DataFrame) -> DataFrame:
@@ -298,13 +334,17 @@ def labels(docs: DataFrame, sets: DataFrame, shingle: int, similarity: int) -> D
         return found
     inside = units.select("node").distinct()
     signatures = long_signatures(full.join(inside, "node", "left_semi")).join(sets.select("node", "buckets"), "node")
-    pairs = staged(alike(units, signatures, similarity, parts(docs.sparkSession)), "pairs")
-    # One pair of any two components first: most are linked by it, and their other pairs need no more.
+    partitions = parts(docs.sparkSession)
+    pairs = staged(alike(units, signatures, similarity, partitions), "pairs")
+    # One pair of any two components first: most are linked by it, and units whose pairs are all settled need no more.
     links = staged(linked(likeliest(pairs), full, similarity).select("label_a", "label_b").distinct(), "links")
     if not links.isEmpty():
         roots = components(links.select(F.col("label_a").alias("u"), F.col("label_b").alias("v")))
-        pairs = pairs.join(still_apart(pairs, roots), ["label_a", "label_b"], "left_semi")
-    links = staged(linked(pairs, full, similarity).select("label_a", "label_b").distinct().unionByName(links), "links")
+        pairs, units = pairs.join(still_apart(pairs, roots), ["label_a", "label_b"], "left_semi"), relabelled(units, roots)
+    units = staged(units.join(pairs.select("bucket", "left", "right").distinct(), ["bucket", "left", "right"], "left_semi"), "units-apart")
+    if not units.isEmpty():
+        more = alike(units, signatures.join(full, "node"), similarity, partitions)
+        links = staged(more.select("label_a", "label_b").distinct().unionByName(links), "links")
     return found if links.isEmpty() else relabelled(found, components(links.select(F.col("label_a").alias("u"), F.col("label_b").alias("v"))))
 
 

@@ -212,3 +212,41 @@ def test_one_pair_for_two_components(spark):
     assert sorted(map(tuple, minhash.likeliest(pairs).collect())) == [(1, 8, 10, 30), (2, 6, 10, 20)]
     roots = spark.createDataFrame([(20, 10)], "node long, root long")
     assert [tuple(r) for r in minhash.still_apart(pairs, roots).collect()] == [(10, 30)]
+
+
+@pytest.mark.parametrize("tile", [1024, 16])
+def test_candidates_below_the_threshold_make_few_rows(spark, monkeypatch, tile):
+    """All texts are candidates of each other and few are linked: tasks return no more rows than they are given."""
+    monkeypatch.setattr(minhash, "TILE", tile)
+    rng = random.Random(15)
+    docs = []
+    for i in range(60):
+        text = [f"b{j}" for j in range(800)]
+        for j in rng.sample(range(800), 27):
+            text[j] = f"n{i}x{j}"
+        docs.append((i, " ".join(text)))
+    docs += [(900 + i, docs[50 - 9 * i][1] + " tail") for i in range(5)]
+    seen, alike = [], minhash.alike
+
+    def counted(units, *rest):
+        pairs = staged(alike(units, *rest), "test-alike")
+        seen.append((pairs.count(), units.count()))
+        return pairs
+
+    monkeypatch.setattr(minhash, "alike", counted)
+    want = plain_rows(docs)
+    assert len({r[2] for r in want}) > 50
+    assert got(spark, docs, bands=4, rows=1) == want
+    assert seen and all(0 <= n < given for n, given in seen)
+
+
+def test_pairs_of_a_unit_are_confirmed_until_together(spark):
+    """On full sets links alone are returned, one where two already put three labels together."""
+    sets = [np.arange(100), np.arange(5, 100), np.arange(8, 100), np.arange(24, 100)]
+    signatures = [minhash.signature(s.astype(np.uint64) << np.uint64(32), minhash.LONG).astype(np.uint8).tobytes() for s in sets]
+    known = spark.createDataFrame([(n, bytearray(signatures[0]), [7], s.tolist()) for n, s in enumerate(sets)], "node long, signature binary, buckets array<long>, shingles array<long>")
+    units = spark.createDataFrame([(7, 0, 0, 0, n, 10 + n, len(s)) for n, s in enumerate(sets)], "bucket long, left int, right int, own int, node long, label long, size long")
+    rows = [tuple(r)[:-1] for r in minhash.alike(units, known, 80, 1).collect()]
+    assert rows == [(7, 0, 0, 0, 1, 10, 11), (7, 0, 0, 0, 2, 10, 12), (7, 0, 0, 1, 3, 11, 13)]  # 76 of 95 is a link, 76 of 100 is none
+    by_signatures = minhash.alike(units, known.drop("shingles"), 80, 1).collect()
+    assert [(r.a, r.b) for r in by_signatures] == [(0, 1), (0, 2), (1, 3)]  # by size, 0 and 3 are no candidates
