@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake import adapters
 from ledgerlake.operators import checks
-from ledgerlake.plans import assertions, incremental, marts, metrics, reports, warehouse
+from ledgerlake.plans import assertions, incremental, marts, metrics, reports, silver, warehouse
 from ledgerlake.session import scratch_dir
 from ledgerlake.streaming.revert_join import claims_with_earliest_revert, claims_with_reverts
 
@@ -511,3 +511,15 @@ def test_plans_shuffle_claims_once_per_key(spark, small):
     assert not any("Exchange hashpartitioning(partner" in line for line in lines)
     scans = [line for line in lines if "lineitem" in line]
     assert scans and not any("l_discount" in line or "l_linestatus" in line for line in scans)
+
+
+def test_newest_prices_are_not_broadcast(spark):
+    """A row per code: compressed they look small, and would go through the driver at many times that size."""
+    claims = spark.createDataFrame([("a", "1"), ("b", "2"), ("c", None), ("d", "9")], "claim_id string, ndc string")
+    dates = [("1", date(2000, 1, 1), 1.0), ("1", date(2000, 2, 1), 2.0), ("2", date(2000, 1, 1), 3.0)]
+    prices = spark.createDataFrame(dates, "ndc string, as_of_date date, nadac_per_unit double")
+    prices = prices.withColumns({"pricing_unit": F.lit("EA"), "is_generic": F.lit(True)})
+    costed = silver.attach_costs(claims, prices, silver.LATEST)
+    assert "BroadcastExchange" not in final_plan(costed)
+    got = {r.claim_id: (r.nadac_per_unit, r.flag_cost_unavailable) for r in costed.collect()}
+    assert got == {"a": (2.0, False), "b": (3.0, False), "c": (None, True), "d": (None, True)}
